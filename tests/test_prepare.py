@@ -1,0 +1,131 @@
+"""Preparation and quality operators on hand-written edge rows."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from shelfwise.operators import (
+    build_catalog,
+    drop_cancelled,
+    generate_inventory,
+    historical_demand,
+    master_sales,
+    prepare_transactions,
+    profile_columns,
+    profile_table,
+    quality_report,
+    sales_quality,
+    validation_report,
+)
+
+LEDGER = [
+    # InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, Country
+    ("536365", "P1", "WHITE MUG", "6", "2010-12-01 23:00:00", "2.55", "17850", "UK"),
+    ("536366", "P1", "WHITE MUG B", "2", "2010-12-02 01:00:00", "2.75", "17850", "UK"),
+    ("536367", "P1", None, "1", "2010-12-02 01:00:00", "9.99", None, "UK"),
+    ("C536379", "P1", "WHITE MUG", "1", "2010-12-02 01:00:00", "2.55", "1", "UK"),
+    (" c1", "P2", "BAG", "1", "2010-12-02 01:00:00", "2.55", "1", "UK"),
+    ("536368", "P2", "JUMBO BAG", "-1", "2010-12-02 01:00:00", "2.55", "1", "FR"),
+    ("536369", "P2", "JUMBO BAG", "0", "2010-12-02 01:00:00", "2.55", "1", "FR"),
+    ("536370", "P2", "JUMBO BAG", None, "2010-12-02 01:00:00", "2.55", "1", "FR"),
+    ("536371", "P2", "JUMBO BAG", "abc", "2010-12-02 01:00:00", "2.55", "1", "FR"),
+    ("536372", "P2", "JUMBO BAG", "3", "2010-12-02 01:00:00", "0", "1", "FR"),
+    ("536373", "P3", "CARD", "1", "2010-12-03 10:00:00", "0.004", "2", "FR"),
+    ("536374", None, "CARD", "1", "2010-12-03 10:00:00", "1.0", "2", "FR"),
+    ("536375", "  ", "CARD", "1", "2010-12-03 10:00:00", "1.0", "2", "FR"),
+    ("536376", "P3", "CARD", "1", "garbage", "1.0", "2", "FR"),
+    ("536377", " P4 ", "TEA CUP", "4", "2010-12-04 10:00:00", "1.25", "3", "DE"),
+    ("536377", " P4 ", "TEA CUP", "4", "2010-12-04 10:00:00", "1.25", "3", "DE"),
+]
+SCHEMA = ("InvoiceNo string, StockCode string, Description string, Quantity string, "
+          "InvoiceDate string, UnitPrice string, CustomerID string, Country string")
+
+
+def ledger(spark):
+    return spark.createDataFrame(LEDGER, SCHEMA)
+
+
+def test_prepare_transactions(spark):
+    tx = prepare_transactions(ledger(spark))
+    got = sorted((r.invoice_no, r.product_id, r.quantity) for r in tx.collect())
+    assert got == [("536365", "P1", 6), ("536366", "P1", 2), ("536367", "P1", 1),
+                   ("536373", "P3", 1), ("536377", "P4", 4)]
+    assert tx.columns == ["invoice_no", "product_id", "description", "quantity",
+                          "invoice_date", "unit_price", "country", "customer_id", "revenue"]
+    assert tx.filter(F.col("invoice_no") == "536377").first().revenue == 5.0
+
+
+def test_drop_cancelled(spark):
+    out = drop_cancelled(ledger(spark).withColumnRenamed("InvoiceNo", "invoice_no"))
+    kept = {r.invoice_no for r in out.collect()}
+    assert "C536379" not in kept and "c1" not in kept and " c1" not in kept
+    assert "536365" in kept
+
+
+def test_catalog_first_description_and_median(spark):
+    cat = build_catalog(prepare_transactions(ledger(spark))).orderBy("product_id").collect()
+    p1 = cat[0]
+    # first by time is "WHITE MUG"; the null description line is excluded from the median
+    assert (p1.product_id, p1.product_name, p1.category) == ("P1", "WHITE MUG", "MUG")
+    assert p1.selling_price == 2.65
+    assert [r.category for r in cat] == ["MUG", "STATIONERY", "MUG"]
+
+
+def test_history_and_inventory(spark):
+    hist = historical_demand(prepare_transactions(ledger(spark)))
+    p1 = hist.filter(F.col("product_id") == "P1").first()
+    assert p1.total_quantity_sold == 9 and p1.active_days == 1   # 23:00 -> 01:00
+    inv = generate_inventory(hist).filter(F.col("product_id") == "P1").first()
+    daily = 9 / 1
+    lead = sum(map(ord, "P1")) % 12 + 3
+    import math
+    safety = math.ceil(daily * lead * 0.5)
+    assert inv.lead_time_days == lead
+    assert inv.reorder_level == math.ceil(daily * lead + safety)
+    assert inv.initial_stock == max(math.ceil(daily * 30 + safety), 1)
+    assert inv.current_stock == max(inv.initial_stock - 9, 0)
+
+
+def test_quality_report(spark):
+    raw = ledger(spark)
+    rep = {r.metric: r.value for r in quality_report(raw, prepare_transactions(raw)).collect()}
+    assert rep["initial_rows"] == "16" and rep["final_transaction_rows"] == "5"
+    assert rep["removed_rows"] == "11" and rep["unique_customers"] == "3"
+    assert rep["total_quantity"] == "14"
+    assert rep["total_revenue"] == "35.794000"
+    assert rep["min_invoice_date"].startswith("2010-12-01 23:00:00")
+
+
+def test_sales_quality_rounds_small_revenue(spark):
+    tx = prepare_transactions(ledger(spark))
+    cat = spark.createDataFrame([("P1", "Mug", "MUG", 2.6)],
+                                "product_id string, product_name string, category string, "
+                                "selling_price double")
+    sales = master_sales(tx, cat)
+    q = sales_quality(sales).first()
+    assert (q.invalid_quantity, q.invalid_revenue, q.row_count) == (0, 1, 5)
+    p3 = sales.filter(F.col("product_id") == "P3").first()
+    assert p3.product_name == "CARD" and p3.category == "OTHER" and p3.revenue == 0.0
+    assert sales.filter(F.col("invoice_no") == "536365").first().day_of_week == 4
+
+
+def test_validation_report(spark):
+    tx = prepare_transactions(ledger(spark))
+    cat = spark.createDataFrame([("P1",), ("P1",), ("P3",)], "product_id string")
+    inv = spark.createDataFrame([("P1", -1), ("P9", 3), (None, 1), (None, 2)],
+                                "product_id string, current_stock int")
+    rep = {r.metric: r.value for r in validation_report(tx, cat, inv).collect()}
+    assert rep["missing_from_catalog"] == "1" and rep["missing_from_inventory"] == "2"
+    assert rep["duplicate_catalog_ids"] == "1" and rep["duplicate_inventory_ids"] == "1"
+    assert rep["negative_current_stock"] == "1" and rep["validation"] == "FAILED"
+
+
+def test_profiles(spark):
+    raw = ledger(spark)
+    cols = {r.column_name: r.null_count for r in profile_columns(raw).collect()}
+    assert cols["Description"] == 1 and cols["Quantity"] == 1 and cols["StockCode"] == 1
+    t = profile_table(raw, product="StockCode", customer="CustomerID", country="Country",
+                      date="InvoiceDate").first()
+    assert (t.row_count, t.column_count, t.duplicate_rows) == (16, 8, 1)
+    assert t.unique_countries == 3
+    assert t.min_date == dt.datetime(2010, 12, 1, 23, 0)
