@@ -187,8 +187,11 @@ def q_demand_score(spark, d):
 
 
 def _pricing(spark, d, labels, signals=True):
+    # One demand frame feeds both inputs, so the chain below it is planned
+    # once and its shuffle stages are reused.
+    demand = _demand(spark, d)
     return dynamic_pricing(
-        _demand(spark, d), _inventory_analytics(spark, d),
+        demand, inventory_analytics(demand, tv.inventory(spark, d)),
         clicks=tv.clicks(spark, d) if signals else None,
         quotes=tv.competitor_quotes(spark, d) if signals else None,
         labels=labels)

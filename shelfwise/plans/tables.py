@@ -33,8 +33,15 @@ def register_tables(spark: SparkSession, root: str, database: str = "retail",
         full = f"{_q(database)}.{_q(name)}"
         location = f"{root.rstrip('/')}/{rel}"
         spark.sql(f"DROP TABLE IF EXISTS {full}")
-        part_clause = f"PARTITIONED BY ({', '.join(_q(p) for p in parts)})" if parts else ""
-        spark.sql(f"CREATE TABLE {full} USING PARQUET {part_clause} LOCATION '{location}'")
+        if parts:
+            # A partitioned table needs its columns spelled out; they are
+            # taken from the written files (footers + partition folders).
+            schema = spark.read.parquet(location).schema
+            cols = ", ".join(f"{_q(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+            part_clause = f"({cols}) USING PARQUET PARTITIONED BY ({', '.join(_q(p) for p in parts)})"
+        else:
+            part_clause = "USING PARQUET"
+        spark.sql(f"CREATE TABLE {full} {part_clause} LOCATION '{location}'")
         if parts:
             spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
         done.append(f"{database}.{name}")
