@@ -526,6 +526,11 @@ WHERE product_id IS NOT NULL AND competitor_price IS NOT NULL AND competitor IS
     q["event_weight"] = with_ctes(f"""
 SELECT event_time, session_id, product_id, event_type,
        {weight_sql('event_type')} AS demand_signal FROM clicks""", "clicks")
+    click_fields = ["event_time", "session_id", "user_id", "product_id",
+                    "product_description", "event_type", "device", "country"]
+    q["events_to_json"] = with_ctes(
+        "SELECT CAST(json_object(" + ", ".join(f"'{c}', {c}" for c in click_fields)
+        + ") AS VARCHAR) AS value FROM clicks", "clicks")
     q["realtime_pricing"] = with_ctes(f"""
 , cg AS (
   SELECT product_id, {weight_sql('event_type')} AS demand_score, COUNT(*) AS click_events
