@@ -26,8 +26,19 @@ EVENT_TYPE_MAP = {"click": "add_to_cart", "error": "remove_from_cart",
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table. Its schema is remembered after the first read, so later
+    reads skip the footer-reading job that schema inference launches."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
 
 
 def _unit_price(extended: Column, quantity: Column) -> Column:
