@@ -29,7 +29,7 @@ from shelfwise.operators import (
     quality_report,
     standardize_catalog,
 )
-from shelfwise.operators.sales import build_master_sales
+from shelfwise.operators.sales import build_master_sales, observe_rows
 from shelfwise.plans.tables import register_tables
 from shelfwise.sources.files import read_optional, read_table, write_partitioned, write_table
 
@@ -103,11 +103,14 @@ def run_all(spark: SparkSession, root: str, ledger: DataFrame | None = None,
         write_table(quality_report(ledger, tx), lay.quality)
 
     if begin <= 1:
-        tx = read_table(spark, lay.transactions)
-        cat = standardize_catalog(read_table(spark, lay.catalog))
+        tx, tx_rows = observe_rows(read_table(spark, lay.transactions), "transaction_rows")
+        cat, cat_rows = observe_rows(read_table(spark, lay.catalog), "catalog_rows")
+        cat = standardize_catalog(cat)
         sales, obs = observe_quality(build_master_sales(clean_transactions(tx), cat))
         write_partitioned(sales, lay.master_sales)
         opt.metrics["sales_quality"] = obs.get
+        opt.metrics["input_rows"] = {"transactions": tx_rows.get["rows"],
+                                     "product_catalog": cat_rows.get["rows"]}
 
     if begin <= 2:
         write_table(demand_analytics(read_table(spark, lay.master_sales),
