@@ -10,6 +10,7 @@ defaults.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,7 +118,8 @@ def q_master_sales_partition_pruned(spark, d):
     checkpoint folder, read it back filtered by year: the scan lists only
     that year's folders (PartitionFilters in the plan)."""
     key = "".join(ch if ch.isalnum() else "_" for ch in d)
-    path = f"{checkpoint_root(spark)}/tables/master_sales_{key}"
+    # one folder per call: concurrent calls never overwrite each other's files
+    path = f"{checkpoint_root(spark)}/tables/master_sales_{key}_{uuid.uuid4().hex[:12]}"
     write_partitioned(_sales(spark, d), path)
     return read_table(spark, path).filter(F.col("year") == PRUNE_YEAR)
 
