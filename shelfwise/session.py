@@ -50,12 +50,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     created and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    path = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    path = configured or tempfile.mkdtemp(prefix="shelfwise-ckpt-")
+    if not configured:
+        spark.conf.set("spark.checkpoint.dir", path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # Spark Connect: no SparkContext; the conf is enough
+        pass
     return path
 
 
