@@ -458,9 +458,9 @@ SELECT * FROM (
     q["validation_report"] = with_ctes(f"""
 , m AS (
   SELECT 'transaction_rows' AS metric, CAST(COUNT(*) AS BIGINT) AS v FROM transactions
-  UNION ALL SELECT 'transaction_products', COUNT(DISTINCT product_id) FROM transactions
-  UNION ALL SELECT 'catalog_products', COUNT(DISTINCT product_id) FROM product_catalog
-  UNION ALL SELECT 'inventory_products', COUNT(DISTINCT product_id) FROM inventory
+  UNION ALL SELECT 'transaction_products', COUNT(DISTINCT product_id) + COALESCE(MAX(CASE WHEN product_id IS NULL THEN 1 ELSE 0 END), 0) FROM transactions
+  UNION ALL SELECT 'catalog_products', COUNT(DISTINCT product_id) + COALESCE(MAX(CASE WHEN product_id IS NULL THEN 1 ELSE 0 END), 0) FROM product_catalog
+  UNION ALL SELECT 'inventory_products', COUNT(DISTINCT product_id) + COALESCE(MAX(CASE WHEN product_id IS NULL THEN 1 ELSE 0 END), 0) FROM inventory
   UNION ALL SELECT 'missing_from_catalog', COUNT(*) FROM
         (SELECT product_id FROM transactions EXCEPT SELECT product_id FROM product_catalog) a
   UNION ALL SELECT 'missing_from_inventory', COUNT(*) FROM

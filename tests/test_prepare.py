@@ -118,6 +118,7 @@ def test_validation_report(spark):
     assert rep["missing_from_catalog"] == "1" and rep["missing_from_inventory"] == "2"
     assert rep["duplicate_catalog_ids"] == "1" and rep["duplicate_inventory_ids"] == "1"
     assert rep["negative_current_stock"] == "1" and rep["validation"] == "FAILED"
+    assert rep["inventory_products"] == "3"  # P1, P9 and the missing id
 
 
 def test_profiles(spark):
