@@ -43,8 +43,31 @@ def assert_unique_key(df: DataFrame, key) -> DataFrame:
     return df.groupBy(*keys).count().filter(F.col("count") > 1)
 
 
-def _long(df: DataFrame, value: str = "value") -> DataFrame:
-    return df.unpivot([], df.columns, "metric", value)
+def assemble_report(parts: list[DataFrame], order: list[str],
+                    derived: dict | None = None) -> DataFrame:
+    """One-row metric frames -> (position, metric, value) text rows.
+
+    The parts (each a one-row global aggregate) are unioned in long form
+    and pivoted back into a single wide row, so every part, and the input
+    behind it, is planned and computed once; ``derived`` metrics are
+    column expressions over that row (e.g. a verdict); the row is then
+    unpivoted in ``order``.
+    """
+    long = None
+    names = []
+    for part in parts:
+        names += part.columns
+        text = part.select(*[F.col(c).cast("string").alias(c) for c in part.columns])
+        piece = text.unpivot([], part.columns, "metric", "value")
+        long = piece if long is None else long.unionByName(piece)
+    wide = long.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n)
+                      for n in names])
+    if derived:
+        wide = wide.withColumns(derived)
+    out = wide.select(*[F.col(n).cast("string").alias(n) for n in order]) \
+        .unpivot([], order, "metric", "value")
+    pos = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("metric"))
+    return out.select(pos.cast("int").alias("position"), "metric", "value")
 
 
 CHECKS = ["missing_from_catalog", "missing_from_inventory", "duplicate_catalog_ids",
@@ -56,7 +79,7 @@ def validation_report(tx: DataFrame, catalog: DataFrame, inventory: DataFrame) -
     """Row and key counts, seven checks and a verdict, as
     (position, metric, value) rows. The verdict is SUCCESSFUL only when all
     seven checks are 0. Every number is a global aggregate (partial per
-    partition); the pieces are combined by unions, never by the driver."""
+    partition), assembled by :func:`assemble_report`, never by the driver."""
     t = tx.agg(
         F.count(F.lit(1)).alias("transaction_rows"),
         distinct_values("product_id").alias("transaction_products"),
@@ -70,21 +93,12 @@ def validation_report(tx: DataFrame, catalog: DataFrame, inventory: DataFrame) -
                       count_negative("current_stock").alias("negative_current_stock"))
     mc = missing_keys(tx, catalog).agg(F.count(F.lit(1)).alias("missing_from_catalog"))
     mi = missing_keys(tx, inventory).agg(F.count(F.lit(1)).alias("missing_from_inventory"))
-    parts = [_long(x) for x in (t, c, i, mc, mi)]
-    metrics = parts[0]
-    for p in parts[1:]:
-        metrics = metrics.unionByName(p)
-    metrics = metrics.withColumn("value", F.col("value").cast("bigint"))
-    verdict = metrics.agg(
-        F.when(F.sum(F.when(F.col("metric").isin(CHECKS), F.col("value"))
-                     .otherwise(F.lit(0))) == 0, "SUCCESSFUL").otherwise("FAILED")
-        .alias("value")).select(F.lit("validation").alias("metric"), "value")
+    failed = sum((F.col(n).cast("bigint") for n in CHECKS[1:]), F.col(CHECKS[0]).cast("bigint"))
     order = ["transaction_rows", "transaction_products", "catalog_products",
              "inventory_products", *CHECKS, "validation"]
-    out = metrics.select("metric", F.col("value").cast("string").alias("value")) \
-        .unionByName(verdict)
-    pos = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("metric"))
-    return out.select(pos.cast("int").alias("position"), "metric", "value")
+    return assemble_report(
+        [t, c, i, mc, mi], order,
+        {"validation": F.when(failed == 0, "SUCCESSFUL").otherwise("FAILED")})
 
 
 # --------------------------------------------------------------------------

@@ -34,7 +34,6 @@ from shelfwise.operators import (
     lowest_coverage,
     missing_keys,
     optimize_inventory,
-    prepare_transactions,
     profile_columns,
     profile_table,
     quality_report,

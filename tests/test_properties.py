@@ -44,8 +44,6 @@ def test_independent_of_partitioning(spark):
                                standardize_catalog(tv.product_catalog(spark, SF_MID)))
     one = demand_analytics(sales.repartition(1))
     seven = demand_analytics(sales.repartition(7, "invoice_no"))
-    key = ["product_id", "product_name", "category"]
     a = sorted(tuple(r) for r in one.collect())
     b = sorted(tuple(r) for r in seven.collect())
     assert a == b and len(a) == 2000
-    del key

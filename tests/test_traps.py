@@ -1,8 +1,5 @@
 """One test per semantic trap of SURVEY section 2.14."""
 
-import pytest
-from pyspark.sql import functions as F
-
 from shelfwise.operators import (
     build_master_sales,
     dynamic_pricing,
