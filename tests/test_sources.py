@@ -66,3 +66,16 @@ def test_cli_batch(spark, tmp_dir):
     main(["batch", "--root", f"{tmp_dir}/out", "--ledger", f"{tmp_dir}/ledger",
           "--database", "cli_test", "--high", "0.3", "--medium", "0.2"])
     assert spark.table("cli_test.pricing_recommendations").count() > 0
+
+
+def test_cli_streaming(spark, tmp_dir):
+    from shelfwise.__main__ import main
+    tv.json_lines(tv.clicks(spark, SF_SMALL, with_key=True)).write.text(f"{tmp_dir}/c")
+    tv.json_lines(tv.competitor_quotes(spark, SF_SMALL, with_key=True)).write.text(f"{tmp_dir}/q")
+    main(["land", "--kind", "clicks", "--format", "text", "--path", f"{tmp_dir}/c",
+          "--out", f"{tmp_dir}/landed", "--checkpoint", f"{tmp_dir}/ck1", "--available-now"])
+    assert spark.read.parquet(f"{tmp_dir}/landed").count() > 0
+    main(["realtime", "--format", "text", "--click-path", f"{tmp_dir}/c",
+          "--quote-path", f"{tmp_dir}/q", "--out", f"{tmp_dir}/rt",
+          "--checkpoint", f"{tmp_dir}/ck2", "--available-now"])
+    assert spark.read.parquet(f"{tmp_dir}/rt").agg(F.sum("pair_count")).first()[0] > 0
