@@ -18,13 +18,20 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from shelfwise.session import RECOMMENDED_CONF, ensure_checkpoint_dir
+from shelfwise.session import CLUSTER_CONF, RECOMMENDED_CONF, ensure_checkpoint_dir
 
 
 def _session(name: str) -> SparkSession:
+    active = SparkSession.getActiveSession()
+    if active is not None:  # embedded use: never retune someone else's session
+        ensure_checkpoint_dir(active)
+        return active
+    from pyspark import SparkConf
+    submitted = SparkConf()  # what spark-submit / spark-defaults already set
     builder = SparkSession.builder.appName(name)
-    for k, v in RECOMMENDED_CONF.items():
-        builder = builder.config(k, v)
+    for k, v in {**CLUSTER_CONF, **RECOMMENDED_CONF}.items():
+        if not submitted.contains(k):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
     return spark

@@ -22,6 +22,22 @@ RECOMMENDED_CONF = {
 }
 
 
+# Defaults for large clusters, applied by the command line only where the
+# submitted configuration leaves them unset. Scan splits and post-shuffle
+# partitions of ~256 MB keep tasks inside executor memory; the initial
+# shuffle width must cover the largest shuffle (the full-row ledger
+# de-duplication: ~50 TB of shuffle data at 100 TB input / 256 MB ~ 200k),
+# AQE then coalesces the small stages to the advisory size instead of
+# spreading them thin (parallelismFirst off).
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.shuffle.partitions": "200000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "shelfwise") -> SparkSession:
     """A local session for tests and the bench (UI off, UTC, AQE on)."""
