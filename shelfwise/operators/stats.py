@@ -16,9 +16,10 @@ values) of one group in a task:
 4. once a key's range holds at most ``small`` distinct values (or one
    value), the exact value at the rank is picked with a window over them.
 
-Each round reads the distinct-value table (not the raw rows) and its
-small state is checkpointed into the shared checkpoint folder, so lineage
-stays short and a lost executor only recomputes one round. The result
+Each round reads the distinct-value table (not the raw rows); it and each
+round's small state are written as Parquet tables in the shared checkpoint
+folder, so lineage stays short and a lost executor only recomputes one
+round. The result
 equals ``percentile(value, 0.5)`` bit for bit: 0.5*v[r1] + 0.5*v[r2].
 """
 
@@ -27,14 +28,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.session import materialize
+
 
 def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "median",
-                 buckets: int = 1024, small: int = 4096, max_rounds: int = 12) -> DataFrame:
-    """(keys..., alias) with the exact median of ``value`` per key (nulls skipped)."""
+                 weight: str | None = None, buckets: int = 1024, small: int = 4096,
+                 max_rounds: int = 12) -> DataFrame:
+    """(keys..., alias) with the exact median of ``value`` per key.
+
+    Null values are skipped; rows with a null key are ignored. With
+    ``weight`` naming a count column, ``df`` is taken as already reduced to
+    one row per (key, value) and already materialised (a checkpoint or a
+    written table), so a caller can share one pre-aggregation.
+    """
     v = F.col(value).cast("double")
-    vc = (df.filter(F.col(value).isNotNull())
-            .groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
-    vc = vc.checkpoint()  # read once per round: materialise it in the shared folder
+    present = df.filter(F.col(value).isNotNull())
+    if weight:
+        vc = present.select(*keys, v.alias("_v"), F.col(weight).cast("bigint").alias("_c"))
+    else:
+        vc = present.groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+        vc = materialize(vc, "median-values")  # read once per round
     stats = vc.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"),
                                   F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_nd"))
     half = (F.col("_n") - 1) / 2
@@ -42,7 +55,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
         F.struct(F.lit(1).alias("_t"), F.floor(half).alias("_r")),
         F.struct(F.lit(2).alias("_t"), F.ceil(half).alias("_r")))).alias("_x"),
         "_lo", "_hi", "_nd").select(*keys, "_x._t", "_x._r", "_lo", "_hi", "_nd")
-    state = targets.checkpoint()
+    state = targets  # one cheap aggregate over vc; later rounds are checkpointed
     done_parts = []
     tkeys = [*keys, "_t"]
     for _ in range(max_rounds):
@@ -66,7 +79,8 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
         pick = ranked.filter((before <= F.col("_r")) & (F.col("_r") < F.col("_upto")))
         state = pick.select(*tkeys, (F.col("_r") - before).alias("_r"),
                             F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"),
-                            F.col("_bnd").alias("_nd")).checkpoint()
+                            F.col("_bnd").alias("_nd"))
+        state = materialize(state, "median-state")
     if state is not None:  # rounds exhausted: settle whatever is left
         done_parts.append(state)
     settled = done_parts[0]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -83,3 +84,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def subdir(root: str, *parts: str) -> str:
     return os.path.join(root, *parts)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read
+    it back: the lineage is cut at a columnar table that any executor can
+    re-read after a failure (cheaper to write than an RDD checkpoint)."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
