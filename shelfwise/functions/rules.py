@@ -233,9 +233,25 @@ def realtime_action(weight: ColumnOrName, price: ColumnOrName) -> Column:
 # Preparation
 # --------------------------------------------------------------------------
 
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def classify_product(text: ColumnOrName,
                      rules: Sequence[tuple[str, Sequence[str]]] = CATEGORY_RULES) -> Column:
-    """Keyword category; kept in codegen as a CASE over ``contains``."""
+    """Keyword category; kept in codegen as a CASE over ``contains``.
+
+    For a column name the CASE is handed to Catalyst as one SQL expression
+    (a single call into the JVM instead of ~20 per keyword); the
+    expression is the same either way.
+    """
+    if isinstance(text, str):
+        ref = "`" + text.replace("`", "``") + "`"
+        branches = " ".join(
+            "WHEN " + " OR ".join(f"contains(upper({ref}), {_sql_str(k)})"
+                                  for k in dict.fromkeys(kws)) + f" THEN {_sql_str(cat)}"
+            for cat, kws in rules)
+        return F.expr(f"CASE {branches} ELSE {_sql_str(OTHER_CATEGORY)} END")
     upper = F.upper(_col(text))
     expr = None
     for category, keywords in rules:

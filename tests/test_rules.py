@@ -149,3 +149,11 @@ def test_lead_time(spark):
     got = one(spark, rules.lead_time("p"), [("85123A",), ("1",), ("",), ("22423",)], "p string")
     expect = [sum(map(ord, s)) % 12 + 3 for s in ["85123A", "1", "", "22423"]]
     assert got == expect and got[0] == 3
+
+
+def test_classify_product_column_and_name_agree(spark):
+    data = [("JUMBO BAG RED",), ("tea cup",), ("it's a plate",), (None,), ("x\\y wall",)]
+    df = spark.createDataFrame(data, "t string")
+    by_name = [r[0] for r in df.select(rules.classify_product("t")).collect()]
+    by_col = [r[0] for r in df.select(rules.classify_product(F.col("t"))).collect()]
+    assert by_name == by_col == ["BAG", "MUG", "KITCHEN", "OTHER", "DECORATION"]
