@@ -21,6 +21,7 @@ from shelfwise.operators.pricing import dynamic_pricing
 from shelfwise.operators.quality import (
     assert_unique_key,
     missing_keys,
+    profile,
     profile_columns,
     profile_table,
     validation_report,
@@ -49,7 +50,7 @@ __all__ = [
     "drop_incomplete", "dynamic_pricing", "generate_inventory", "historical_demand",
     "inventory_analytics", "lowest_coverage", "master_sales", "missing_keys",
     "normalize_columns", "observe_quality", "optimize_inventory", "prepare",
-    "prepare_transactions", "profile_columns", "profile_table", "quality_report",
+    "prepare_transactions", "profile", "profile_columns", "profile_table", "quality_report",
     "rename_source", "require_columns", "sales_quality", "standardize_catalog",
     "standardize_inventory", "top_products", "validation_report",
 ]

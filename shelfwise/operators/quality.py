@@ -153,3 +153,10 @@ def profile_table(df: DataFrame, product: str = "product_id",
         F.max(when).alias("max_date"),
     )
     return out.withColumn("row_count", F.coalesce(F.col("row_count"), F.lit(0)).cast("bigint"))
+
+
+def profile(df: DataFrame, **columns) -> dict[str, DataFrame]:
+    """The source profile as two frames, per column (position, type,
+    null count) and per table (counts, duplicates, distincts, date range);
+    ``columns`` maps the roles of :func:`profile_table` to source names."""
+    return {"columns": profile_columns(df), "table": profile_table(df, **columns)}

@@ -130,3 +130,10 @@ def test_profiles(spark):
     assert (t.row_count, t.column_count, t.duplicate_rows) == (16, 8, 1)
     assert t.unique_countries == 3
     assert t.min_date == dt.datetime(2010, 12, 1, 23, 0)
+
+
+def test_profile_bundle(spark):
+    from shelfwise.operators import profile
+    out = profile(ledger(spark), product="StockCode", customer="CustomerID",
+                  country="Country", date="InvoiceDate")
+    assert out["columns"].count() == 8 and out["table"].first().row_count == 16
