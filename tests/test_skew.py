@@ -57,3 +57,42 @@ def test_realtime_pairs_with_hot_product(spark):
     assert total == brute
     # output rows are bounded by 5 weights x distinct quotes, not by pairs
     assert out.count() <= 5 * q.distinct().count() < brute
+
+
+def test_hot_product_join_is_split_by_aqe(spark):
+    """Without broadcasts, the sales join must let AQE split the hot
+    product's partition (thresholds scaled down to the test size)."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60000
+        tx = spark.range(n).select(
+            F.col("id").cast("string").alias("invoice_no"),
+            F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+             .otherwise((F.col("id") % 500).cast("string")).alias("product_id"),
+            F.lit("d").alias("description"), F.lit(1).alias("quantity"),
+            F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("invoice_date"),
+            F.lit(2.0).alias("unit_price"), F.lit("UK").alias("country"),
+            F.lit("c").alias("customer_id"), F.lit(2.0).alias("revenue"))
+        cat = spark.range(500).select(
+            F.col("id").cast("string").alias("product_id"), F.lit("n").alias("product_name"),
+            F.lit("OTHER").alias("category"), F.lit(1.0).alias("selling_price"))
+        cat = cat.union(spark.createDataFrame([("HOT", "hot", "MUG", 1.0)], cat.schema))
+        out = build_master_sales(tx, standardize_catalog(cat))
+        rows = out.collect()
+        assert len(rows) == n
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in final and "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
