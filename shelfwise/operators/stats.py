@@ -55,7 +55,11 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
         F.struct(F.lit(1).alias("_t"), F.floor(half).alias("_r")),
         F.struct(F.lit(2).alias("_t"), F.ceil(half).alias("_r")))).alias("_x"),
         "_lo", "_hi", "_nd").select(*keys, "_x._t", "_x._r", "_lo", "_hi", "_nd")
-    state = targets  # one cheap aggregate over vc; later rounds are checkpointed
+    # The targets come out of a per-key aggregate, hash-partitioned by key;
+    # rebalanced, the joins below shuffle both sides, so AQE can split the
+    # distinct values of a hot key over many tasks (later rounds read
+    # written tables and have that shape anyway).
+    state = targets.hint("rebalance")
     done_parts = []
     tkeys = [*keys, "_t"]
     for _ in range(max_rounds):
