@@ -28,3 +28,22 @@ def test_run_all_and_register(spark, tmp_dir):
     run_all(spark, tmp_dir, start_at="decisions", options=RunOptions(database=None))
     assert spark.read.parquet(f"{tmp_dir}/analytics/pricing_recommendations").count() \
         == demand.count()
+
+
+def test_run_all_matches_registered_queries(spark, tmp_dir):
+    from shelfwise.plans.queries import QUERIES, SCALED_HIGH, SCALED_MEDIUM
+    run_all(spark, tmp_dir, ledger=tv.ledger(spark, SF_SMALL),
+            catalog=tv.product_catalog(spark, SF_SMALL),
+            inventory=tv.inventory(spark, SF_SMALL),
+            clicks=tv.clicks(spark, SF_SMALL), quotes=tv.competitor_quotes(spark, SF_SMALL),
+            options=RunOptions(high=SCALED_HIGH, medium=SCALED_MEDIUM, database=None))
+
+    def same(path, name):
+        written = spark.read.parquet(f"{tmp_dir}/{path}")
+        query = QUERIES[name](spark, SF_SMALL)
+        assert sorted(map(tuple, written.select(*query.columns).collect())) == \
+            sorted(map(tuple, query.collect()))
+
+    same("analytics/pricing_recommendations", "dynamic_pricing")
+    same("analytics/inventory_recommendations", "inventory_optimization")
+    same("processed/inventory_analytics", "inventory_analytics")
