@@ -58,6 +58,9 @@ def main(argv=None) -> None:
         p.add_argument("--bootstrap", default="localhost:9092")
         p.add_argument("--trigger", default="10 seconds")
         p.add_argument("--available-now", action="store_true")
+        p.add_argument("--max-per-trigger", type=int,
+                       help="cap per micro-batch: Kafka offsets or files, so a "
+                            "backlog is worked off in bounded batches")
         if name == "land":
             p.add_argument("--kind", choices=["clicks", "quotes"], required=True)
             p.add_argument("--topic")
@@ -88,17 +91,22 @@ def main(argv=None) -> None:
         read_topic,
     )
     kw = dict(trigger=a.trigger, available_now=a.available_now)
+    cap = {}
+    if a.max_per_trigger:
+        key = "maxOffsetsPerTrigger" if a.format == "kafka" else "maxFilesPerTrigger"
+        cap = {key: str(a.max_per_trigger)}
     if a.cmd == "land":
         spark = _session(f"shelfwise-land-{a.kind}")
-        raw = read_topic(spark, a.topic, fmt=a.format, path=a.path, bootstrap=a.bootstrap)
+        raw = read_topic(spark, a.topic, fmt=a.format, path=a.path, bootstrap=a.bootstrap,
+                         **cap)
         job = land_clickstream if a.kind == "clicks" else land_competitor_prices
         job(raw, a.out, a.checkpoint, **kw).awaitTermination()
     else:
         spark = _session("shelfwise-realtime")
         rc = read_topic(spark, a.click_topic, fmt=a.format, path=a.click_path,
-                        bootstrap=a.bootstrap)
+                        bootstrap=a.bootstrap, **cap)
         rq = read_topic(spark, a.quote_topic, fmt=a.format, path=a.quote_path,
-                        bootstrap=a.bootstrap)
+                        bootstrap=a.bootstrap, **cap)
         land_realtime_pricing(rc, rq, a.out, a.checkpoint, **kw).awaitTermination()
 
 

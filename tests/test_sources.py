@@ -77,5 +77,5 @@ def test_cli_streaming(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/landed").count() > 0
     main(["realtime", "--format", "text", "--click-path", f"{tmp_dir}/c",
           "--quote-path", f"{tmp_dir}/q", "--out", f"{tmp_dir}/rt",
-          "--checkpoint", f"{tmp_dir}/ck2", "--available-now"])
+          "--checkpoint", f"{tmp_dir}/ck2", "--available-now", "--max-per-trigger", "1"])
     assert spark.read.parquet(f"{tmp_dir}/rt").agg(F.sum("pair_count")).first()[0] > 0
