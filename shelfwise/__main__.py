@@ -66,8 +66,8 @@ def main(argv=None) -> None:
             p.add_argument("--topic")
             p.add_argument("--path")
         else:
-            p.add_argument("--click-topic", default="omniprice_clickstream")
-            p.add_argument("--quote-topic", default="omniprice_competitor_prices")
+            p.add_argument("--click-topic", default="clickstream")
+            p.add_argument("--quote-topic", default="competitor_prices")
             p.add_argument("--click-path")
             p.add_argument("--quote-path")
     a = ap.parse_args(argv)
