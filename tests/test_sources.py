@@ -79,3 +79,14 @@ def test_cli_streaming(spark, tmp_dir):
           "--quote-path", f"{tmp_dir}/q", "--out", f"{tmp_dir}/rt",
           "--checkpoint", f"{tmp_dir}/ck2", "--available-now", "--max-per-trigger", "1"])
     assert spark.read.parquet(f"{tmp_dir}/rt").agg(F.sum("pair_count")).first()[0] > 0
+
+
+def test_sorted_prepare_and_preview(spark, capsys):
+    from shelfwise.sources.files import preview
+    tx = prepare_transactions(tv.ledger(spark, SF_SMALL), sort=True)
+    for part in tx.select("invoice_date").rdd.glom().collect():
+        dates = [r[0] for r in part]
+        assert dates == sorted(dates)  # ordered within each partition
+    preview(tx, 3)
+    out = capsys.readouterr().out
+    assert "invoice_no" in out and "root" in out
