@@ -95,12 +95,16 @@ def run_all(spark: SparkSession, root: str, ledger: DataFrame | None = None,
     if begin <= 0:
         if ledger is None:
             raise ValueError("run_all needs a ledger to start at 'prepare'")
-        write_table(prepare_transactions(ledger), lay.transactions)
+        # The raw row count rides on the write (no second pass over the ledger).
+        observed, raw_rows = observe_rows(ledger, "ledger_rows")
+        write_table(prepare_transactions(observed), lay.transactions)
+        opt.metrics["ledger_rows"] = raw_rows.get["rows"]
         tx = read_table(spark, lay.transactions)
         write_table(catalog if catalog is not None else build_catalog(tx), lay.catalog)
         inv = inventory if inventory is not None else generate_inventory(historical_demand(tx))
         write_table(inv, lay.inventory)
-        write_table(quality_report(ledger, tx), lay.quality)
+        write_table(quality_report(ledger, tx, initial_rows=opt.metrics["ledger_rows"]),
+                    lay.quality)
 
     if begin <= 1:
         tx, tx_rows = observe_rows(read_table(spark, lay.transactions), "transaction_rows")

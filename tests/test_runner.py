@@ -24,6 +24,10 @@ def test_run_all_and_register(spark, tmp_dir):
     assert demand.filter(F.col("demand_level") == "HIGH").count() > 0
     report = spark.read.parquet(f"{tmp_dir}/raw/data_quality_report")
     assert report.count() == 10
+    # the observed raw count equals a direct count of the ledger
+    got = {r.metric: r.value for r in report.collect()}
+    assert got["initial_rows"] == str(ledger.count()) == str(opt.metrics["ledger_rows"])
+    assert int(got["removed_rows"]) == ledger.count() - int(got["final_transaction_rows"])
     # restart from a later stage reuses the written tables
     run_all(spark, tmp_dir, start_at="decisions", options=RunOptions(database=None))
     assert spark.read.parquet(f"{tmp_dir}/analytics/pricing_recommendations").count() \
