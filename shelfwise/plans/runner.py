@@ -14,14 +14,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.operators import (
-    build_catalog,
     clean_transactions,
     click_counts,
     competitor_average,
     demand_analytics,
     dynamic_pricing,
     generate_inventory,
-    historical_demand,
     inventory_analytics,
     observe_quality,
     optimize_inventory,
@@ -29,6 +27,7 @@ from shelfwise.operators import (
     quality_report,
     standardize_catalog,
 )
+from shelfwise.operators.prepare import catalog_and_history
 from shelfwise.operators.sales import build_master_sales, observe_rows
 from shelfwise.plans.tables import register_tables
 from shelfwise.sources.files import read_optional, read_table, write_partitioned, write_table
@@ -100,9 +99,11 @@ def run_all(spark: SparkSession, root: str, ledger: DataFrame | None = None,
         write_table(prepare_transactions(observed), lay.transactions)
         opt.metrics["ledger_rows"] = raw_rows.get["rows"]
         tx = read_table(spark, lay.transactions)
-        write_table(catalog if catalog is not None else build_catalog(tx), lay.catalog)
-        inv = inventory if inventory is not None else generate_inventory(historical_demand(tx))
-        write_table(inv, lay.inventory)
+        if catalog is None or inventory is None:
+            built_catalog, history = catalog_and_history(tx)  # one pass for both
+        write_table(catalog if catalog is not None else built_catalog, lay.catalog)
+        write_table(inventory if inventory is not None else generate_inventory(history),
+                    lay.inventory)
         write_table(quality_report(ledger, tx, initial_rows=opt.metrics["ledger_rows"]),
                     lay.quality)
 

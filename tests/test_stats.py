@@ -35,3 +35,15 @@ def test_catalog_median_modes_agree(spark):
     a = _as_dict(build_catalog(tx, median="percentile"), "product_id", "selling_price")
     b = _as_dict(build_catalog(tx), "product_id", "selling_price")
     assert a == b and len(a) > 100
+
+
+def test_catalog_and_history_in_one_pass(spark):
+    from shelfwise.operators import historical_demand
+    from shelfwise.operators.prepare import catalog_and_history
+    tx = tv.transactions(spark, SF_SMALL)
+    cat, hist = catalog_and_history(tx)
+    assert sorted(map(tuple, cat.collect())) == sorted(map(tuple, build_catalog(tx).collect()))
+    assert sorted(map(tuple, hist.collect())) == \
+        sorted(map(tuple, historical_demand(tx).collect()))
+    assert cat.columns == build_catalog(tx).columns
+    assert hist.columns == historical_demand(tx).columns
