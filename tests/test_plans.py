@@ -24,6 +24,9 @@ def test_no_python_in_plan(spark, name):
     for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                    "MapInPandas"):
         assert marker not in text, f"{name}: {marker}"
+    # every join is an equi-join: no cartesian or nested-loop plans
+    for marker in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert marker not in text, f"{name}: {marker}"
 
 
 def test_partition_pruning(spark):
