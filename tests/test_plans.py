@@ -24,6 +24,10 @@ def test_no_python_in_plan(spark, name):
     for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                    "MapInPandas"):
         assert marker not in text, f"{name}: {marker}"
+    # whole tables: no sampling, and limits only where top-k is the feature
+    assert "Sample" not in text, name
+    if name not in ("top_products", "lowest_coverage"):
+        assert "Limit" not in text and "TakeOrderedAndProject" not in text, name
     # every join is an equi-join: no cartesian or nested-loop plans
     for marker in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert marker not in text, f"{name}: {marker}"
