@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.decontam import decontaminate
 from shelfwise.llm.exact_dedup import exact_dedup
+from shelfwise.llm.language_id import identify, learn
 from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.simhash import near_duplicates
 from shelfwise.llm.substring_dedup import substring_dedup
@@ -39,6 +40,25 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir))
 
 
+def fold(modulus: int):
+    """The fold of a document: crc32 of its id as text, modulo ``modulus``."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+def held_out(modulus: int, rest: int):
+    """True for the documents that labels are not learned from (those
+    without an id too)."""
+    return F.coalesce(fold(modulus) == rest, F.lit(True)).alias("held_out")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from folds 1 to 4 of 5."""
+    docs = documents(spark, sf_dir)
+    model = learn(docs.where(fold(5) != 0))
+    return identify(docs, model).select(
+        "doc_id", held_out(5, 0), "lang_pred", "score")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal normalised texts."""
     return exact_dedup(documents(spark, sf_dir), hash_all=True)
@@ -55,4 +75,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_substring_dedup, op3_simhash, op5_mix_sources, op7_exact_dedup, op10_decontaminate)}
+    op2_substring_dedup, op3_simhash, op5_mix_sources, op6_language_id,
+    op7_exact_dedup, op10_decontaminate)}
