@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.llm import quality, toxicity
 from shelfwise.llm.decontam import decontaminate
 from shelfwise.llm.exact_dedup import exact_dedup
 from shelfwise.llm.language_id import identify, learn
@@ -64,6 +65,22 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir), hash_all=True)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from folds 0 and 2 of 3."""
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(fold(3) != 1))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out(3, 1), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from folds 1 to 4 of 5."""
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(fold(5) != 0))
+    return quality.score(docs, model).select(
+        "doc_id", held_out(5, 0), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words inside 10-word windows of benchmark items."""
     found = decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
@@ -76,4 +93,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op2_substring_dedup, op3_simhash, op5_mix_sources, op6_language_id,
-    op7_exact_dedup, op10_decontaminate)}
+    op7_exact_dedup, op8_toxicity, op9_quality, op10_decontaminate)}
