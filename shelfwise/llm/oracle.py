@@ -25,6 +25,46 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n
 FROM w LEFT JOIN per USING (doc_id)
 """
 
+OP4 = r"""
+WITH c AS (SELECT page_id, url, make_timestamp((1704067200 + ((page_id * 7919) % 8784) * 3600) * 1000000) AS fetched_at,
+                  rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '.') AS host,
+                  list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/+([^?#]*)', 1), '/'),
+                              lambda s: s <> '') AS segs
+           FROM pages),
+named AS (SELECT DISTINCT * FROM (
+            SELECT 'hosts' AS list, host AS pattern FROM c
+            UNION ALL SELECT 'domains', regexp_extract(host, '([^.]+\.[^.]+)$', 1) FROM c
+            UNION ALL SELECT 'paths', lower(host || '/' || segs[1]) FROM c WHERE len(segs) > 0 AND host <> '')
+          WHERE pattern <> ''),
+listed AS (SELECT list, pattern, list || ':' || pattern AS k FROM named
+           WHERE ('0x' || substr(md5('listed:' || list || ':' || pattern), 1, 4))::BIGINT % 3 = 0),
+ev AS (SELECT list, pattern, i, make_timestamp((1704067200
+                + (('0x' || substr(md5('day:' || k || ':' || i), 1, 6))::BIGINT % 366) * 86400) * 1000000) AS ts
+       FROM listed, unnest(range(1, ('0x' || substr(md5('events:' || k), 1, 4))::BIGINT % 6 + 2)) AS u(i)),
+day AS (SELECT list, pattern, ts, max(i % 2) AS adds FROM ev GROUP BY ALL),
+-- the latest event at or before the fetch decides, per list and pattern
+cand AS (SELECT page_id, url, fetched_at, host, day.list, day.pattern, day.ts, adds,
+                row_number() OVER (PARTITION BY page_id, url, fetched_at, day.list, day.pattern ORDER BY day.ts DESC) AS rn
+         FROM c JOIN day ON day.ts <= fetched_at
+              AND ((day.list <> 'paths' AND ('.' || host) LIKE ('%.' || day.pattern))
+                   OR (day.list = 'paths' AND len(segs) > 0 AND lower(host || '/' || segs[1]) = day.pattern))),
+act AS (SELECT * FROM cand WHERE rn = 1 AND adds = 1),
+-- the standing entry began at the first add after the last remove
+since AS (SELECT a.page_id, a.url, a.fetched_at, a.list, a.pattern,
+                 (SELECT min(d.ts) FROM day d WHERE d.list = a.list AND d.pattern = a.pattern AND d.adds = 1 AND d.ts <= a.ts
+                   AND d.ts > coalesce((SELECT max(r.ts) FROM day r WHERE r.list = a.list AND r.pattern = a.pattern
+                                        AND r.adds = 0 AND r.ts < a.ts), TIMESTAMP '1970-01-01')) AS listed_since
+          FROM act a),
+best AS (SELECT *, row_number() OVER (PARTITION BY page_id, url, fetched_at
+                                      ORDER BY length(pattern) DESC, pattern, listed_since) AS rn FROM since),
+agg AS (SELECT page_id, url, fetched_at, count(*) AS n_entries,
+               string_agg(DISTINCT list, ',' ORDER BY list) AS lists FROM since GROUP BY ALL)
+SELECT DISTINCT c.page_id, c.url, c.fetched_at, c.host, coalesce(n_entries, 0)::BIGINT AS n_entries,
+       coalesce(n_entries, 0) > 0 AS blocked, coalesce(lists, '') AS lists, best.pattern, best.listed_since
+FROM c LEFT JOIN agg ON agg.page_id = c.page_id AND agg.url = c.url AND agg.fetched_at = c.fetched_at
+     LEFT JOIN best ON best.page_id = c.page_id AND best.url = c.url AND best.fetched_at = c.fetched_at AND best.rn = 1
+"""
+
 OP5 = f"""
 WITH d AS (SELECT doc_id, source, len({_SPACE_WORDS})::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -94,6 +134,7 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 
 ORACLE_SQL = {
     "op2_substring_dedup": OP2,
+    "op4_url_filter": OP4,
     "op5_mix_sources": OP5,
     "op7_exact_dedup": OP7,
     "op10_decontaminate": OP10,

@@ -15,6 +15,7 @@ from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.simhash import near_duplicates
 from shelfwise.llm.substring_dedup import substring_dedup
 from shelfwise.llm.tables import documents, table
+from shelfwise.llm.url_filter import filter_urls, host, path_segments
 
 
 def covered(spans: str):
@@ -36,6 +37,40 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id")
 
 
+def _digits(text, salt: str, n: int):
+    """The first ``n`` hexadecimal digits of an MD5, as a number."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(salt), text)), 1, n), 16, 10).cast("long")
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Pages with a fetch time within 2024, spread by their id."""
+    seconds = F.lit(1704067200) + F.pmod(F.col("page_id") * 7919, F.lit(366 * 24)) * 3600
+    return pages.select("page_id", "url", F.timestamp_seconds(seconds).alias("fetched_at"))
+
+
+def list_events(pages: DataFrame) -> DataFrame:
+    """Dated list entries over the pages' own hosts, domains and first path
+    segments: a third of each is listed, in 1 to 6 alternating events on
+    days within 2024 that their MD5 gives."""
+    at = pages.select(host(F.col("url")).alias("h"), path_segments(F.col("url")).alias("p")).where("h <> ''")
+    named = (at.select(F.lit("hosts").alias("list"), F.col("h").alias("pattern"))
+             .union(at.select(F.lit("domains"), F.regexp_extract("h", r"([^.]+\.[^.]+)$", 1)).where("h <> ''"))
+             .union(at.where(F.size("p") > 0).select(F.lit("paths"), F.lower(F.concat_ws("/", "h", F.col("p")[0]))))
+             .where("pattern <> ''").distinct())
+    key = F.concat("list", F.lit(":"), "pattern")
+    events = named.where(_digits(key, "listed:", 4) % 3 == 0).select(
+        "list", "pattern", F.explode(F.sequence(F.lit(1), (_digits(key, "events:", 4) % 6 + 1).cast("int"))).alias("i"))
+    day = _digits(F.concat(key, F.lit(":"), F.col("i").cast("string")), "day:", 6) % 366
+    return events.select("list", "pattern", F.when(F.col("i") % 2 == 1, "add").otherwise("remove").alias("action"),
+                         F.timestamp_seconds(F.lit(1704067200) + day * 86400).alias("at"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List entries active at the fetch time of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return filter_urls(captures(pages), list_events(pages))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes from each document."""
     return mix_sources(documents(spark, sf_dir))
@@ -92,5 +127,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_substring_dedup, op3_simhash, op5_mix_sources, op6_language_id,
+    op2_substring_dedup, op3_simhash, op4_url_filter, op5_mix_sources, op6_language_id,
     op7_exact_dedup, op8_toxicity, op9_quality, op10_decontaminate)}
