@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import quality, toxicity
+from shelfwise.llm import license_scan, quality, toxicity
 from shelfwise.llm.decontam import decontaminate
 from shelfwise.llm.exact_dedup import exact_dedup
 from shelfwise.llm.language_id import identify, learn
@@ -23,6 +23,13 @@ def covered(spans: str):
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence family of every document."""
+    docs = documents(spark, sf_dir)
+    found = license_scan.scan(docs, license_scan.train(docs))
+    return license_scan.by_document(docs, found)
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after removing repeated 20-word windows."""
     return substring_dedup(documents(spark, sf_dir)).select(
@@ -127,5 +134,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_substring_dedup, op3_simhash, op4_url_filter, op5_mix_sources, op6_language_id,
+    op1_license_scan, op2_substring_dedup, op3_simhash, op4_url_filter, op5_mix_sources, op6_language_id,
     op7_exact_dedup, op8_toxicity, op9_quality, op10_decontaminate)}
