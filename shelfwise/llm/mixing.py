@@ -76,7 +76,6 @@ def sainte_lague(parties: DataFrame, *, group: list[str], key: list[str], votes:
     ties to the smallest ``key``. Votes of zero get no seat.
     """
     g = W.partitionBy(*group)
-    tie = [F.col(k).asc_nulls_last() for k in key]
     p = (parties.withColumn("_sum", F.sum(votes).over(g))
          .withColumn("_d", F.col("_sum").cast("double") / F.nullif(F.col(seats), F.lit(0)))
          .withColumn("_base", F.when((F.col(votes) > 0) & (F.col(seats) > 0),
@@ -85,8 +84,12 @@ def sainte_lague(parties: DataFrame, *, group: list[str], key: list[str], votes:
 
     def near(side: DataFrame, first: Column, best_first: bool) -> DataFrame:
         """The ``_miss`` best quotients beside the base seats, counted per party."""
-        q = F.col(votes).cast("double") / (2 * first + 1)
-        rank = W.partitionBy(*group).orderBy(q.desc() if best_first else q.asc(), *tie)
+        def ranked(k: Column):  # the last of a tie gives a seat back first
+            q = F.col(votes).cast("double") / (2 * k + 1)
+            tie = [F.col(c).asc_nulls_last() if best_first else F.col(c).desc_nulls_first() for c in key]
+            return q, W.partitionBy(*group).orderBy(q.desc() if best_first else q.asc(), *tie)
+
+        q, rank = ranked(first)
         need = F.abs(F.col("_miss"))
         side = (side.withColumn("_q", q).withColumn("_r", F.row_number().over(rank))
                 .withColumn("_edge", F.max(F.when(F.col("_r") <= need, F.struct("_r", "_q"))).over(g)["_q"]))
@@ -97,8 +100,7 @@ def sainte_lague(parties: DataFrame, *, group: list[str], key: list[str], votes:
             ks = F.sequence(F.greatest(F.lit(0).cast("long"), F.least(F.col("_base") - 1, F.ceil(reach - 1))),
                             F.col("_base") - 1)
         side = side.select(*group, *[c for c in key if c not in group], votes, "_miss", F.explode(ks).alias("_k"))
-        q = F.col(votes).cast("double") / (2 * F.col("_k") + 1)
-        rank = W.partitionBy(*group).orderBy(q.desc() if best_first else q.asc(), *tie)
+        _, rank = ranked(F.col("_k"))
         return (side.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= need)
                 .groupBy(*{**dict.fromkeys(group), **dict.fromkeys(key)})
                 .agg(F.count(F.lit(1)).alias("_change")))
