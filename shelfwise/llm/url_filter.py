@@ -105,12 +105,13 @@ def filter_urls(captures: DataFrame, events: DataFrame, *, id_col: str = "page_i
     active = ((F.col("_key") == F.col("pattern")) & (F.col("_slot") == F.col("slot"))
               & (F.col("fetched_at") >= F.col("valid_from"))
               & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to"))))
-    best = F.min(F.when(F.col("pattern").isNotNull(),
-                        F.struct((-F.length("pattern")).alias("n"), "pattern", "valid_from")))
-    out = (asked.join(cut, active, "left")
-           .groupBy("_id", "url", "fetched_at", "host")
-           .agg(F.count("pattern").alias("n_entries"), F.collect_set("list").alias("_lists"), best.alias("_best")))
-    return out.select(F.col("_id").alias(id_col), "url", "fetched_at", "host", "n_entries",
-                      (F.col("n_entries") > 0).alias("blocked"),
-                      F.array_join(F.array_sort("_lists"), ",").alias("lists"),
-                      F.col("_best.pattern").alias("pattern"), F.col("_best.valid_from").alias("listed_since"))
+    # A set: a repeated capture meets the same entries again.
+    hits = F.collect_set(F.when(F.col("pattern").isNotNull(), F.struct(
+        (-F.length("pattern")).alias("n"), "pattern", "valid_from", "list")))
+    out = (asked.join(cut, active, "left").groupBy("_id", "url", "fetched_at", "host")
+           .agg(F.array_sort(hits).alias("_hits")))
+    best = F.get("_hits", F.lit(0))
+    return out.select(F.col("_id").alias(id_col), "url", "fetched_at", "host",
+                      F.size("_hits").cast("long").alias("n_entries"), (F.size("_hits") > 0).alias("blocked"),
+                      F.array_join(F.array_sort(F.array_distinct("_hits.list")), ",").alias("lists"),
+                      best["pattern"].alias("pattern"), best["valid_from"].alias("listed_since"))
