@@ -1,7 +1,7 @@
 """Column-level building blocks: decision rules, calendar and money helpers."""
 
 from shelfwise.functions.calendar import add_calendar, sale_date
-from shelfwise.functions.money import count_mean, exact_sum, money_mean, money_sum
+from shelfwise.functions.money import amount, count_mean, money_mean, money_sum
 from shelfwise.functions.rules import (
     CATEGORY_RULES,
     EVENT_WEIGHTS,
@@ -26,9 +26,10 @@ from shelfwise.functions.rules import (
 )
 
 __all__ = [
+    "amount",
     "CATEGORY_RULES", "EVENT_WEIGHTS", "active_days", "add_calendar",
     "average_daily_demand", "classify_product", "click_signal", "count_mean",
-    "demand_level", "demand_score", "elapsed_days", "event_weight", "exact_sum",
+    "demand_level", "demand_score", "elapsed_days", "event_weight",
     "final_reorder", "inventory_action", "lead_time", "money_mean", "money_sum",
     "price_adjustment", "pricing_action", "realtime_action", "recommended_price",
     "reorder_quantity", "sale_date", "stock_coverage", "stockout_risk",

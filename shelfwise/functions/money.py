@@ -1,9 +1,12 @@
 """Order-independent sums and means of prices and revenue.
 
 A double sum depends on the order rows arrive in, so the same query can
-give different last digits on 8 or 1000 partitions. Money is summed as
-DECIMAL(38, 6) (exact for prices up to micro-units), then turned back
-into a double; a mean is that exact sum divided by the non-null count.
+give different last digits on 8 or 1000 partitions. Amounts from a
+millionth to a trillion are summed as DECIMAL(38, 18); the few outside that
+range (and a decimal sum past its 20 integer digits) are summed as doubles
+beside them, so no finite value is lost and none aborts the job. NaN and
+infinities are no amounts: they are left out of sums and counts alike. A
+mean is the sum divided by the count of amounts.
 """
 
 from __future__ import annotations
@@ -11,28 +14,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_DECIMAL = "decimal(38,6)"
+MONEY_DECIMAL = "decimal(38,18)"
+SMALLEST, LARGEST = 1e-6, 1e12
 
 
 def _col(c):
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_sum(col) -> Column:
-    """Exact decimal sum, as a decimal (null for an empty group)."""
-    return F.sum(_col(col).cast(MONEY_DECIMAL))
+def amount(col) -> Column:
+    """The value as a finite double, else null."""
+    c = _col(col).cast("double")
+    return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
 
 
 def money_sum(col) -> Column:
-    """Exact sum of money values, returned as a double."""
-    return exact_sum(col).cast("double")
+    """Sum of the amounts as a double (null for an empty group)."""
+    c = amount(col)
+    usual = (c == 0) | F.abs(c).between(SMALLEST, LARGEST)
+    inner = F.when(usual, c)
+    exact = F.coalesce(F.try_sum(inner.try_cast(MONEY_DECIMAL)).cast("double"), F.sum(inner))
+    outer = F.sum(F.when(~usual, c))
+    return F.when(exact.isNull(), outer).otherwise(exact + F.coalesce(outer, F.lit(0.0)))
 
 
 def money_mean(col) -> Column:
-    """Exact-sum mean of money values (nulls skipped), as a double."""
-    c = _col(col)
-    n = F.count(c)
-    return F.when(n > 0, exact_sum(c).cast("double") / n)
+    """Mean of the amounts, as a double."""
+    n = F.count(amount(col))
+    return F.when(n > 0, money_sum(col) / n)
 
 
 def count_mean(col) -> Column:

@@ -8,6 +8,7 @@ from shelfwise.operators.prepare import (
     dedupe_rows,
     drop_cancelled,
     drop_incomplete,
+    dropped_rows,
     generate_inventory,
     historical_demand,
     normalize_columns,
@@ -24,6 +25,7 @@ from shelfwise.operators.quality import (
     profile,
     profile_columns,
     profile_table,
+    repeated_keys,
     validation_report,
 )
 from shelfwise.operators.replenish import optimize_inventory
@@ -32,6 +34,7 @@ from shelfwise.operators.sales import (
     clean_transactions,
     master_sales,
     observe_quality,
+    partition_pruned,
     sales_quality,
     standardize_catalog,
     standardize_inventory,
@@ -47,10 +50,10 @@ __all__ = [
     "assert_unique_key", "attach_clicks", "attach_competitor", "build_catalog",
     "build_master_sales", "clean_transactions", "click_counts", "coerce_types",
     "competitor_average", "dedupe_rows", "demand_analytics", "drop_cancelled",
-    "drop_incomplete", "dynamic_pricing", "generate_inventory", "historical_demand",
+    "drop_incomplete", "dropped_rows", "dynamic_pricing", "generate_inventory", "historical_demand",
     "inventory_analytics", "lowest_coverage", "master_sales", "missing_keys",
-    "normalize_columns", "observe_quality", "optimize_inventory", "prepare",
+    "normalize_columns", "observe_quality", "optimize_inventory", "partition_pruned", "prepare",
     "prepare_transactions", "profile", "profile_columns", "profile_table", "quality_report",
-    "rename_source", "require_columns", "sales_quality", "standardize_catalog",
+    "rename_source", "repeated_keys", "require_columns", "sales_quality", "standardize_catalog",
     "standardize_inventory", "top_products", "validation_report",
 ]

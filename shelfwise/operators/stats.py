@@ -32,14 +32,18 @@ from shelfwise.session import materialize
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "median",
-                 weight: str | None = None, buckets: int = 1024, small: int = 4096,
-                 max_rounds: int = 12) -> DataFrame:
+                 weight: str | None = None, buckets: int = 1024,
+                 small: int = 4096) -> DataFrame:
     """(keys..., alias) with the exact median of ``value`` per key.
 
     Null values are skipped; rows with a null key are ignored. With
     ``weight`` naming a count column, ``df`` is taken as already reduced to
     one row per (key, value) and already materialised (a checkpoint or a
     written table), so a caller can share one pre-aggregation.
+
+    ``buckets`` and ``small`` bound a task's memory and nothing else. A round
+    puts a range's ends into different buckets, so every round narrows every
+    open range and the rounds end by themselves.
     """
     v = F.col(value).cast("double")
     present = df.filter(F.col(value).isNotNull())
@@ -62,17 +66,18 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
     state = targets.hint("rebalance")
     done_parts = []
     tkeys = [*keys, "_t"]
-    for _ in range(max_rounds):
+    while True:
         settled = (F.col("_nd") <= small) | (F.col("_lo") == F.col("_hi"))
         done_parts.append(state.filter(settled))
         state = state.filter(~settled)
         if state.isEmpty():
-            state = None
             break
         cand = vc.join(state, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        width = F.col("_hi") - F.col("_lo")
-        b = F.least(F.floor((F.col("_v") - F.col("_lo")) / width * buckets),
-                    F.lit(buckets - 1))
+        # Halves keep the width finite; the range's own ends always part.
+        width = F.nullif(F.col("_hi") / 2 - F.col("_lo") / 2, F.lit(0.0))
+        b = F.floor((F.col("_v") / 2 - F.col("_lo") / 2) / width * buckets)
+        b = (F.when(F.col("_v") == F.col("_hi"), buckets - 1).when(F.col("_v") == F.col("_lo"), 0)
+             .otherwise(F.least(F.coalesce(b, F.lit(0)), F.lit(buckets - 1))))
         per_bucket = cand.groupBy(*tkeys, "_r", b.alias("_b")).agg(
             F.sum("_c").alias("_cnt"), F.min("_v").alias("_blo"),
             F.max("_v").alias("_bhi"), F.count(F.lit(1)).alias("_bnd"))
@@ -85,8 +90,6 @@ def exact_median(df: DataFrame, keys: list[str], value: str, alias: str = "media
                             F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"),
                             F.col("_bnd").alias("_nd"))
         state = materialize(state, "median-state")
-    if state is not None:  # rounds exhausted: settle whatever is left
-        done_parts.append(state)
     settled = done_parts[0]
     for part in done_parts[1:]:
         settled = settled.unionByName(part)
