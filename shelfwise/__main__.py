@@ -4,7 +4,10 @@
 Commands
   batch     ledger -> transactions, catalog, inventory, report -> master
             sales -> demand -> inventory analytics -> pricing and restock
-            recommendations -> catalog tables (stages as in plans.runner)
+            recommendations -> catalog tables (stages as in plans.runner);
+            or from CSVs of prepared transactions, catalog and inventory
+  validate  checks of transactions against catalog and inventory
+  profile   columns, nulls, duplicates, date range and first rows of a ledger
   land      land a JSON event stream (clicks or quotes) into Parquet
   realtime  real-time pricing from the click and quote streams
 
@@ -21,7 +24,7 @@ from pyspark.sql import SparkSession
 from shelfwise.session import CLUSTER_CONF, RECOMMENDED_CONF, ensure_checkpoint_dir
 
 
-def _session(name: str) -> SparkSession:
+def _session(name: str, more: dict | None = None) -> SparkSession:
     active = SparkSession.getActiveSession()
     if active is not None:  # embedded use: never retune someone else's session
         ensure_checkpoint_dir(active)
@@ -29,7 +32,7 @@ def _session(name: str) -> SparkSession:
     from pyspark import SparkConf
     submitted = SparkConf()  # what spark-submit / spark-defaults already set
     builder = SparkSession.builder.appName(name)
-    for k, v in {**CLUSTER_CONF, **RECOMMENDED_CONF}.items():
+    for k, v in {**CLUSTER_CONF, **RECOMMENDED_CONF, **(more or {})}.items():
         if not submitted.contains(k):
             builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -45,11 +48,25 @@ def main(argv=None) -> None:
     b.add_argument("--ledger", help="raw ledger (CSV with header, or Parquet with --ledger-format)")
     b.add_argument("--ledger-format", default="csv")
     b.add_argument("--inventory", help="optional stock feed (CSV) replacing the generated one")
+    b.add_argument("--transactions", help="prepared transactions (CSV), instead of a ledger")
+    b.add_argument("--catalog", help="optional product catalog (CSV) replacing the built one")
+    b.add_argument("--by-file", action="store_true", help="bind every CSV file to its own header")
+    b.add_argument("--csv", action="store_true", help="also write the prepared tables as CSV folders")
+    b.add_argument("--unique-products", action="store_true", help="fail if a product has several demand rows")
+    b.add_argument("--dedupe-partitions", type=int, help="width of the ledger de-duplication shuffle")
     b.add_argument("--start-at", default="prepare")
     b.add_argument("--high", type=float, default=10.0)
     b.add_argument("--medium", type=float, default=3.0)
     b.add_argument("--labels", default="legacy", choices=["legacy", "normalized"])
     b.add_argument("--database", default="retail")
+    v = sub.add_parser("validate")
+    for name in ("transactions", "catalog", "inventory"):
+        v.add_argument(f"--{name}", required=True, help="Parquet, or CSV if the name ends in csv")
+    v.add_argument("--out", help="also write the report (Parquet)")
+    f = sub.add_parser("profile")
+    f.add_argument("--ledger", required=True)
+    f.add_argument("--ledger-format", default="csv")
+    f.add_argument("--out", help="also write the profile (Parquet, one folder per part)")
     for name in ("land", "realtime"):
         p = sub.add_parser(name)
         p.add_argument("--out", required=True)
@@ -70,21 +87,57 @@ def main(argv=None) -> None:
             p.add_argument("--quote-topic", default="competitor_prices")
             p.add_argument("--click-path")
             p.add_argument("--quote-path")
+            p.add_argument("--max-gap", default="1 hour", help="window in which clicks and quotes pair")
+            p.add_argument("--lateness", default="10 minutes", help="how late an event may arrive")
     a = ap.parse_args(argv)
 
     if a.cmd == "batch":
         from shelfwise.plans.runner import RunOptions, run_all
-        from shelfwise.sources.files import read_inventory, read_ledger
+        from shelfwise.sources.files import (
+            read_catalog,
+            read_inventory,
+            read_ledger,
+            read_transactions,
+        )
         spark = _session("shelfwise-batch")
         ledger = read_ledger(spark, a.ledger, a.ledger_format) if a.ledger else None
-        inv = read_inventory(spark, a.inventory) if a.inventory else None
-        opt = run_all(spark, a.root, ledger=ledger, inventory=inv, start_at=a.start_at,
-                      options=RunOptions(high=a.high, medium=a.medium, labels=a.labels,
+        tx = read_transactions(spark, a.transactions, a.by_file) if a.transactions else None
+        cat = read_catalog(spark, a.catalog, a.by_file) if a.catalog else None
+        inv = read_inventory(spark, a.inventory, a.by_file) if a.inventory else None
+        opt = run_all(spark, a.root, ledger=ledger, transactions=tx, catalog=cat, inventory=inv,
+                      start_at=a.start_at,
+                      options=RunOptions(high=a.high, medium=a.medium, labels=a.labels, csv=a.csv,
+                                         unique_products=a.unique_products,
+                                         dedupe_partitions=a.dedupe_partitions,
                                          database=a.database or None))
         print({k: v for k, v in opt.metrics.items()})
         return
 
+    if a.cmd in ("validate", "profile"):
+        from shelfwise.operators import (
+            normalize_columns,
+            profile,
+            rename_source,
+            validation_report,
+        )
+        from shelfwise.sources import files
+        spark = _session(f"shelfwise-{a.cmd}")
+        if a.cmd == "validate":
+            def read(path, as_csv):
+                return as_csv(spark, path) if path.rstrip("/").endswith("csv") else files.read_table(spark, path)
+            parts = {"validation": validation_report(
+                read(a.transactions, files.read_transactions), read(a.catalog, files.read_catalog),
+                read(a.inventory, files.read_inventory))}
+        else:
+            parts = profile(rename_source(normalize_columns(files.read_ledger(spark, a.ledger, a.ledger_format))))
+        for name, df in parts.items():
+            if a.out:
+                files.write_table(df, f"{a.out.rstrip('/')}/{name}")
+            files.preview(df, 50)
+        return
+
     from shelfwise.streaming.jobs import (
+        STATE_CONF,
         land_clickstream,
         land_competitor_prices,
         land_realtime_pricing,
@@ -102,12 +155,13 @@ def main(argv=None) -> None:
         job = land_clickstream if a.kind == "clicks" else land_competitor_prices
         job(raw, a.out, a.checkpoint, **kw).awaitTermination()
     else:
-        spark = _session("shelfwise-realtime")
+        spark = _session("shelfwise-realtime", STATE_CONF)
         rc = read_topic(spark, a.click_topic, fmt=a.format, path=a.click_path,
                         bootstrap=a.bootstrap, **cap)
         rq = read_topic(spark, a.quote_topic, fmt=a.format, path=a.quote_path,
                         bootstrap=a.bootstrap, **cap)
-        land_realtime_pricing(rc, rq, a.out, a.checkpoint, **kw).awaitTermination()
+        land_realtime_pricing(rc, rq, a.out, a.checkpoint, max_gap=a.max_gap, lateness=a.lateness,
+                              **kw).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -14,10 +14,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.operators import (
+    assert_unique_key,
     clean_transactions,
     click_counts,
     competitor_average,
     demand_analytics,
+    dropped_rows,
     dynamic_pricing,
     generate_inventory,
     inventory_analytics,
@@ -26,11 +28,19 @@ from shelfwise.operators import (
     prepare_transactions,
     quality_report,
     standardize_catalog,
+    validation_report,
 )
 from shelfwise.operators.prepare import catalog_and_history
 from shelfwise.operators.sales import build_master_sales, observe_rows
 from shelfwise.plans.tables import register_tables
-from shelfwise.sources.files import read_optional, read_table, write_partitioned, write_table
+from shelfwise.session import run_folder
+from shelfwise.sources.files import (
+    read_optional,
+    read_table,
+    write_csv,
+    write_partitioned,
+    write_table,
+)
 
 STAGES = ["prepare", "sales", "demand", "inventory", "decisions", "register"]
 
@@ -51,6 +61,10 @@ class Layout:
     @property
     def quality(self): return self.path("raw", "data_quality_report")
     @property
+    def dropped(self): return self.path("raw", "dropped_rows")
+    @property
+    def validation(self): return self.path("raw", "validation_report")
+    @property
     def master_sales(self): return self.path("processed", "master_sales")
     @property
     def demand(self): return self.path("processed", "demand_analytics")
@@ -74,38 +88,61 @@ class RunOptions:
     overstock: int = 500
     stockout_is_urgent: bool = False
     database: str | None = "retail"
+    csv: bool = False  # M1 also as CSV folders beside the Parquet tables
+    unique_products: bool = False  # fail if a product has several demand rows (J3 multiplies them)
+    dedupe_partitions: int | None = None
     metrics: dict = field(default_factory=dict)
 
 
 def run_all(spark: SparkSession, root: str, ledger: DataFrame | None = None,
             inventory: DataFrame | None = None, catalog: DataFrame | None = None,
             clicks: DataFrame | None = None, quotes: DataFrame | None = None,
-            options: RunOptions | None = None, start_at: str = "prepare") -> RunOptions:
+            options: RunOptions | None = None, start_at: str = "prepare",
+            transactions: DataFrame | None = None) -> RunOptions:
     """Run the chain from ``start_at``; return the options with metrics.
 
-    ``ledger`` is needed when starting at "prepare". ``inventory`` and
-    ``catalog`` override the prepared ones (e.g. a real stock feed);
-    ``clicks``/``quotes`` override the landed streams under ``root``.
+    Starting at "prepare" needs a raw ``ledger``, or ``transactions`` that
+    are prepared already (S1). ``inventory`` and ``catalog`` override the
+    prepared ones (S2, S3, e.g. a real stock feed); ``clicks``/``quotes``
+    override the landed streams under ``root``. Tables that only one run
+    needs are deleted at its end.
     """
-    opt = options or RunOptions()
+    with run_folder(spark):
+        return _run(spark, root, ledger, inventory, catalog, clicks, quotes, options or RunOptions(),
+                    STAGES.index(start_at), transactions)
+
+
+def _run(spark, root, ledger, inventory, catalog, clicks, quotes, opt, begin, transactions) -> RunOptions:
     lay = Layout(root)
-    begin = STAGES.index(start_at)
 
     if begin <= 0:
-        if ledger is None:
-            raise ValueError("run_all needs a ledger to start at 'prepare'")
-        # The raw row count rides on the write (no second pass over the ledger).
-        observed, raw_rows = observe_rows(ledger, "ledger_rows")
-        write_table(prepare_transactions(observed), lay.transactions)
-        opt.metrics["ledger_rows"] = raw_rows.get["rows"]
+        if ledger is None and transactions is None:
+            raise ValueError("run_all needs a ledger or transactions to start at 'prepare'")
+        if transactions is not None:
+            write_table(transactions, lay.transactions)
+        else:
+            # The raw row count rides on the write (no second pass over the ledger).
+            observed, raw_rows = observe_rows(ledger, "ledger_rows")
+            write_table(prepare_transactions(observed, dedupe_partitions=opt.dedupe_partitions), lay.transactions)
+            opt.metrics["ledger_rows"] = raw_rows.get["rows"]
         tx = read_table(spark, lay.transactions)
         if catalog is None or inventory is None:
             built_catalog, history = catalog_and_history(tx)  # one pass for both
         write_table(catalog if catalog is not None else built_catalog, lay.catalog)
         write_table(inventory if inventory is not None else generate_inventory(history),
                     lay.inventory)
-        write_table(quality_report(ledger, tx, initial_rows=opt.metrics["ledger_rows"]),
-                    lay.quality)
+        if ledger is not None and transactions is None:
+            write_table(quality_report(ledger, tx, initial_rows=opt.metrics["ledger_rows"]), lay.quality)
+            write_table(dropped_rows(ledger), lay.dropped)
+        write_table(validation_report(tx, read_table(spark, lay.catalog), read_table(spark, lay.inventory)),
+                    lay.validation)
+        verdict = read_table(spark, lay.validation).where("metric = 'validation'").first()
+        opt.metrics["validation"] = verdict["value"]
+        if opt.csv:
+            for name in ("transactions", "product_catalog", "inventory", "data_quality_report"):
+                part = read_optional(spark, lay.path("raw", name))
+                if part is not None:
+                    write_csv(part, lay.path("raw", f"{name}_csv"))
 
     if begin <= 1:
         tx, tx_rows = observe_rows(read_table(spark, lay.transactions), "transaction_rows")
@@ -122,9 +159,9 @@ def run_all(spark: SparkSession, root: str, ledger: DataFrame | None = None,
                                      high=opt.high, medium=opt.medium), lay.demand)
 
     if begin <= 3:
-        write_table(inventory_analytics(read_table(spark, lay.demand),
-                                        read_table(spark, lay.inventory)),
-                    lay.inventory_analytics)
+        stock, stock_rows = observe_rows(read_table(spark, lay.inventory), "inventory_rows")
+        write_table(inventory_analytics(read_table(spark, lay.demand), stock), lay.inventory_analytics)
+        opt.metrics.setdefault("input_rows", {})["inventory"] = stock_rows.get["rows"]
 
     if begin <= 4:
         clicks = clicks if clicks is not None else read_optional(spark, lay.clickstream)
@@ -139,6 +176,8 @@ def run_all(spark: SparkSession, root: str, ledger: DataFrame | None = None,
             averages = competitor_average(quotes)
         demand = read_table(spark, lay.demand)
         inv_an = read_table(spark, lay.inventory_analytics)
+        if opt.unique_products:
+            assert_unique_key(demand, "product_id")
         write_table(dynamic_pricing(demand, inv_an, click_count_table=counts,
                                     competitor_table=averages, labels=opt.labels,
                                     overstock=opt.overstock), lay.pricing)

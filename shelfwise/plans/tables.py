@@ -32,6 +32,7 @@ def register_tables(spark: SparkSession, root: str, database: str = "retail",
     for name, (rel, parts) in (tables or TABLES).items():
         full = f"{_q(database)}.{_q(name)}"
         location = f"{root.rstrip('/')}/{rel}"
+        quoted = location.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"DROP TABLE IF EXISTS {full}")
         if parts:
             # A partitioned table needs its columns spelled out; they are
@@ -41,7 +42,7 @@ def register_tables(spark: SparkSession, root: str, database: str = "retail",
             part_clause = f"({cols}) USING PARQUET PARTITIONED BY ({', '.join(_q(p) for p in parts)})"
         else:
             part_clause = "USING PARQUET"
-        spark.sql(f"CREATE TABLE {full} {part_clause} LOCATION '{location}'")
+        spark.sql(f"CREATE TABLE {full} {part_clause} LOCATION '{quoted}'")
         if parts:
             spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
         done.append(f"{database}.{name}")

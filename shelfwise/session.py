@@ -6,9 +6,10 @@ session that owns its input frames.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -25,16 +26,17 @@ RECOMMENDED_CONF = {
 
 # Defaults for large clusters, applied by the command line only where the
 # submitted configuration leaves them unset. Scan splits and post-shuffle
-# partitions of ~256 MB keep tasks inside executor memory; the initial
-# shuffle width must cover the largest shuffle (the full-row ledger
-# de-duplication: ~50 TB of shuffle data at 100 TB input / 256 MB ~ 200k),
-# AQE then coalesces the small stages to the advisory size instead of
-# spreading them thin (parallelismFirst off).
+# partitions of ~256 MB keep tasks inside executor memory; AQE coalesces
+# small stages to the advisory size instead of spreading them thin
+# (parallelismFirst off). The one wide shuffle of the batch chain, the
+# full-row ledger de-duplication, has its own width (``--dedupe-partitions``):
+# a session-wide width for it would cost the driver map tasks x partitions
+# of bookkeeping in every other shuffle.
 CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.shuffle.partitions": "200000",
+    "spark.sql.shuffle.partitions": "4000",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
 }
 
@@ -60,15 +62,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder that ``spark.checkpoint.dir`` names.
 
-    On a cluster the folder comes from the session configuration and is
-    used as is. Only when it is unset (local tests) a scratch folder is
-    created and registered.
+    Only a local master may leave it unset (tests): then a scratch folder is
+    created and registered. On a cluster a folder of the driver's machine
+    would be out of the executors' reach, so an unset folder is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    path = configured or tempfile.mkdtemp(prefix="shelfwise-ckpt-")
-    if not configured:
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        master = spark.conf.get("spark.master", "local") or "local"
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:
         spark.sparkContext.setCheckpointDir(path)
@@ -77,13 +82,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_RUN: ContextVar[str | None] = ContextVar("shelfwise_run", default=None)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for stream checkpoints and lineage-cutting tables."""
     return ensure_checkpoint_dir(spark).rstrip("/")
 
 
-def subdir(root: str, *parts: str) -> str:
-    return os.path.join(root, *parts)
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this process wrote, through Spark's file systems."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+@contextmanager
+def run_folder(spark: SparkSession):
+    """Tables that :func:`materialize` writes inside this block go to one
+    folder, which is deleted when the block ends."""
+    path = f"{checkpoint_root(spark)}/tables/run-{uuid.uuid4().hex[:12]}"
+    token = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        delete_folder(spark, path)
 
 
 def materialize(df, name: str):
@@ -91,6 +115,7 @@ def materialize(df, name: str):
     it back: the lineage is cut at a columnar table that any executor can
     re-read after a failure (cheaper to write than an RDD checkpoint)."""
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    root = _RUN.get() or f"{checkpoint_root(spark)}/tables"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

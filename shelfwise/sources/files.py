@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,37 +12,70 @@ from pyspark.sql import types as T
 from shelfwise import schemas
 
 
-def _csv_by_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a CSV with a header, binding declared types by column *name*.
-
-    Spark applies a declared CSV schema by position, so a file whose
-    columns are in another order would be read swapped. The header is read
-    first (one small job on the first line), the declared schema is
-    re-ordered to match it, then the columns are selected by name.
-    """
-    header = spark.read.option("header", True).csv(path).columns
-    by_name = {f.name: f for f in schema.fields}
-    ordered = T.StructType([
-        by_name.get(name, T.StructField(name, T.StringType(), True)) for name in header
-    ])
-    df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-          .schema(ordered).csv(path))
-    return df.select(*[F.col(f.name) for f in schema.fields if f.name in header])
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files of a CSV input by their header. Only first lines are parsed, in
+    tasks; the driver gets one row per file."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"), "value").where("at = 0")
+    heads = lines.groupBy("file").agg(F.min_by("value", "n").alias("head")).collect()
+    out: dict[tuple[str, ...], list[str]] = {}
+    for row in heads:
+        names = next(csv.reader([row["head"].lstrip("\ufeff")]), [])
+        out.setdefault(tuple(names), []).append(row["file"])
+    return out
 
 
-def read_transactions(spark: SparkSession, path: str) -> DataFrame:
-    """Prepared transactions CSV with the declared schema."""
-    return _csv_by_header(spark, path, schemas.TRANSACTIONS)
+def _csv_by_header(spark: SparkSession, path: str, schema: T.StructType, optional: tuple[str, ...] = (),
+                   by_file: bool = False) -> DataFrame:
+    """Read a CSV with a header, binding declared types by column *name*.
 
+    Spark applies a declared CSV schema by position, so a file whose columns
+    are in another order would be read swapped. The declared schema is put in
+    the order of the header of one file; a file with another header fails
+    the read instead of being read swapped (``enforceSchema`` off). With
+    ``by_file`` files are grouped by their own header, at the price of a
+    pass over the text, and every group is bound to its own.
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+    A declared column that the header lacks is an error, unless ``optional``
+    names it: then it is null.
+    """
+    if by_file:
+        groups = list(_headers(spark, path).items())
+    else:
+        groups = [(tuple(spark.read.option("header", True).csv(path).columns), [path])]
+    out = None
+    for header, files in groups:
+        lacking = [f.name for f in schema.fields if f.name not in header and f.name not in optional]
+        if lacking:
+            raise ValueError(f"{files[0]}: no columns {lacking} in the header {list(header)}")
+        by_name = {f.name: f for f in schema.fields}
+        ordered = T.StructType([
+            by_name.get(name, T.StructField(name, T.StringType(), True)) for name in header])
+        df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+              .option("enforceSchema", False).schema(ordered).csv(files))
+        df = df.select(*[F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in schema.fields])
+        out = df if out is None else out.unionByName(df)
+    if out is None:
+        raise ValueError(f"{path}: no CSV files")
+    return out
+
+
+def read_transactions(spark: SparkSession, path: str, by_file: bool = False) -> DataFrame:
+    """Prepared transactions CSV with the declared schema; a source
+    without customers has null ``customer_id``."""
+    return _csv_by_header(spark, path, schemas.TRANSACTIONS, ("customer_id",), by_file)
+
+
+def read_catalog(spark: SparkSession, path: str, by_file: bool = False) -> DataFrame:
     """Catalog CSV; ids kept as text, no inference pass."""
-    return _csv_by_header(spark, path, schemas.CATALOG_CSV)
+    return _csv_by_header(spark, path, schemas.CATALOG_CSV, (), by_file)
 
 
-def read_inventory(spark: SparkSession, path: str) -> DataFrame:
+def read_inventory(spark: SparkSession, path: str, by_file: bool = False) -> DataFrame:
     """S3: inventory CSV; measures read as double, cast later."""
-    return _csv_by_header(spark, path, schemas.INVENTORY_CSV)
+    return _csv_by_header(spark, path, schemas.INVENTORY_CSV, (), by_file)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -70,9 +105,9 @@ def load_products(spark: SparkSession, path: str) -> DataFrame:
         try:
             df = read_catalog(spark, path)
         except AnalysisException as exc:
-            raise FileNotFoundError(f"Product catalog not found at: {path}") from exc
+            raise FileNotFoundError(f"no catalog under {path}") from exc
     if df.isEmpty():
-        raise ValueError("Product catalog is empty.")
+        raise ValueError(f"the catalog under {path} has no rows")
     return df
 
 
