@@ -35,10 +35,14 @@ def parse_events(df: DataFrame, schema: T.StructType, value: str = "value") -> D
 
 def with_event_timestamp(df: DataFrame, source: str = "event_time",
                          target: str = "event_timestamp") -> DataFrame:
-    """Parse the zone-less event time; unparsable text gives null and
-    the row stays. Event times are UTC wall-clock without a zone, so they
-    are parsed as TIMESTAMP_NTZ and do not shift with the session zone."""
-    return df.withColumn(target, F.col(source).try_cast("timestamp_ntz"))
+    """The event time as a timestamp; unparsable text gives null and the
+    row stays. A text without a zone is UTC whatever the session's zone is;
+    an offset in the text is honoured."""
+    text = F.trim(F.col(source))
+    zoned = text.rlike(r"([zZ]|[+-]\d{2}:?\d{2})$") & text.contains(":")
+    parsed = F.coalesce(F.try_to_timestamp(F.when(zoned, text).otherwise(F.concat(text, F.lit("Z")))),
+                        F.try_to_timestamp(F.concat(text, F.lit("T00:00:00Z"))))
+    return df.withColumn(target, parsed)
 
 
 def with_processed_at(df: DataFrame) -> DataFrame:
@@ -76,56 +80,69 @@ def encode_events(df: DataFrame) -> DataFrame:
 # Real-time pricing
 # --------------------------------------------------------------------------
 
+def _time(df: DataFrame) -> list[str]:
+    return [c for c in ("event_timestamp",) if c in df.columns]
+
+
 def realtime_clicks(parsed_clicks: DataFrame) -> DataFrame:
     """T5 + R16: click side of the join (event type may be null)."""
     return (parsed_clicks.filter(F.col("product_id").isNotNull())
-            .select("product_id", rules.event_weight("event_type").alias("demand_score")))
+            .select("product_id", rules.event_weight("event_type").alias("demand_score"), *_time(parsed_clicks)))
 
 
 def realtime_quotes(parsed_quotes: DataFrame) -> DataFrame:
     """T5: quote side of the join (price may be null)."""
     return (parsed_quotes.filter(F.col("product_id").isNotNull())
-            .select("product_id", "competitor", "competitor_price", "availability"))
+            .select("product_id", "competitor", "competitor_price", "availability", *_time(parsed_quotes)))
 
 
 CLICK_KEYS = ["product_id", "demand_score"]
 QUOTE_KEYS = ["product_id", "competitor", "competitor_price", "availability"]
 
 
-def click_groups(clicks: DataFrame) -> DataFrame:
-    """Clicks reduced to (product, score) -> count; at most five rows per
-    product, since a score is one of five weights."""
-    return clicks.groupBy(*CLICK_KEYS).agg(F.count(F.lit(1)).alias("click_events"))
-
+def _grouped(df: DataFrame, keys: list[str], count: str, max_gap: str | None) -> DataFrame:
+    """Events reduced to distinct keys with their number, per window of
+    length ``max_gap`` where one is given."""
+    by = [F.window("event_timestamp", max_gap).alias("window")] if max_gap else []
+    return df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias(count))
 
-def quote_groups(quotes: DataFrame) -> DataFrame:
-    """Quotes reduced to distinct (product, competitor, price, availability)."""
-    return quotes.groupBy(*QUOTE_KEYS).agg(F.count(F.lit(1)).alias("quote_events"))
 
-
-def pair_rows(cg: DataFrame, qg: DataFrame) -> DataFrame:
-    """Join grouped clicks and quotes on product; ``pair_count`` is the
-    number of (click, quote) pairs each output row stands for."""
-    j = cg.join(qg, on="product_id", how="inner")
-    return j.select(
-        "product_id", "demand_score", "competitor", "competitor_price", "availability",
-        rules.realtime_action("demand_score", "competitor_price").alias("pricing_action"),
-        (F.col("click_events") * F.col("quote_events")).alias("pair_count"),
-    )
-
-
-def realtime_pricing(parsed_clicks: DataFrame, parsed_quotes: DataFrame) -> DataFrame:
+def realtime_pricing(parsed_clicks: DataFrame, parsed_quotes: DataFrame, max_gap: str | None = None,
+                     lateness: str | None = None) -> DataFrame:
     """Every click x quote pair of a product with its pricing action.
 
     The source job emits one row per pair (a product with c clicks and q
     quotes gives c*q rows, quadratic in a hot product). The action only
     depends on (score, price), so both sides are first reduced to groups
+    (clicks to at most five rows per product, quotes to the distinct ones)
     and each output row carries ``pair_count``, the number of pairs it
     stands for: the multiset of pairs is kept whole while the output grows
     with the number of distinct quotes (times at most five scores).
+
+    Without ``max_gap`` a quote meets every earlier and later click, as in
+    the source job, which on streams would need state without end. With it,
+    pairs form inside event-time windows of that length: the frame gains
+    ``window_start``, and events without a time (null) pair with none. On
+    streaming frames ``max_gap`` and ``lateness`` are needed: two windowed
+    aggregates under watermarks, joined on (window, product), all in Spark's
+    state store; a window leaves the state once the watermark has passed it.
     """
-    return pair_rows(click_groups(realtime_clicks(parsed_clicks)),
-                     quote_groups(realtime_quotes(parsed_quotes)))
+    if max_gap:
+        parsed_clicks, parsed_quotes = with_event_timestamp(parsed_clicks), with_event_timestamp(parsed_quotes)
+    clicks, quotes = realtime_clicks(parsed_clicks), realtime_quotes(parsed_quotes)
+    if clicks.isStreaming or quotes.isStreaming:
+        if not (max_gap and lateness):
+            raise ValueError("a stream join without max_gap and lateness would keep its state for ever")
+        clicks = clicks.withWatermark("event_timestamp", lateness)
+        quotes = quotes.withWatermark("event_timestamp", lateness)
+    on = ["window", "product_id"] if max_gap else ["product_id"]
+    pairs = _grouped(clicks, CLICK_KEYS, "click_events", max_gap).join(
+        _grouped(quotes, QUOTE_KEYS, "quote_events", max_gap), on)
+    return pairs.select(
+        *([F.col("window.start").alias("window_start")] if max_gap else []),
+        *QUOTE_KEYS[:1], "demand_score", *QUOTE_KEYS[1:],
+        rules.realtime_action("demand_score", "competitor_price").alias("pricing_action"),
+        (F.col("click_events") * F.col("quote_events")).alias("pair_count"))
 
 
 def parse_clicks(df: DataFrame, value: str = "value") -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise import schemas
-from shelfwise.session import checkpoint_root
 from shelfwise.streaming import events as ev
 
 DEFAULT_TRIGGER = "10 seconds"
@@ -39,12 +38,19 @@ def read_topic(spark: SparkSession, topic: str | None = None, fmt: str = "kafka"
     return reader.load(path)
 
 
-def peek_topic(spark: SparkSession, topic: str, schema, bootstrap: str = "localhost:9092",
-               n: int = 20) -> DataFrame:
+def peek_topic(spark: SparkSession, topic: str | None, schema, bootstrap: str = "localhost:9092",
+               n: int = 20, fmt: str = "kafka", path: str | None = None) -> DataFrame:
     """Bounded batch read from the earliest offset, with partition,
-    offset and the parsed fields (a debugging view of a topic)."""
-    raw = (spark.read.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-           .option("subscribe", topic).option("startingOffsets", "earliest").load())
+    offset and the parsed fields (a debugging view of a topic). ``fmt="text"``
+    reads newline-delimited JSON from ``path``; each file is a partition and
+    the offset numbers its lines' order in the scan."""
+    if fmt == "kafka":
+        raw = (spark.read.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+               .option("subscribe", topic).option("startingOffsets", "earliest").load())
+    else:
+        raw = spark.read.format(fmt).load(path).select(
+            F.spark_partition_id().alias("partition"),
+            F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("offset"), "value")
     parsed = raw.select("partition", "offset",
                         F.from_json(F.col("value").cast("string"), schema).alias("data"))
     return parsed.select("partition", "offset", "data.*").limit(n)
@@ -63,107 +69,42 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, trigger: str = DEFAU
     return w.start()
 
 
-def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str) -> str:
-    return checkpoint or f"{checkpoint_root(spark)}/checkpoints/{name}"
+def _checkpoint(path: str, checkpoint: str | None) -> str:
+    """The given checkpoint, else the one that belongs to the output: beside
+    it, so that output and offsets are never taken from different runs."""
+    return checkpoint or f"{path.rstrip('/')}.checkpoint"
 
 
 def land_clickstream(raw: DataFrame, path: str, checkpoint: str | None = None,
                      **kw) -> StreamingQuery:
     """M7: raw click values -> parsed, cleaned, weighted -> Parquet."""
     df = ev.clean_clickstream(ev.parse_events(raw, schemas.CLICK_EVENT))
-    return write_stream(df, path, _checkpoint(raw.sparkSession, checkpoint, "clickstream"),
-                        **kw)
+    return write_stream(df, path, _checkpoint(path, checkpoint), **kw)
 
 
 def land_competitor_prices(raw: DataFrame, path: str, checkpoint: str | None = None,
                            **kw) -> StreamingQuery:
     """M8: raw quote values -> parsed, cleaned -> Parquet."""
     df = ev.clean_competitor(ev.parse_events(raw, schemas.COMPETITOR_EVENT))
-    return write_stream(df, path,
-                        _checkpoint(raw.sparkSession, checkpoint, "competitor_prices"), **kw)
-
-
-# --------------------------------------------------------------------------
-# M9: real-time pricing as an incremental join over grouped state
-# --------------------------------------------------------------------------
-
-def _tagged(raw_clicks: DataFrame, raw_quotes: DataFrame) -> DataFrame:
-    c = ev.realtime_clicks(ev.parse_events(raw_clicks, schemas.CLICK_EVENT))
-    q = ev.realtime_quotes(ev.parse_events(raw_quotes, schemas.COMPETITOR_EVENT))
-    c = c.select(F.lit("c").alias("side"), "product_id", "demand_score",
-                 F.lit(None).cast("string").alias("competitor"),
-                 F.lit(None).cast("double").alias("competitor_price"),
-                 F.lit(None).cast("boolean").alias("availability"))
-    q = q.select(F.lit("q").alias("side"), "product_id",
-                 F.lit(None).cast("int").alias("demand_score"),
-                 "competitor", "competitor_price", "availability")
-    return c.unionByName(q)
-
-
-class RealtimePricingBatch:
-    """foreachBatch body of M9.
-
-    Clicks are kept as (product, score) -> count and quotes as distinct
-    (product, competitor, price, availability) -> count in two Parquet
-    state tables under the shared checkpoint folder. For micro-batch N the
-    new pairs are  dClicks x oldQuotes  +  (oldClicks + dClicks) x dQuotes,
-    each row weighted by ``pair_count``; the output goes to partition
-    batch_id=N (overwritten on replay) and the new state to slot N % 2,
-    while slot (N-1) % 2 is only read. A batch that fails half-way is
-    simply redone from the last committed slot, so lost executors or a
-    restarted driver never double-count.
-    """
+    return write_stream(df, path, _checkpoint(path, checkpoint), **kw)
+
 
-    def __init__(self, out_path: str, state_path: str):
-        self.out_path = out_path
-        self.state_path = state_path
-
-    def _slot(self, side: str, batch_id: int) -> str:
-        return f"{self.state_path}/{side}/slot={batch_id % 2}"
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        # The batch feeds three writes (pairs and both state slots): keep it
-        # once instead of re-reading the source for each (a lost block is
-        # simply recomputed from the source offsets of this batch).
-        batch = batch.persist()
-        try:
-            self._run(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    def _run(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        d_clicks = ev.click_groups(batch.filter(F.col("side") == "c"))
-        d_quotes = ev.quote_groups(batch.filter(F.col("side") == "q"))
-        if batch_id == 0:
-            old_c, old_q = d_clicks.limit(0), d_quotes.limit(0)
-        else:
-            # Every committed batch wrote its slot (an empty state is still a
-            # file with a schema), so a missing slot means lost state: fail
-            # rather than count pairs against an empty history.
-            old_c = spark.read.parquet(self._slot("clicks", batch_id - 1))
-            old_q = spark.read.parquet(self._slot("quotes", batch_id - 1))
-        new_c = (old_c.unionByName(d_clicks).groupBy(*ev.CLICK_KEYS)
-                 .agg(F.sum("click_events").alias("click_events")))
-        new_q = (old_q.unionByName(d_quotes).groupBy(*ev.QUOTE_KEYS)
-                 .agg(F.sum("quote_events").alias("quote_events")))
-        pairs = ev.pair_rows(d_clicks, old_q).unionByName(ev.pair_rows(new_c, d_quotes))
-        out = (pairs.withColumn("processed_at", F.current_timestamp())
-               .withColumn("batch_id", F.lit(batch_id)))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(self.out_path))
-        new_c.write.mode("overwrite").parquet(self._slot("clicks", batch_id))
-        new_q.write.mode("overwrite").parquet(self._slot("quotes", batch_id))
+# Streams run with a width of their own: every micro-batch touches all
+# partitions of the state store.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.shuffle.partitions": "48",
+}
 
 
 def land_realtime_pricing(raw_clicks: DataFrame, raw_quotes: DataFrame, path: str,
-                          checkpoint: str | None = None, trigger: str = DEFAULT_TRIGGER,
-                          available_now: bool = False) -> StreamingQuery:
-    """M9: both raw streams -> incremental grouped join -> Parquet."""
-    spark = raw_clicks.sparkSession
-    ckpt = _checkpoint(spark, checkpoint, "real_time_pricing")
-    body = RealtimePricingBatch(path, f"{ckpt}/join_state")
-    w = (_tagged(raw_clicks, raw_quotes).writeStream.foreachBatch(body)
-         .option("checkpointLocation", ckpt))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
-    return w.start()
+                          checkpoint: str | None = None, max_gap: str = "1 hour",
+                          lateness: str = "10 minutes", **kw) -> StreamingQuery:
+    """M9: both raw streams -> windowed aggregates joined in the state store
+    -> Parquet, append only. A window's pairs are written once the watermark
+    (latest event time less ``lateness``) has passed its end."""
+    pairs = ev.realtime_pricing(ev.parse_events(raw_clicks, schemas.CLICK_EVENT),
+                                ev.parse_events(raw_quotes, schemas.COMPETITOR_EVENT),
+                                max_gap=max_gap, lateness=lateness)
+    return write_stream(ev.with_processed_at(pairs), path, _checkpoint(path, checkpoint), **kw)
