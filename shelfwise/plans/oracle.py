@@ -6,34 +6,33 @@ plan). Conventions that make the two engines agree exactly:
 
 * Spark rounds half-up on the shortest decimal text of a double; the SQL
   rounds the same text as a DECIMAL (``R2``).
-* Money sums are DECIMAL(38,6) sums turned into doubles, and means are
-  those sums over the count, as the Spark operators compute them.
+* Money sums are exact sums of decimals with 18 digits after the point; what
+  such a decimal cannot hold well (under a millionth, over a trillion) is
+  summed as doubles beside it. NaN and infinities count nowhere. A mean is
+  the sum over the count.
+* Word lists, weights, thresholds and the fixtures' rules are written out
+  here; nothing is taken from the code under test.
 * DuckDB's ``dayofweek`` is 0-based, its integer sums are HUGEINT and its
   ``year()`` is BIGINT: all are cast to the Spark types.
 """
 
 from __future__ import annotations
 
-from shelfwise.functions.rules import CATEGORY_RULES, EVENT_WEIGHTS
-from shelfwise.plans.queries import PRUNE_YEAR, SCALED_HIGH, SCALED_MEDIUM
-from shelfwise.sources.testviews import (
-    COUNTRIES,
-    DEVICES,
-    EVENT_TYPE_MAP,
-    JSON_VARIANT_EVERY,
-)
-
-
 def R2(x: str) -> str:
     return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,15)), 2) AS DOUBLE)"
 
 
 def MSUM(x: str) -> str:
-    return f"CAST(SUM(CAST(({x}) AS DECIMAL(38,6))) AS DOUBLE)"
+    usual = f"isfinite({x}) AND (({x}) = 0 OR abs({x}) BETWEEN 0.000001::DOUBLE AND 1e12::DOUBLE)"
+    rare = f"isfinite({x}) AND NOT (({x}) = 0 OR abs({x}) BETWEEN 0.000001::DOUBLE AND 1e12::DOUBLE)"
+    inner = f"CAST(SUM(TRY_CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18))) FILTER (WHERE {usual}) AS DOUBLE)"
+    outer = f"SUM({x}) FILTER (WHERE {rare})"
+    return f"(CASE WHEN {inner} IS NULL THEN {outer} ELSE {inner} + COALESCE({outer}, 0::DOUBLE) END)"
 
 
 def MMEAN(x: str) -> str:
-    return f"(CASE WHEN COUNT({x}) > 0 THEN {MSUM(x)} / COUNT({x}) END)"
+    n = f"COUNT({x}) FILTER (WHERE isfinite({x}))"
+    return f"(CASE WHEN {n} > 0 THEN {MSUM(x)} / {n} END)"
 
 
 def _lit(s: str) -> str:
@@ -41,16 +40,24 @@ def _lit(s: str) -> str:
 
 
 def classify_sql(x: str) -> str:
-    branches = []
-    for cat, kws in CATEGORY_RULES:
-        cond = " OR ".join(f"contains(upper({x}), {_lit(k)})" for k in dict.fromkeys(kws))
-        branches.append(f"WHEN {cond} THEN {_lit(cat)}")
-    return "(CASE " + " ".join(branches) + " ELSE 'OTHER' END)"
+    def any_of(*words: str) -> str:
+        return " OR ".join(f"contains(upper({x}), '{w}')" for w in words)
+    return f"""(CASE
+  WHEN {any_of('BAG', 'PURSE', 'TOTE', 'SHOPPER')} THEN 'BAG'
+  WHEN {any_of('MUG', 'CUP')} THEN 'MUG'
+  WHEN {any_of('CANDLE', 'VOTIVE', 'TEALIGHT')} THEN 'CANDLE'
+  WHEN {any_of('KITCHEN', 'PLATE', 'BOWL', 'SPOON', 'FORK', 'KNIFE', 'CUTLERY', 'JUG', 'TEAPOT')} THEN 'KITCHEN'
+  WHEN {any_of('FRAME', 'MIRROR', 'ORNAMENT', 'DECORATION', 'WALL', 'SIGN', 'HANGING')} THEN 'DECORATION'
+  WHEN {any_of('TOY', 'GAME', 'DOLL', 'PUZZLE')} THEN 'TOY'
+  WHEN {any_of('PEN', 'NOTEBOOK', 'PAPER', 'CARD', 'STATIONERY')} THEN 'STATIONERY'
+  WHEN {any_of('CUSHION', 'PILLOW', 'TOWEL', 'BLANKET', 'FABRIC')} THEN 'TEXTILE'
+  WHEN {any_of('GIFT', 'PRESENT', 'WRAP')} THEN 'GIFT'
+  ELSE 'OTHER' END)"""
 
 
 def weight_sql(x: str) -> str:
-    parts = " ".join(f"WHEN {x} = {_lit(k)} THEN {v}" for k, v in EVENT_WEIGHTS.items())
-    return f"(CASE {parts} ELSE 0 END)"
+    return (f"(CASE {x} WHEN 'purchase' THEN 5 WHEN 'add_to_cart' THEN 3 WHEN 'view' THEN 1 "
+            "WHEN 'remove_from_cart' THEN -1 ELSE 0 END)")
 
 
 def lead_sql(x: str) -> str:
@@ -67,13 +74,7 @@ def signal_sql(x: str) -> str:
     return f"(CASE WHEN {x} >= 100 THEN 'HIGH' WHEN {x} >= 30 THEN 'MEDIUM' ELSE 'LOW' END)"
 
 
-def _list(values) -> str:
-    return "[" + ", ".join(_lit(v) for v in values) + "]"
-
-
 ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
-EVENT_MAP = " ".join(f"WHEN event_type = {_lit(k)} THEN {_lit(v)}"
-                     for k, v in EVENT_TYPE_MAP.items())
 
 # --------------------------------------------------------------------------
 # CTEs (name -> (dependencies, body))
@@ -86,50 +87,98 @@ def cte(name, deps, body):
     CTES[name] = (deps, body)
 
 
-cte("ledger", [], """
-SELECT CASE WHEN l_returnflag = 'R' THEN 'C' ELSE '' END || CAST(l_orderkey AS VARCHAR) AS invoice_no,
-       CAST(l_partkey AS VARCHAR) AS product_id,
-       p_name AS description,
-       CAST(trunc(l_quantity) AS INTEGER) AS quantity,
-       o_orderdate AS invoice_date,
-       CASE WHEN l_quantity <> 0 THEN floor(l_extendedprice * 100 / l_quantity) / 100 END AS unit_price,
-       CAST(o_custkey AS VARCHAR) AS customer_id,
+_NAMED = ("p_name || ' ' || ['tote', 'Mug', 'candle', 'PLATE', 'mirror', 'toy', 'notebook', 'Towel', 'gift', "
+          "'plain'][CAST(p_partkey % 10 + 1 AS INTEGER)]")
+
+cte("ledger", [], f"""
+SELECT CASE v WHEN 0 THEN NULL WHEN 1 THEN ' c' || l_orderkey
+            ELSE (CASE WHEN l_returnflag = 'R' THEN 'C' ELSE '' END) || l_orderkey END AS invoice_no,
+       CASE v WHEN 2 THEN NULL WHEN 3 THEN '   ' WHEN 4 THEN ' ' || l_partkey || ' ' WHEN 20 THEN 'N' || l_orderkey
+            ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
+       CASE WHEN v <> 5 THEN {_NAMED} END AS description,
+       CASE v WHEN 6 THEN 'abc' WHEN 7 THEN '3000000000' WHEN 8 THEN '-5' WHEN 9 THEN '0' WHEN 10 THEN 'NaN'
+              WHEN 21 THEN '1' ELSE CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) END AS quantity,
+       CASE WHEN v = 11 THEN 'not a date' WHEN v = 12 THEN NULL
+            WHEN l_linenumber % 4 = 0 THEN strftime(at_time, '%Y-%m-%d %H:%M:%S')
+            WHEN l_linenumber % 4 = 1 THEN strftime(at_time, '%-m/%-d/%Y %-H:%M')
+            WHEN l_linenumber % 4 = 2 THEN strftime(at_time, '%Y/%m/%d %H:%M')
+            ELSE strftime(at_time, '%Y-%m-%dT%H:%M:%S') END AS invoice_date,
+       CASE v WHEN 13 THEN 'NaN' WHEN 14 THEN 'Infinity' WHEN 15 THEN '-1.5' WHEN 16 THEN '' WHEN 19 THEN '0'
+              WHEN 21 THEN '0.001'
+            ELSE CASE WHEN l_quantity = 0 THEN NULL
+                      WHEN l_linenumber % 5 = 0
+                        THEN CAST(CAST(floor(l_extendedprice * 10000 / l_quantity) / 10000 AS DECIMAL(18,4)) AS VARCHAR)
+                      ELSE CAST(CAST(floor(l_extendedprice * 100 / l_quantity) / 100 AS DECIMAL(18,2)) AS VARCHAR) END
+       END AS unit_price,
+       CASE WHEN v <> 17 THEN CAST(o_custkey AS VARCHAR) END AS customer_id,
        n_name AS country
-FROM lineitem
-JOIN orders ON l_orderkey = o_orderkey
-JOIN part ON l_partkey = p_partkey
-JOIN customer ON o_custkey = c_custkey
-JOIN nation ON c_nationkey = n_nationkey""")
-
-cte("transactions", ["ledger"], """
+FROM (SELECT *, o_orderdate + to_hours(CAST(l_orderkey % 24 AS INTEGER))
+                + to_minutes((l_orderkey * 7 + l_linenumber) % 60) AS at_time
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+      JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) j,
+     unnest(CASE WHEN (l_orderkey + l_linenumber * 3) % 200 < 22
+                 THEN [-1, (l_orderkey + l_linenumber * 3) % 200] ELSE [-1] END) AS u(v)""")
+
+# The ledger with types: a text that is no number or date is null.
+cte("ledger_typed", ["ledger"], """
+SELECT invoice_no, product_id, description, country, customer_id, quantity AS quantity_text,
+       CASE WHEN isfinite(TRY_CAST(quantity AS DOUBLE)) THEN TRY_CAST(quantity AS DOUBLE) END AS qty,
+       TRY_STRPTIME(invoice_date, ['%Y-%m-%d %H:%M:%S', '%-m/%-d/%Y %-H:%M', '%Y/%m/%d %H:%M', '%Y-%m-%dT%H:%M:%S'])
+         AS ts,
+       CASE WHEN isfinite(TRY_CAST(unit_price AS DOUBLE)) THEN TRY_CAST(unit_price AS DOUBLE) END AS price
+FROM ledger""")
+
+cte("ledger_judged", ["ledger_typed"], """
+SELECT *, CASE WHEN invoice_no IS NULL THEN 'invoice_no'
+               WHEN product_id IS NULL OR trim(product_id) = '' THEN 'product_id'
+               WHEN ts IS NULL THEN 'invoice_date'
+               WHEN qty IS NULL OR abs(qty) > 2147483647 THEN 'quantity'
+               WHEN price IS NULL THEN 'unit_price'
+               WHEN starts_with(upper(trim(invoice_no)), 'C') THEN 'cancelled'
+               WHEN qty <= 0 THEN 'quantity_not_positive'
+               WHEN price <= 0 THEN 'unit_price_not_positive' END AS reason
+FROM ledger_typed""")
+
+cte("transactions", ["ledger_judged"], """
 SELECT trim(invoice_no) AS invoice_no, trim(product_id) AS product_id, description,
-       CAST(quantity AS INTEGER) AS quantity, invoice_date, unit_price, country, customer_id,
-       CAST(quantity AS DOUBLE) * unit_price AS revenue
-FROM (SELECT DISTINCT * FROM ledger
-      WHERE invoice_no IS NOT NULL AND product_id IS NOT NULL AND quantity IS NOT NULL
-        AND invoice_date IS NOT NULL AND unit_price IS NOT NULL
-        AND NOT starts_with(upper(trim(invoice_no)), 'C')
-        AND quantity > 0 AND unit_price > 0 AND trim(product_id) <> '') d""")
+       CAST(trunc(qty) AS INTEGER) AS quantity, ts AS invoice_date, price AS unit_price, country, customer_id,
+       qty * price AS revenue
+FROM (SELECT DISTINCT invoice_no, product_id, description, qty, ts, price, country, customer_id
+      FROM ledger_judged WHERE reason IS NULL) d""")
+
+cte("transactions_feed", ["transactions"], """
+SELECT invoice_no, CASE WHEN v <> 0 THEN product_id END AS product_id, description,
+       CASE WHEN v = 1 THEN 0 ELSE quantity END AS quantity,
+       CASE WHEN v <> 4 THEN invoice_date END AS invoice_date,
+       CASE WHEN v = 2 THEN -1 ELSE unit_price END AS unit_price, country, customer_id,
+       CASE WHEN v = 3 THEN 0 ELSE revenue END AS revenue
+FROM transactions, unnest(CASE WHEN quantity <= 2 THEN [-1, 0, 1, 2, 3, 4] ELSE [-1] END) AS u(v)""")
 
 cte("product_catalog", [], f"""
-SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
-       {classify_sql('p_name')} AS category, p_retailprice AS selling_price
-FROM part WHERE p_partkey % 25 <> 0""")
+SELECT (CASE WHEN p_partkey % 25 = 0 THEN 'X' ELSE '' END) || p_partkey AS product_id, product_name,
+       CASE WHEN product_name IS NOT NULL THEN {classify_sql('product_name')} END AS category,
+       CASE WHEN v = 1 THEN 'n/a' ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) END AS selling_price
+FROM (SELECT *, CASE WHEN v = 0 AND p_partkey % 40 <> 9 THEN 'Catalog ' || {_NAMED} END AS product_name
+      FROM part, unnest(CASE WHEN p_partkey % 30 = 7 THEN [0, 1] ELSE [0] END) AS u(v)) p""")
 
 cte("inventory", [], """
-SELECT CAST(p_partkey AS VARCHAR) AS product_id,
-       CAST(CASE WHEN p_partkey % 7 = 0 THEN p_partkey % 6 ELSE (p_partkey * 37) % 700 END AS INTEGER) + 100 AS initial_stock,
-       CAST(CASE WHEN p_partkey % 7 = 0 THEN p_partkey % 6 ELSE (p_partkey * 37) % 700 END AS INTEGER) AS current_stock,
-       CAST(p_size * 4 AS INTEGER) AS reorder_level,
-       CAST(p_partkey % 12 + 3 AS INTEGER) AS lead_time_days
-FROM part WHERE p_partkey % 20 <> 0""")
+SELECT (CASE WHEN p_partkey % 20 = 0 THEN 'X' ELSE '' END) || p_partkey AS product_id,
+       CASE WHEN v = 0 THEN CAST(stock + 100 AS VARCHAR) END AS initial_stock,
+       CAST(stock AS VARCHAR) AS current_stock,
+       CASE WHEN v = 1 THEN NULL WHEN p_partkey % 33 = 5 THEN 'n/a'
+            WHEN p_partkey % 2 = 1 THEN CAST(p_size * 4 AS INTEGER) || '.0'
+            ELSE CAST(CAST(p_size * 4 AS INTEGER) AS VARCHAR) END AS reorder_level,
+       CAST(p_partkey % 12 + 3 AS VARCHAR) AS lead_time_days
+FROM (SELECT *, CAST(CASE WHEN p_partkey % 50 = 3 THEN -4 WHEN p_partkey % 7 = 0 THEN p_partkey % 6
+                          ELSE (p_partkey * 37) % 700 END AS INTEGER) AS stock
+      FROM part, unnest(CASE WHEN p_partkey % 45 = 11 THEN [0, 1] ELSE [0] END) AS u(v)) p""")
 
 cte("catalog_std", ["product_catalog"], """
 SELECT DISTINCT ON (product_id) CAST(product_id AS VARCHAR) AS product_id,
        CAST(product_name AS VARCHAR) AS product_name, CAST(category AS VARCHAR) AS category,
        TRY_CAST(selling_price AS DOUBLE) AS catalog_selling_price
 FROM product_catalog
-ORDER BY product_id, product_name NULLS FIRST, category NULLS FIRST, catalog_selling_price NULLS FIRST""")
+ORDER BY product_id, product_name NULLS LAST, category NULLS LAST, catalog_selling_price NULLS LAST""")
 
 INV_TYPED = """
 SELECT CAST(product_id AS VARCHAR) AS product_id,
@@ -141,8 +190,13 @@ FROM inventory"""
 cte("inventory_typed", ["inventory"], INV_TYPED)
 cte("inventory_std", ["inventory_typed"], """
 SELECT DISTINCT ON (product_id) * FROM inventory_typed
-ORDER BY product_id, initial_stock NULLS FIRST, current_stock NULLS FIRST,
-         reorder_level NULLS FIRST, lead_time_days NULLS FIRST""")
+ORDER BY product_id, initial_stock NULLS LAST, current_stock NULLS LAST,
+         reorder_level NULLS LAST, lead_time_days NULLS LAST""")
+
+cte("feed_clean", ["transactions_feed"], """
+SELECT * FROM transactions_feed
+WHERE product_id IS NOT NULL AND quantity > 0 AND unit_price > 0 AND revenue > 0
+  AND invoice_date IS NOT NULL""")
 
 cte("tx_clean", ["transactions"], """
 SELECT * FROM transactions
@@ -186,9 +240,9 @@ FROM (
 
 
 cte("demand_default", ["master_sales"], _demand_body(10.0, 3.0))
-cte("demand", ["master_sales"], _demand_body(SCALED_HIGH, SCALED_MEDIUM))
+cte("demand", ["master_sales"], _demand_body(0.30, 0.20))
 
-cte("inv_analytics", ["demand", "inventory_typed"], f"""
+cte("inv_analytics", ["demand", "inventory_std"], f"""
 SELECT product_id, product_name, category, total_quantity_sold,
        {R2('average_daily_demand')} AS average_daily_demand, demand_level,
        initial_stock, current_stock, reorder_level, lead_time_days,
@@ -205,7 +259,7 @@ FROM (
          i.reorder_level, i.lead_time_days,
          CASE WHEN d.average_daily_demand > 0
               THEN CAST(i.current_stock AS DOUBLE) / d.average_daily_demand END AS coverage
-  FROM demand d LEFT JOIN inventory_typed i ON d.product_id = i.product_id) x""")
+  FROM demand d LEFT JOIN inventory_std i ON d.product_id = i.product_id) x""")
 
 cte("clicks_keyed", [], f"""
 SELECT strftime(ts, {ISO}) AS event_time,
@@ -213,38 +267,47 @@ SELECT strftime(ts, {ISO}) AS event_time,
        'USER_' || CAST(user_id AS VARCHAR) AS user_id,
        CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS product_id,
        'item ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS product_description,
-       CASE {EVENT_MAP} ELSE event_type END AS event_type,
-       {_list(DEVICES)}[CAST(event_id % {len(DEVICES)} + 1 AS INTEGER)] AS device,
-       {_list(COUNTRIES)}[CAST(event_id % {len(COUNTRIES)} + 1 AS INTEGER)] AS country,
+       CASE event_type WHEN 'click' THEN 'add_to_cart' WHEN 'error' THEN 'remove_from_cart' WHEN 'signup' THEN 'search'
+            ELSE event_type END AS event_type,
+       'device ' || CAST(user_id % 4 AS VARCHAR) AS device, n_name AS country,
        event_id AS _key
-FROM events""")
+FROM events LEFT JOIN nation ON event_id % 25 = n_nationkey""")
 cte("clicks", ["clicks_keyed"], "SELECT * EXCLUDE (_key) FROM clicks_keyed")
 
 cte("quotes_keyed", [], f"""
-SELECT strftime(l_shipdate, {ISO}) AS event_time,
-       CAST(l_partkey AS VARCHAR) AS product_id,
-       'item ' || CAST(l_partkey AS VARCHAR) AS product_description,
+SELECT strftime(l_shipdate, {ISO}) || (CASE WHEN l_linenumber % 6 = 0 THEN '+02:00' ELSE '' END) AS event_time,
+       (CASE WHEN l_partkey % 5 = 0 THEN 'Q' ELSE '' END) || l_partkey AS product_id,
+       'item ' || (CASE WHEN l_partkey % 5 = 0 THEN 'Q' ELSE '' END) || l_partkey AS product_description,
        s_name AS competitor,
-       (CASE WHEN l_quantity <> 0 THEN floor(l_extendedprice * 100 / l_quantity) / 100 END)
-         * (CAST(0.85 AS DOUBLE) + CAST(0.03 AS DOUBLE) * (l_suppkey % 10)) AS competitor_price,
+       CASE v WHEN 0 THEN 'nan'::DOUBLE WHEN 1 THEN 1e40::DOUBLE WHEN 2 THEN 1e-7::DOUBLE WHEN 3 THEN NULL
+              WHEN 4 THEN 'inf'::DOUBLE
+            ELSE (CASE WHEN l_quantity <> 0 THEN floor(l_extendedprice * 100 / l_quantity) / 100 END)
+                 * (CAST(0.85 AS DOUBLE) + CAST(0.03 AS DOUBLE) * (l_suppkey % 10)) END AS competitor_price,
        l_linenumber % 4 <> 0 AS availability,
        l_orderkey + l_linenumber AS _key
-FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-WHERE l_partkey % 3 = 0""")
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey,
+     unnest(CASE WHEN (l_orderkey + l_linenumber) % 60 < 5 THEN [-1, (l_orderkey + l_linenumber) % 60] ELSE [-1] END)
+       AS u(v)""")
 cte("quotes", ["quotes_keyed"], "SELECT * EXCLUDE (_key) FROM quotes_keyed")
 
-# Parsed JSON lines: slots 1-3 of every JSON_VARIANT_EVERY lines are
-# malformed / null / empty objects (all fields null), slot 4 has an extra
-# field (parsed like the rest).
-_NULL_SLOT = f"_key % {JSON_VARIANT_EVERY} IN (1, 2, 3)"
-cte("clicks_parsed", ["clicks_keyed"], "SELECT " + ", ".join(
-    f"CASE WHEN {_NULL_SLOT} THEN NULL ELSE {c} END AS {c}"
-    for c in ["event_time", "session_id", "user_id", "product_id", "product_description",
-              "event_type", "device", "country"]) + " FROM clicks_keyed")
-cte("quotes_parsed", ["quotes_keyed"], "SELECT " + ", ".join(
-    f"CASE WHEN {_NULL_SLOT} THEN NULL ELSE {c} END AS {c}"
-    for c in ["event_time", "product_id", "product_description", "competitor",
-              "competitor_price", "availability"]) + " FROM quotes_keyed")
+# Parsed JSON lines: beside the rows of slots 1, 2 and 3 of 40 stands a line
+# that gives only nulls, beside those of slot 5 one with a product and an
+# unreadable time.
+def _parsed(source: str, fields: list[str]) -> str:
+    lone = {"product_id": "product_id", "event_time": "'soon'"}
+    return (f"SELECT {', '.join(fields)} FROM {source} "
+            f"UNION ALL SELECT {', '.join('NULL' for _ in fields)} FROM {source} WHERE _key % 40 IN (1, 2, 3) "
+            f"UNION ALL SELECT {', '.join(lone.get(c, 'NULL') for c in fields)} FROM {source} WHERE _key % 40 = 5")
+
+
+cte("clicks_parsed", ["clicks_keyed"], _parsed("clicks_keyed", [
+    "event_time", "session_id", "user_id", "product_id", "product_description", "event_type", "device", "country"]))
+cte("quotes_parsed", ["quotes_keyed"], _parsed("quotes_keyed", [
+    "event_time", "product_id", "product_description", "competitor", "competitor_price", "availability"]))
+
+EVENT_TS = """CASE WHEN ends_with(event_time, '+02:00')
+            THEN TRY_CAST(left(event_time, length(event_time) - 6) AS TIMESTAMP) - INTERVAL 2 HOUR
+            ELSE TRY_CAST(event_time AS TIMESTAMP) END"""
 
 cte("click_counts", ["clicks"], """
 SELECT product_id, COUNT(*) AS real_time_click_count FROM clicks GROUP BY product_id""")
@@ -320,7 +383,7 @@ def _q():
     q: dict[str, str] = {}
     tx_cols = ("invoice_no, product_id, description, quantity, invoice_date, unit_price, "
                "country, customer_id, revenue")
-    q["clean_transactions"] = with_ctes(f"SELECT {tx_cols} FROM tx_clean", "tx_clean")
+    q["clean_transactions"] = with_ctes(f"SELECT {tx_cols} FROM feed_clean", "feed_clean")
     q["standardize_catalog"] = with_ctes("SELECT * FROM catalog_std", "catalog_std")
     q["standardize_inventory"] = with_ctes("SELECT * FROM inventory_std", "inventory_std")
     q["master_sales"] = with_ctes("SELECT * FROM master_sales", "master_sales")
@@ -331,7 +394,7 @@ SELECT invoice_no, product_id, invoice_date, quantity,
        CAST(dayofweek(invoice_date) + 1 AS INTEGER) AS day_of_week
 FROM transactions""", "transactions")
     q["master_sales_partition_pruned"] = with_ctes(
-        f"SELECT * FROM master_sales WHERE year = {PRUNE_YEAR}", "master_sales")
+        f"SELECT * FROM master_sales WHERE year = 1997", "master_sales")
     q["demand_analytics"] = with_ctes("SELECT * FROM demand_default", "demand_default")
     q["demand_levels"] = with_ctes("""
 SELECT product_id, product_name, category, average_daily_demand, demand_level FROM demand""",
@@ -405,8 +468,27 @@ SELECT trim(invoice_no) AS invoice_no, product_id, description, quantity, invoic
 FROM ledger WHERE invoice_no IS NULL OR NOT starts_with(upper(trim(invoice_no)), 'C')""",
                                     "ledger")
     q["dedupe_rows"] = with_ctes("""
-SELECT DISTINCT * FROM (SELECT * FROM ledger UNION ALL SELECT * FROM ledger WHERE quantity <= 5) u""",
-                                 "ledger")
+SELECT DISTINCT * FROM ledger""", "ledger")
+    q["ledger_headers"] = with_ctes("SELECT * FROM ledger", "ledger")
+    q["dropped_rows"] = with_ctes("""
+SELECT r.reason, COUNT(l.reason) AS rows
+FROM (VALUES ('invoice_no'), ('product_id'), ('invoice_date'), ('quantity'), ('unit_price'), ('cancelled'),
+             ('quantity_not_positive'), ('unit_price_not_positive')) r(reason)
+LEFT JOIN ledger_judged l ON l.reason = r.reason GROUP BY r.reason""", "ledger_judged")
+    q["validation_report_prepared"] = with_ctes("""
+SELECT * FROM (
+  SELECT 1 AS position, 'transaction_rows' AS metric, CAST(COUNT(*) AS VARCHAR) AS value FROM transactions
+  UNION ALL SELECT 2, 'transaction_products', CAST(COUNT(DISTINCT product_id) AS VARCHAR) FROM transactions
+  UNION ALL SELECT 3, 'catalog_products',
+        CAST(COUNT(DISTINCT product_id) AS VARCHAR) FROM transactions WHERE description IS NOT NULL
+  UNION ALL SELECT 4, 'inventory_products', CAST(COUNT(DISTINCT product_id) AS VARCHAR) FROM transactions
+  UNION ALL SELECT 5, 'missing_from_catalog',
+        CAST(COUNT(*) AS VARCHAR) FROM (SELECT product_id FROM transactions GROUP BY 1 HAVING COUNT(description) = 0)
+  UNION ALL SELECT i, m, '0' FROM (VALUES (6, 'missing_from_inventory'), (7, 'duplicate_catalog_ids'),
+        (8, 'duplicate_inventory_ids'), (9, 'negative_quantities'), (10, 'negative_unit_prices'),
+        (11, 'negative_current_stock')) z(i, m)
+  UNION ALL SELECT 12, 'validation', CASE WHEN COUNT(*) = 0 THEN 'SUCCESSFUL' ELSE 'FAILED' END
+        FROM (SELECT product_id FROM transactions GROUP BY 1 HAVING COUNT(description) = 0)) r""", "transactions")
     q["build_catalog"] = with_ctes(f"""
 SELECT product_id, product_name, {classify_sql('product_name')} AS category, selling_price
 FROM (
@@ -416,8 +498,8 @@ FROM (
   FROM transactions WHERE product_id IS NOT NULL AND description IS NOT NULL
   GROUP BY product_id) c""", "transactions")
     q["classify_product"] = f"""
-SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
-       {classify_sql('p_name')} AS category FROM part"""
+SELECT CAST(p_partkey AS VARCHAR) AS product_id, product_name,
+       {classify_sql('product_name')} AS category FROM (SELECT *, {_NAMED} AS product_name FROM part) p"""
     q["lead_time"] = with_ctes(f"""
 SELECT product_id, {lead_sql('product_id')} AS lead_time_days
 FROM (SELECT DISTINCT product_id FROM transactions) t""", "transactions")
@@ -438,21 +520,19 @@ FROM (
                                CAST(0 AS DOUBLE)), CAST(0 AS DOUBLE)) AS daily,
              """ + lead_sql("product_id") + """ AS lead_time_days
       FROM hist) a) b) c""", "hist")
-    q["quality_report"] = with_ctes("""
-SELECT * FROM (
-  SELECT 1 AS position, 'initial_rows' AS metric, CAST((SELECT COUNT(*) FROM ledger) AS VARCHAR) AS value
-  UNION ALL SELECT 2, 'final_transaction_rows', CAST(COUNT(*) AS VARCHAR) FROM transactions
-  UNION ALL SELECT 3, 'removed_rows', CAST((SELECT COUNT(*) FROM ledger) - (SELECT COUNT(*) FROM transactions) AS VARCHAR)
-  UNION ALL SELECT 4, 'unique_products', CAST(COUNT(DISTINCT product_id) AS VARCHAR) FROM transactions
-  UNION ALL SELECT 5, 'unique_customers', CAST(COUNT(DISTINCT customer_id) AS VARCHAR) FROM transactions
-  UNION ALL SELECT 6, 'unique_countries', CAST(COUNT(DISTINCT country) AS VARCHAR) FROM transactions
-  UNION ALL SELECT 7, 'total_quantity', CAST(COALESCE(SUM(quantity), 0) AS VARCHAR) FROM transactions
-  UNION ALL SELECT 8, 'total_revenue',
-        CAST(COALESCE(SUM(CAST(revenue AS DECIMAL(38,6))), CAST(0 AS DECIMAL(38,6))) AS VARCHAR)
+    q["quality_report"] = with_ctes(f"""
+  SELECT 'initial_rows' AS metric, CAST((SELECT COUNT(*) FROM ledger) AS VARCHAR) AS value
+  UNION ALL SELECT 'final_transaction_rows', CAST(COUNT(*) AS VARCHAR) FROM transactions
+  UNION ALL SELECT 'removed_rows', CAST((SELECT COUNT(*) FROM ledger) - (SELECT COUNT(*) FROM transactions) AS VARCHAR)
+  UNION ALL SELECT 'unique_products', CAST(COUNT(DISTINCT product_id) AS VARCHAR) FROM transactions
+  UNION ALL SELECT 'unique_customers', CAST(COUNT(DISTINCT customer_id) AS VARCHAR) FROM transactions
+  UNION ALL SELECT 'unique_countries', CAST(COUNT(DISTINCT country) AS VARCHAR) FROM transactions
+  UNION ALL SELECT 'total_quantity', CAST(COALESCE(SUM(quantity), 0) AS VARCHAR) FROM transactions
+  UNION ALL SELECT 'total_revenue', CAST(CAST(COALESCE({MSUM('revenue')}, 0) AS DECIMAL(38,6)) AS VARCHAR)
         FROM transactions
-  UNION ALL SELECT 9, 'min_invoice_date', CAST(MIN(invoice_date) AS VARCHAR) FROM transactions
-  UNION ALL SELECT 10, 'max_invoice_date', CAST(MAX(invoice_date) AS VARCHAR) FROM transactions
-) r""", "ledger", "transactions")
+  UNION ALL SELECT 'min_invoice_date', CAST(MIN(invoice_date) AS VARCHAR) FROM transactions
+  UNION ALL SELECT 'max_invoice_date', CAST(MAX(invoice_date) AS VARCHAR) FROM transactions""",
+                                    "ledger", "transactions")
     dup = ("COUNT(*) - COUNT(DISTINCT product_id) - "
            "COALESCE(MAX(CASE WHEN product_id IS NULL THEN 1 ELSE 0 END), 0)")
     q["validation_report"] = with_ctes(f"""
@@ -469,7 +549,7 @@ SELECT * FROM (
   UNION ALL SELECT 'duplicate_inventory_ids', {dup} FROM inventory
   UNION ALL SELECT 'negative_quantities', COUNT(*) FILTER (WHERE quantity < 0) FROM transactions
   UNION ALL SELECT 'negative_unit_prices', COUNT(*) FILTER (WHERE unit_price < 0) FROM transactions
-  UNION ALL SELECT 'negative_current_stock', COUNT(*) FILTER (WHERE current_stock < 0) FROM inventory
+  UNION ALL SELECT 'negative_current_stock', COUNT(*) FILTER (WHERE TRY_CAST(current_stock AS DOUBLE) < 0) FROM inventory
 ), ordered AS (
   SELECT metric, CAST(v AS VARCHAR) AS value FROM m
   UNION ALL
@@ -494,10 +574,8 @@ EXCEPT SELECT product_id FROM inventory""", "transactions", "inventory")
 SELECT COUNT(*) FILTER (WHERE quantity <= 0) AS invalid_quantity,
        COUNT(*) FILTER (WHERE revenue <= 0) AS invalid_revenue,
        COUNT(*) AS row_count FROM master_sales""", "master_sales")
-    ledger_types = [("invoice_no", "string"), ("product_id", "string"),
-                    ("description", "string"), ("quantity", "int"),
-                    ("invoice_date", "timestamp_ntz"), ("unit_price", "double"),
-                    ("customer_id", "string"), ("country", "string")]
+    ledger_types = [(c, "string") for c in ("invoice_no", "product_id", "description", "quantity",
+                                            "invoice_date", "unit_price", "customer_id", "country")]
     q["profile_columns"] = with_ctes(" UNION ALL ".join(
         f"SELECT {i + 1} AS position, '{c}' AS column_name, '{t}' AS data_type, "
         f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM ledger"
@@ -508,18 +586,20 @@ SELECT CAST(SUM(n) AS BIGINT) AS row_count, 8 AS column_count,
        COUNT(DISTINCT product_id) AS unique_products,
        COUNT(DISTINCT customer_id) AS unique_customers,
        COUNT(DISTINCT country) AS unique_countries,
-       MIN(invoice_date) AS min_date, MAX(invoice_date) AS max_date
-FROM (SELECT *, COUNT(*) AS n FROM ledger GROUP BY ALL) g""", "ledger")
+       MIN(ts) AS min_date, MAX(ts) AS max_date
+FROM (SELECT *, TRY_STRPTIME(invoice_date, ['%Y-%m-%d %H:%M:%S', '%-m/%-d/%Y %-H:%M', '%Y/%m/%d %H:%M',
+                                            '%Y-%m-%dT%H:%M:%S']) AS ts
+      FROM (SELECT *, COUNT(*) AS n FROM ledger GROUP BY ALL) g) t""", "ledger")
     q["parse_clickstream"] = with_ctes("SELECT * FROM clicks_parsed", "clicks_parsed")
     q["parse_competitor"] = with_ctes("SELECT * FROM quotes_parsed", "quotes_parsed")
     q["clean_clickstream"] = with_ctes(f"""
-SELECT *, TRY_CAST(event_time AS TIMESTAMP) AS event_timestamp,
+SELECT *, {EVENT_TS} AS event_timestamp,
        {weight_sql('event_type')} AS demand_signal
 FROM clicks_parsed
 WHERE product_id IS NOT NULL AND event_type IS NOT NULL AND event_time IS NOT NULL""",
                                        "clicks_parsed")
-    q["clean_competitor"] = with_ctes("""
-SELECT *, TRY_CAST(event_time AS TIMESTAMP) AS event_timestamp
+    q["clean_competitor"] = with_ctes(f"""
+SELECT *, {EVENT_TS} AS event_timestamp
 FROM quotes_parsed
 WHERE product_id IS NOT NULL AND competitor_price IS NOT NULL AND competitor IS NOT NULL""",
                                       "quotes_parsed")

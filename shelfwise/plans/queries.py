@@ -27,16 +27,21 @@ from shelfwise.operators import (
     dedupe_rows,
     demand_analytics,
     drop_cancelled,
+    dropped_rows,
     dynamic_pricing,
     generate_inventory,
     historical_demand,
     inventory_analytics,
     lowest_coverage,
     missing_keys,
+    normalize_columns,
     optimize_inventory,
+    partition_pruned,
     profile_columns,
     profile_table,
     quality_report,
+    rename_source,
+    require_columns,
     sales_quality,
     standardize_catalog,
     standardize_inventory,
@@ -75,8 +80,12 @@ def _demand(spark, d, scaled=True):
     return demand_analytics(_sales(spark, d))
 
 
+def _stock(spark, d):
+    return standardize_inventory(tv.inventory(spark, d))
+
+
 def _inventory_analytics(spark, d):
-    return inventory_analytics(_demand(spark, d), tv.inventory(spark, d))
+    return inventory_analytics(_demand(spark, d), _stock(spark, d))
 
 
 def _parsed_clicks(spark, d):
@@ -92,7 +101,7 @@ def _parsed_quotes(spark, d):
 # --------------------------------------------------------------------------
 
 def q_clean_transactions(spark, d):
-    return clean_transactions(_tx(spark, d))
+    return clean_transactions(tv.transactions_feed(spark, d))
 
 
 def q_standardize_catalog(spark, d):
@@ -120,7 +129,7 @@ def q_master_sales_partition_pruned(spark, d):
     # one folder per call: concurrent calls never overwrite each other's files
     path = f"{checkpoint_root(spark)}/tables/master_sales_{key}_{uuid.uuid4().hex[:12]}"
     write_partitioned(_sales(spark, d), path)
-    return read_table(spark, path).filter(F.col("year") == PRUNE_YEAR)
+    return partition_pruned(read_table(spark, path), year=PRUNE_YEAR)
 
 
 def q_demand_analytics(spark, d):
@@ -192,7 +201,7 @@ def _pricing(spark, d, labels, signals=True):
     # once and its shuffle stages are reused.
     demand = _demand(spark, d)
     return dynamic_pricing(
-        demand, inventory_analytics(demand, tv.inventory(spark, d)),
+        demand, inventory_analytics(demand, _stock(spark, d)),
         clicks=tv.clicks(spark, d) if signals else None,
         quotes=tv.competitor_quotes(spark, d) if signals else None,
         labels=labels)
@@ -223,9 +232,23 @@ def q_drop_cancelled(spark, d):
 
 
 def q_dedupe_rows(spark, d):
-    """Ledger plus a second copy of its small-quantity lines, de-duplicated."""
-    led = tv.ledger(spark, d)
-    return dedupe_rows(led.unionByName(led.filter(F.col("quantity") <= 5)))
+    """The raw ledger, some of whose lines stand twice."""
+    return dedupe_rows(tv.ledger(spark, d))
+
+
+def q_ledger_headers(spark, d):
+    """Workbook headers brought to the canonical names."""
+    return require_columns(rename_source(normalize_columns(tv.source_ledger(spark, d))))
+
+
+def q_dropped_rows(spark, d):
+    return dropped_rows(tv.ledger(spark, d))
+
+
+def q_validation_report_prepared(spark, d):
+    """The checks over the tables that preparation itself derives."""
+    tx = _tx(spark, d)
+    return validation_report(tx, build_catalog(tx), generate_inventory(historical_demand(tx)))
 
 
 def q_build_catalog(spark, d):
@@ -233,10 +256,9 @@ def q_build_catalog(spark, d):
 
 
 def q_classify_product(spark, d):
-    part = tv.table(spark, d, "part")
-    return part.select(F.col("p_partkey").cast("string").alias("product_id"),
-                       F.col("p_name").alias("product_name"),
-                       rules.classify_product("p_name").alias("category"))
+    part = tv.table(spark, d, "part").withColumn("product_name", tv._named(F.col("p_partkey"), F.col("p_name")))
+    return part.select(F.col("p_partkey").cast("string").alias("product_id"), "product_name",
+                       rules.classify_product("product_name").alias("category"))
 
 
 def q_lead_time(spark, d):

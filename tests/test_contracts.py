@@ -4,7 +4,7 @@
 from conftest import SF_SMALL
 from shelfwise.plans.queries import QUERIES
 
-S, I, L, D, DT, TS = "string", "int", "bigint", "double", "date", "timestamp_ntz"
+S, I, L, D, DT, TS = "string", "int", "bigint", "double", "date", "timestamp"
 
 CONTRACTS = {
     "master_sales": [

@@ -1,0 +1,106 @@
+"""Dirty inputs: number and date texts, money extremes, and a fixture in
+which every row operator has something to do."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from shelfwise.functions.money import money_mean, money_sum
+from shelfwise.operators import dropped_rows, prepare_transactions, standardize_catalog, standardize_inventory
+from shelfwise.plans.queries import QUERIES
+from shelfwise.sources import testviews as tv
+
+SCHEMA = ("InvoiceNo string, StockCode string, Description string, Quantity string, InvoiceDate string, "
+          "UnitPrice string, Country string")
+
+
+def _ledger(spark, *rows):
+    return spark.createDataFrame([("1", "A", "d", q, d, p, "FR") for q, d, p in rows], SCHEMA)
+
+
+@pytest.mark.parametrize("text", ["12/1/2010 8:26", "2010/12/01 08:26", "2010-12-01 08:26:00", "2010-12-01T08:26:00",
+                                  "12/1/10 8:26", "1-Dec-2010 8:26", " 2010-12-01 08:26 "])
+def test_date_texts(spark, text):
+    row = prepare_transactions(_ledger(spark, ("1", text, "2"))).first()
+    assert row.invoice_date == dt.datetime(2010, 12, 1, 8, 26)
+
+
+def test_bad_numbers_become_faults(spark):
+    bad = [("NaN", "2010-12-01", "1"), ("Infinity", "2010-12-01", "1"), ("3000000000", "2010-12-01", "1"),
+           ("1", "2010-12-01", "NaN"), ("1", "2010-12-01", "-Infinity"), ("1", "31/31/2010", "1"), ("0", "2010-12-01", "1")]
+    led = _ledger(spark, *bad, ("2", "2010-12-01", "1.5"))
+    got = prepare_transactions(led).collect()
+    assert [(r.quantity, r.revenue) for r in got] == [(2, 3.0)]
+    why = {r.reason: r.rows for r in dropped_rows(led).collect()}
+    assert (why["quantity"], why["unit_price"], why["invoice_date"], why["quantity_not_positive"]) == (3, 2, 1, 1)
+    typed = spark.createDataFrame([("1", "A", "d", float("nan"), dt.datetime(2010, 1, 1), 1.0, "FR"),
+                                   ("1", "A", "d", 3e9, dt.datetime(2010, 1, 1), 1.0, "FR"),
+                                   ("1", "A", "d", 2.0, dt.datetime(2010, 1, 1), float("nan"), "FR")],
+                                  SCHEMA.replace("Quantity string", "Quantity double")
+                                  .replace("InvoiceDate string", "InvoiceDate timestamp")
+                                  .replace("UnitPrice string", "UnitPrice double"))
+    assert prepare_transactions(typed).count() == 0
+
+
+@pytest.mark.parametrize("values,total,mean", [
+    ([10.0, float("nan")], 10.0, 10.0), ([1e-7, 3e-7], 4e-7, 2e-7), ([1e40, 1.0], 1e40, 5e39),
+    ([float("inf"), 2.0, None], 2.0, 2.0), ([None, float("nan")], None, None), ([0.1] * 10, 1.0, 0.1), ([-1e13, 5.0], 5.0 - 1e13, (5.0 - 1e13) / 2),
+    ([9e11] * 3, 2.7e12, 9e11)])
+def test_money(spark, values, total, mean):
+    df = spark.createDataFrame([(v,) for v in values], "p double").repartition(3)
+    got = df.agg(money_sum("p").alias("s"), money_mean("p").alias("m")).first()
+    assert (got.s, got.m) == (pytest.approx(total, rel=1e-15) if total is not None else None,
+                              pytest.approx(mean, rel=1e-15) if mean is not None else None)
+
+
+def test_every_line_and_part_is_in_the_fixture(spark):
+    lines = tv.table(spark, SF_SMALL, "lineitem").count()
+    parts = tv.table(spark, SF_SMALL, "part").count()
+    assert tv.ledger(spark, SF_SMALL).count() > lines and tv.competitor_quotes(spark, SF_SMALL).count() > lines
+    assert tv.product_catalog(spark, SF_SMALL).count() > parts and tv.inventory(spark, SF_SMALL).count() > parts
+    clicks = tv.clicks(spark, SF_SMALL)
+    assert tv.click_json(spark, SF_SMALL).count() > clicks.count() == tv.table(spark, SF_SMALL, "events").count()
+    assert dict(tv.click_json(spark, SF_SMALL).dtypes) == {"value": "binary"}
+
+
+def test_row_operators_have_work(spark):
+    """No operator passes its fixture through unchanged."""
+    assert all(r.rows > 0 for r in QUERIES["dropped_rows"](spark, SF_SMALL).collect())  # P14-P19
+    feed = tv.transactions_feed(spark, SF_SMALL)
+    assert QUERIES["clean_transactions"](spark, SF_SMALL).count() < feed.count()  # P1, P2
+    led = tv.ledger(spark, SF_SMALL)
+    assert QUERIES["dedupe_rows"](spark, SF_SMALL).count() < led.count()  # D1
+    for raw, clean in ((tv.product_catalog, standardize_catalog), (tv.inventory, standardize_inventory)):
+        df = raw(spark, SF_SMALL)
+        assert clean(df).count() < df.count() and clean(df).dtypes != df.dtypes  # D2, D3, P3, P4
+    sales = QUERIES["master_sales"](spark, SF_SMALL)
+    assert sales.filter("catalog_selling_price is not null and product_name like 'Catalog %'").count() > 0
+    assert sales.filter("product_name not like 'Catalog %'").count() > 0  # P5
+    assert sales.filter("round(quantity * unit_price, 2) <> quantity * unit_price").count() > 0  # P9
+    got = QUERIES["sales_quality"](spark, SF_SMALL).first()
+    assert got.invalid_revenue > 0  # A18
+    assert {r.metric: r.value for r in QUERIES["validation_report"](spark, SF_SMALL).collect()}["validation"] == "FAILED"
+    report = {r.metric: r.value for r in QUERIES["validation_report"](spark, SF_SMALL).collect()}
+    assert min(int(report[k]) for k in ("duplicate_catalog_ids", "duplicate_inventory_ids", "negative_current_stock",
+                                        "missing_from_catalog", "missing_from_inventory")) > 0  # A14-A17
+    nulls = {r.column_name: r.null_count for r in QUERIES["profile_columns"](spark, SF_SMALL).collect()}
+    assert nulls["customer_id"] > 0 and nulls["product_id"] > 0  # A21
+    assert QUERIES["profile_table"](spark, SF_SMALL).first().duplicate_rows > 0  # A22
+    hist = QUERIES["historical_demand"](spark, SF_SMALL)
+    assert hist.filter(F.col("active_days") != F.datediff("last_sale_date", "first_sale_date") + 1).count() > 0  # R2
+    assert QUERIES["generate_inventory"](spark, SF_SMALL).filter("current_stock > 0").count() > 0  # R24
+    assert QUERIES["classify_product"](spark, SF_SMALL).select("category").distinct().count() == 10  # R18
+    assert QUERIES["demand_analytics"](spark, SF_SMALL).select("demand_level").distinct().count() > 1  # R4
+
+
+def test_both_verdicts(spark):
+    """With every product described, the derived tables pass."""
+    from shelfwise.operators import build_catalog, generate_inventory, historical_demand, validation_report
+    tx = tv.transactions(spark, SF_SMALL).filter("description is not null")
+    rep = {r.metric: r.value for r in validation_report(
+        tx, build_catalog(tx), generate_inventory(historical_demand(tx))).collect()}
+    assert rep["validation"] == "SUCCESSFUL"
+    prepared = {r.metric: r.value for r in QUERIES["validation_report_prepared"](spark, SF_SMALL).collect()}
+    assert prepared["duplicate_catalog_ids"] == "0" and int(prepared["transaction_rows"]) > 0

@@ -18,7 +18,7 @@ def test_one_row_per_key_is_deterministic(spark):
     for parts in (1, 3):
         got = {r.product_id: tuple(r)[1:] for r in
                standardize_inventory(df.repartition(parts)).collect()}
-        assert got["P1"] == (None, 9, 9, 9)  # smallest row, nulls first
+        assert got["P1"] == (5, 1, 2, 4)  # smallest row, filled before missing
         assert got["P2"] == (1, 1, 1, 1)
 
 

@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from shelfwise.plans.oracle import ORACLE_SQL
+from shelfwise.plans.queries import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
@@ -35,15 +37,16 @@ def _rows(pdf):
     return cols, sorted("|".join(_norm(r[c]) for c in cols) for r in pdf.to_dict("records"))
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_oracle(spark, con, name):
     got = E.queries()[name](spark, SF_SMALL).toPandas()
-    want = con.execute(E.oracle_sql()[name]).df()
+    want = con.execute(ORACLE_SQL[name]).df()
     assert _rows(got) == _rows(want)
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):

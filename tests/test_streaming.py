@@ -22,7 +22,7 @@ def _write_lines(df, path, parts):
 
 
 def _sorted(df, cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted(repr(tuple(r)) for r in df.select(*cols).collect())  # as text: NaN equals NaN
 
 
 def test_clickstream_landing_matches_batch_and_restarts(spark, tmp_dir):
@@ -63,43 +63,109 @@ def test_competitor_landing(spark, tmp_dir):
     assert _sorted(landed, cols) == _sorted(batch, cols)
 
 
-def test_realtime_pricing_incremental_equals_batch(spark, tmp_dir):
-    clicks = tv.clicks(spark, SF_SMALL, with_key=True)
-    quotes = tv.competitor_quotes(spark, SF_SMALL, with_key=True)
-    cs, qs = f"{tmp_dir}/c", f"{tmp_dir}/q"
-    _write_lines(clicks, cs, [F.col("_key") % 3 == i for i in range(3)])
-    _write_lines(quotes, qs, [F.col("_key") % 2 == i for i in range(2)])
-    out, ck = f"{tmp_dir}/rt", f"{tmp_dir}/rtck"
-
-    def run():
-        rc = read_topic(spark, fmt="text", path=f"{cs}/*", maxFilesPerTrigger=1)
-        rq = read_topic(spark, fmt="text", path=f"{qs}/*", maxFilesPerTrigger=1)
-        land_realtime_pricing(rc, rq, out, ck, available_now=True).awaitTermination()
-
-    run()
-    keys = ["product_id", "demand_score", "competitor", "competitor_price", "availability",
-            "pricing_action"]
-    expected = ev.realtime_pricing(ev.parse_clicks(tv.json_lines(clicks)),
-                                   ev.parse_quotes(tv.json_lines(quotes)))
-    want = _sorted(expected, keys + ["pair_count"])
-
-    def landed():
-        got = spark.read.parquet(out).groupBy(*keys).agg(F.sum("pair_count").alias("pair_count"))
-        return _sorted(got, keys + ["pair_count"])
-
-    assert len(spark.read.parquet(out).select("batch_id").distinct().collect()) >= 2
-    assert landed() == want
-    # a restart with nothing new changes nothing
-    run()
-    assert landed() == want
-    # pair totals equal clicks x quotes per product
-    tot = expected.agg(F.sum("pair_count")).first()[0]
-    c = realtime_side_counts(spark, clicks, quotes)
-    assert tot == c
-
-
-def realtime_side_counts(spark, clicks, quotes):
-    pc = ev.realtime_clicks(ev.parse_clicks(tv.json_lines(clicks))).groupBy("product_id").count()
-    pq = ev.realtime_quotes(ev.parse_quotes(tv.json_lines(quotes))).groupBy("product_id").count()
-    j = pc.join(pq, "product_id").select((pc["count"] * pq["count"]).alias("n"))
-    return j.agg(F.sum("n")).first()[0]
+GAP = "1 hour"
+KEYS = ["window_start", "product_id", "demand_score", "competitor", "competitor_price", "availability",
+        "pricing_action", "pair_count"]
+
+
+def _events(folder, name, rows):
+    import json
+    import os
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.json", "w") as fh:
+        fh.write("\n".join(json.dumps(r) for r in rows) + "\n")
+
+
+def _feed(tmp_dir, batch, hours):
+    """Clicks and quotes of some hours, in event-time order over the batches."""
+    types = ["view", "purchase", "remove_from_cart", None]
+    _events(f"{tmp_dir}/c", f"b{batch}", [
+        {"event_time": f"2024-01-01T{h:02d}:{m:02d}:00", "product_id": f"P{m % 3}", "event_type": types[(h + m) % 4]}
+        for h in hours for m in range(0, 60, 7)])
+    _events(f"{tmp_dir}/q", f"b{batch}", [
+        {"event_time": f"2024-01-01T{h:02d}:{m:02d}:30", "product_id": f"P{m % 4}", "competitor": f"S{m % 2}",
+         "competitor_price": None if m % 5 == 0 else 1.5 * m, "availability": m % 2 == 0}
+        for h in hours for m in range(0, 60, 9)])
+
+
+def _run(spark, tmp_dir, fail=False):
+    rc = read_topic(spark, fmt="text", path=f"{tmp_dir}/c", maxFilesPerTrigger=1)
+    rq = read_topic(spark, fmt="text", path=f"{tmp_dir}/q", maxFilesPerTrigger=1)
+    if fail:  # a task of a later micro-batch dies
+        rc = rc.withColumn("value", F.when(F.col("value").contains("T06:"), F.raise_error(F.lit("lost task")))
+                           .otherwise(F.col("value")))
+    query = land_realtime_pricing(rc, rq, f"{tmp_dir}/rt", max_gap=GAP, lateness="5 minutes", available_now=True)
+    query.awaitTermination()
+    return query
+
+
+def _closed(spark, tmp_dir, last_hour):
+    batch = ev.realtime_pricing(ev.parse_clicks(spark.read.text(f"{tmp_dir}/c")),
+                                ev.parse_quotes(spark.read.text(f"{tmp_dir}/q")), max_gap=GAP)
+    return _sorted(batch.filter(F.hour("window_start") < last_hour), KEYS)
+
+
+def test_realtime_stream_equals_batch_and_restarts(spark, tmp_dir):
+    import pytest
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for b in range(4):
+            _feed(tmp_dir, b, [2 * b, 2 * b + 1])
+        with pytest.raises(Exception, match="lost task"):  # the first batches are committed, the fourth is not
+            _run(spark, tmp_dir, fail=True)
+        _run(spark, tmp_dir)
+        landed = _sorted(spark.read.parquet(f"{tmp_dir}/rt"), KEYS)
+        assert landed == _closed(spark, tmp_dir, 7) and landed
+        # more data under the same checkpoint only adds rows; nothing new adds nothing
+        _feed(tmp_dir, 9, [9, 10])
+        _run(spark, tmp_dir)
+        more = _sorted(spark.read.parquet(f"{tmp_dir}/rt"), KEYS)
+        assert more == _closed(spark, tmp_dir, 10) and len(more) > len(landed)
+        _run(spark, tmp_dir)
+        assert _sorted(spark.read.parquet(f"{tmp_dir}/rt"), KEYS) == more
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_realtime_state_stays_small(spark, tmp_dir):
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for b in range(10):
+            _feed(tmp_dir, b, [2 * b, 2 * b + 1])
+        query = _run(spark, tmp_dir)
+        totals = [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in query.recentProgress if p["stateOperators"]]
+        assert len(totals) >= 10 and max(totals[5:]) <= 1.2 * max(totals[:5])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_stream_join_needs_bounds(spark, tmp_dir):
+    import pytest
+    _feed(tmp_dir, 0, [0])
+    raw = read_topic(spark, fmt="text", path=f"{tmp_dir}/c")
+    with pytest.raises(ValueError, match="max_gap"):
+        ev.realtime_pricing(ev.parse_clicks(raw), ev.parse_quotes(raw))
+
+
+def test_interval_trigger(spark, tmp_dir):
+    _feed(tmp_dir, 0, [0])
+    query = land_clickstream(read_topic(spark, fmt="text", path=f"{tmp_dir}/c"), f"{tmp_dir}/out", trigger="1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.parquet(f"{tmp_dir}/out").count() > 0
+    import os
+    assert os.path.isdir(f"{tmp_dir}/out.checkpoint")
+
+
+def test_event_time_offsets(spark):
+    import datetime as dt
+    rows = [("2024-01-01T10:00:00+02:00",), ("2024-01-01T10:00:00",), ("2024-01-01 10:00:00.5Z",), ("2024-01-01",),
+            ("soon",), (None,)]
+    df = spark.createDataFrame(rows, "event_time string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [r[0] for r in ev.with_event_timestamp(df).selectExpr("unix_millis(event_timestamp)").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    day = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp()) * 1000
+    assert got == [day + 8 * 3600_000, day + 10 * 3600_000, day + 36000_500, day, None, None]

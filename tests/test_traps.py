@@ -98,8 +98,13 @@ def test_fan_out_on_repeated_names(spark):
     demand, inv = _chain(spark, rows, [("P9", 10, 5, 1, 30)])
     assert demand.count() == 2
     assert dynamic_pricing(demand, inv).count() == 4  # 2 x 2, as in the source job
-    from shelfwise.operators import assert_unique_key
-    assert assert_unique_key(demand, "product_id").count() == 1
+    import pytest
+
+    from shelfwise.operators import assert_unique_key, repeated_keys
+    assert repeated_keys(demand, "product_id").count() == 1
+    with pytest.raises(ValueError, match="P9"):
+        assert_unique_key(demand, "product_id")
+    assert assert_unique_key(demand, "product_name").count() == 2
 
 
 def test_missing_signals_and_optional_inputs(spark, tmp_dir):
