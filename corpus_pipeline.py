@@ -10,15 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.llm import exact_dedup, simhash
 from shelfwise.llm.decontam import decontaminate
-from shelfwise.llm.exact_dedup import exact_dedup
 from shelfwise.llm.language_id import UNKNOWN, identify, learn
 from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.queries import fold
-from shelfwise.llm.simhash import near_duplicates
 from shelfwise.llm.tables import documents, table, written
 
-
 #: A document stays if this share of its letters is in one language.
 MIN_LANGUAGE_SHARE = 0.4
 
@@ -34,13 +32,13 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id stays."""
-    return exact_dedup(docs, carry=docs.columns).where("kept").select("carried.*")
+    return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays (3-word shingles, at
     most 3 differing bits): one with the smallest id."""
-    return near_duplicates(docs, carry=docs.columns).where("kept").select("carried.*")
+    return simhash.drop_near_copies(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

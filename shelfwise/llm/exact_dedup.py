@@ -10,7 +10,8 @@
 A group of copies may hold a third of all rows: every grouping is a
 hash aggregate with map-side partial results, and the two joins that bring
 a group's result back to its rows have plain shuffles of written tables on
-both sides, so AQE splits a hot group (or broadcasts a small table).
+both sides, so AQE splits a hot group (or broadcasts a small table). The
+written tables hold ids and hashes, no text.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.tables import carried, written
+from shelfwise.llm.tables import rows_with_keys, written
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -29,11 +30,9 @@ def normalised(text: str) -> Column:
 
 
 def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                prefix_chars: int = 256, carry: list[str] | None = None,
-                hash_all: bool = False) -> DataFrame:
+                prefix_chars: int = 256, hash_all: bool = False) -> DataFrame:
     """One row per input row: ``id_col``, ``keep_id``, ``group_size``,
-    ``kept`` and ``text_sha256``, and with ``carry`` the named input columns
-    in a struct ``carried``.
+    ``kept`` and ``text_sha256``.
 
     Of equal texts the row with the smallest id stays. ``text_sha256`` is
     null for a text that differed from all others by length or prefix,
@@ -43,10 +42,9 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     same id are copies of each other, exactly one of them stays; a null id
     is kept only when its whole group has null ids (one row stays); an
     empty table gives an empty result; other input columns, whatever their
-    names, are not looked at unless named in ``carry``.
+    names, are not looked at.
     """
-    text = docs.select(F.col(id_col).alias("_id"), normalised(text_col).alias("_norm"),
-                       carried(carry).alias("_carry"))
+    text = docs.select(F.col(id_col).alias("_id"), normalised(text_col).alias("_norm"))
     keyed = (text.withColumn("_len", F.length("_norm"))
              .withColumn("_prefix", F.xxhash64(F.substring("_norm", 1, prefix_chars))))
 
@@ -62,7 +60,7 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     # Full hash of the survivors (of all rows when the digest is wanted).
     survives = F.col("_shared").isNotNull()
     hashed = (keyed.join(shared, ["_len", "_prefix"], "left")
-              .select("_id", "_carry", "_len", survives.alias("_survives"),
+              .select("_id", "_len", survives.alias("_survives"),
                       (F.sha2("_norm", 256) if hash_all
                        else F.when(survives, F.sha2("_norm", 256))).alias("_sha"),
                       F.monotonically_increasing_id().alias("_row")))
@@ -78,8 +76,14 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     lone = F.col("_size").isNull()
     return out.select(
         F.col("_id").alias(id_col),
-        *([F.col("_carry").alias("carried")] if carry else []),
         F.when(lone, F.col("_id")).otherwise(F.col("_keep")).alias("keep_id"),
         F.when(lone, F.lit(1)).otherwise(F.col("_size")).cast("long").alias("group_size"),
         (lone | (F.col("_row") == F.col("_keep_row"))).alias("kept"),
         F.col("_sha").alias("text_sha256"))
+
+
+def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    found = exact_dedup(docs, id_col=id_col, text_col=text_col)
+    gone = found.where(~F.col(id_col).eqNullSafe(F.col("keep_id"))).select(id_col, "text_sha256")
+    return rows_with_keys(docs, [F.col(id_col), F.sha2(normalised(text_col), 256)], gone, "left_anti")

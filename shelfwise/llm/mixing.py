@@ -144,12 +144,16 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     Defined cases: a null text has size 0 and nothing is taken; rows with a
     null source form one source, the last; rows repeated with the same id
-    count each, in order of size; an empty table or one without words gives
+    count each, in order of size and of a hash of the text; an empty table or one without words gives
     targets of 0; extra columns are not looked at unless named in ``carry``.
     """
-    rows = written(docs.select(
-        F.col(id_col).alias("_id"), F.col(source_col).alias("source"),
-        word_count(text_col).alias("size"), carried(carry).alias("_carry")), "mix-rows")
+    wide = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"),
+                       word_count(text_col).alias("size"),
+                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_text"),
+                       carried(carry).alias("_carry"))
+    # Sizes are counted once and written; carried columns are read again at
+    # the end instead of being written too.
+    rows = written(wide.drop("_carry") if carry else wide, "mix-rows")
 
     sizes = written(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sizes")
     # Blocks per source. The block total is that of the whole mix.
@@ -164,11 +168,13 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     # The per-source table is joined on a null-safe key; it is small next to
     # the rows, so AQE broadcasts it or splits a hot source.
-    digest = _digest(seed)
-    placed = (rows.join(by_source.withColumnRenamed("source", "_source"),
-                        F.col("source").eqNullSafe(F.col("_source")))
-              .withColumn("_order", digest)
-              .withColumn("_shard", shard_of(F.col("_order"), F.col("_shards"))))
+    def place(df: DataFrame) -> DataFrame:
+        return (df.join(by_source.withColumnRenamed("source", "_source"),
+                        F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+                .withColumn("_order", _digest(seed))
+                .withColumn("_shard", shard_of(F.col("_order"), F.col("_shards"))))
+
+    placed = place(rows)
     shards = placed.groupBy("source", "_shard").agg(
         F.sum("size").alias("_shard_size"), F.max("_blocks").alias("_blocks"))
     shards = sainte_lague(shards, group=["source"], key=["source", "_shard"], votes="_shard_size",
@@ -178,9 +184,9 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     # Seeded order inside (source, shard): pass r takes the words from
     # r * shard size on, so the quota is cut from each pass in closed form.
-    inside = W.partitionBy("source", "_shard").orderBy("_order", F.col("_id").asc_nulls_last(), F.col("size"))
+    inside = W.partitionBy("source", "_shard").orderBy("_order", F.col("_id").asc_nulls_last(), "size", "_text")
     upto = F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, W.currentRow))
-    placed = placed.drop("_source").withColumn("_end", upto)
+    placed = (place(wide) if carry else placed).withColumn("_end", upto)
     out = placed.join(shards, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_shard") == F.col("_s")))
     words = F.col("quota") * block_words
     begin = F.col("_end") - F.col("size")

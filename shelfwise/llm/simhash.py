@@ -24,10 +24,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfwise.llm.components import connected_components
-from shelfwise.llm.tables import carried, written
+from shelfwise.llm.tables import rows_with_keys, written
 
 SEED = 42
 SEGMENTS = 2
@@ -63,7 +62,8 @@ def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t.as_py(), shingle) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(fps, pa.int64())], ["key", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("text_key"), pa.array(fps, pa.int64())], ["id", "text_key", "fp"])
     return run
 
 
@@ -132,30 +132,31 @@ def _links(distance: int):
     return run
 
 
+def text_key(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = 3, distance: int = 3,
-                    carry: list[str] | None = None) -> DataFrame:
-    """One row per input row: ``id_col``, ``fingerprint`` (signed 64-bit),
-    ``component_id``, the smallest id reachable over links of at most
-    ``distance`` (0 to 3) differing bits, the row's own included, and
-    ``kept``, true for one row of each component, one with its smallest id;
-    with ``carry`` also the named input columns in a struct ``carried``.
+                    shingle: int = 3, distance: int = 3) -> DataFrame:
+    """One row per input row: ``id_col``, ``text_key`` (a hash of the text),
+    ``fingerprint`` (signed 64-bit), ``component_id``, the smallest id
+    reachable over links of at most ``distance`` (0 to 3) differing bits, the
+    row's own included, and ``kept``, true for one row of each component, one
+    with its smallest id. Tables written on the way hold no text.
 
     Defined cases: texts without words (null, empty, white space) have
     fingerprint 0 and link like any other; rows repeated with the same id
     give one row each and link only by their fingerprints; a null id gets
     the component of its fingerprint, and null where all rows of the
     component have null ids; an empty table gives an empty result; other
-    columns are not looked at unless named in ``carry``.
+    columns are not looked at.
     """
     if not 0 <= distance <= 2 * SEGMENTS - 1:
         raise ValueError("two segments with one wildcard find at most three differing bits")
-    key = F.struct(F.col(id_col).cast("long").alias("id"), carried(carry).alias("carried"))
-    rows = docs.select(key.alias("key"), F.col(text_col).alias("text"))
-    schema = T.StructType([T.StructField("key", rows.schema["key"].dataType), T.StructField("fp", T.LongType())])
-    prints = written(rows.mapInArrow(_fingerprints(shingle), schema)
-                     .select("key.id", "key.carried", "fp", F.monotonically_increasing_id().alias("row")),
-                     "simhash-prints")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("text_key"),
+                       F.col(text_col).alias("text"))
+    prints = written(rows.mapInArrow(_fingerprints(shingle), "id long, text_key long, fp long")
+                     .withColumn("row", F.monotonically_increasing_id()), "simhash-prints")
     # A node per distinct fingerprint; its label is its smallest id.
     nodes = written(prints.groupBy("fp").agg(F.min("id").alias("label")), "simhash-nodes")
     keyed = nodes.select("fp", F.explode(_variants()).alias("key"))
@@ -170,6 +171,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
              .agg(F.coalesce(F.min_by("row", "id"), F.min("any_row")).alias("keep_row")))
     classes = written(classes.join(stays, "root"), "simhash-stays")
     out = prints.join(classes, prints["fp"] == classes["node"])
-    return out.select(F.col("id").alias(id_col), *(["carried"] if carry else []),
-                      F.col("fp").alias("fingerprint"), F.col("component").alias("component_id"),
+    return out.select(F.col("id").alias(id_col), "text_key", F.col("fp").alias("fingerprint"), F.col("component").alias("component_id"),
                       (F.col("row") == F.col("keep_row")).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                     shingle: int = 3, distance: int = 3) -> DataFrame:
+    """One row of each component, with all its columns."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle, distance=distance)
+    stays = found.where("kept").select(id_col, "text_key")
+    return rows_with_keys(docs, [F.col(id_col).cast("long"), text_key(text_col)], stays, "left_semi")

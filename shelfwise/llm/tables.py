@@ -37,3 +37,19 @@ def carried(columns: list[str] | None) -> Column:
     if not columns:
         return F.lit(0).cast("tinyint")
     return F.struct(*[F.col(f"`{c}`").alias(c) for c in columns])
+
+
+def rows_with_keys(docs: DataFrame, key: list[Column], keys: DataFrame, how: str) -> DataFrame:
+    """The whole rows of ``docs`` whose ``key`` is among the rows of ``keys``
+    (``how`` left_semi) or is not (left_anti), null-safe; of rows with equal
+    keys one stays. ``keys`` may be as long as the documents, so the join
+    shuffles at every size; the texts move once and are not written."""
+    names = [f"_k{i}" for i in range(len(key))]
+    left = docs.select(F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns]).alias("_row"),
+                       *[k.alias(n) for k, n in zip(key, names)])
+    right = keys.toDF(*[f"_r{i}" for i in range(len(key))]).hint("merge")
+    same = [left[n].eqNullSafe(right[f"_r{i}"]) for i, n in enumerate(names)]
+    on = same[0]
+    for s in same[1:]:
+        on = on & s
+    return left.join(right, on, how).dropDuplicates(names).select("_row.*")

@@ -108,6 +108,11 @@ def sainte_lague(votes, seats):
     return out
 
 
+def signed_hash(text):
+    h = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def mix(docs, block=64, shard_words=200_000, seed=7):
     """taken per position."""
     size = [len(SPACE_WORDS.findall(d["text"] or "")) for d in docs]
@@ -125,7 +130,7 @@ def mix(docs, block=64, shard_words=200_000, seed=7):
             if d["source"] == s:
                 h = hashlib.md5(f"{seed}:{'' if d['doc_id'] is None else d['doc_id']}".encode()).hexdigest()
                 place.setdefault(int(h[:8], 16) % shards, []).append(
-                    (h, d["doc_id"] is None, d["doc_id"] or 0, size[i], i))
+                    (h, d["doc_id"] is None, d["doc_id"] or 0, size[i], signed_hash(d["text"]), size[i], i))
         q = sainte_lague({k: sum(x[3] for x in v) for k, v in place.items()}, quota[(s is None, s or "")])
         for k, rows in place.items():
             total = sum(x[3] for x in rows)

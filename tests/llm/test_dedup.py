@@ -9,8 +9,8 @@ import data
 import plain
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.decontam import decontaminate
-from shelfwise.llm.exact_dedup import exact_dedup
-from shelfwise.llm.simhash import near_duplicates
+from shelfwise.llm.exact_dedup import drop_copies, exact_dedup
+from shelfwise.llm.simhash import drop_near_copies, near_duplicates
 from shelfwise.llm.substring_dedup import substring_dedup
 
 
@@ -38,25 +38,21 @@ def test_exact(docs):
     groups = {}
     for d in ROWS:
         groups.setdefault(plain.normalised(d["text"]), []).append(d["doc_id"])
-    got = exact_dedup(docs, hash_all=True, prefix_chars=8, carry=docs.columns)
-    rows = got.select("doc_id", "keep_id", "group_size", "kept", "text_sha256", F.col("carried.text").alias("text"),
-                      F.col("carried.kept").alias("extra")).collect()
-    assert len(rows) == len(ROWS) and {r["extra"] for r in rows} == {"k"}
-    stays = Counter()
-    for r in rows:
-        ids = groups[plain.normalised(r["text"])]
-        known = [i for i in ids if i is not None]
-        assert r["keep_id"] == (min(known) if known else None)
-        assert r["group_size"] == len(ids) and r["text_sha256"] == plain.sha(plain.normalised(r["text"]))
-        if r["kept"]:
-            assert r["doc_id"] == r["keep_id"]
-            stays[plain.normalised(r["text"])] += 1
-    assert stays == dict.fromkeys(groups, 1)
-    lazy = {r["text"]: r["text_sha256"] for r in exact_dedup(docs, carry=["text"]).select(
-        "carried.text", "text_sha256").collect()}
-    for text, digest in lazy.items():
-        if len(groups[plain.normalised(text)]) > 1:
-            assert digest == plain.sha(plain.normalised(text))
+    least = {t: min((i for i in ids if i is not None), default=None) for t, ids in groups.items()}
+    want = Counter((d["doc_id"], least[t], len(groups[t]), plain.sha(t))
+                   for d in ROWS for t in [plain.normalised(d["text"])])
+    rows = exact_dedup(docs, hash_all=True, prefix_chars=8).collect()
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in rows) == want
+    kept = [r for r in rows if r["kept"]]
+    assert sorted(r["text_sha256"] for r in kept) == sorted(map(plain.sha, groups))
+    assert all(r["doc_id"] == r["keep_id"] for r in kept)
+    for r in exact_dedup(docs).collect():  # the others were told apart by length or prefix
+        assert r["text_sha256"] is not None or r["group_size"] == 1
+    left = drop_copies(docs)
+    assert left.columns == docs.columns and left.where("kept <> 'k'").count() == 0
+    got = left.collect()
+    assert sorted(plain.normalised(r["text"]) for r in got) == sorted(groups)
+    assert all(r["doc_id"] == least[plain.normalised(r["text"])] for r in got)
 
 
 def test_near(docs):
@@ -67,11 +63,13 @@ def test_near(docs):
         if d["doc_id"] is not None:
             least[r] = min(least.get(r, d["doc_id"]), d["doc_id"])
     want = Counter((d["doc_id"], p, least.get(r)) for d, p, r in zip(ROWS, prints, root))
-    rows = near_duplicates(docs, carry=["text"]).collect()
+    rows = near_duplicates(docs).collect()
     assert Counter((r["doc_id"], r["fingerprint"] % (1 << 64), r["component_id"]) for r in rows) == want
     kept = [r for r in rows if r["kept"]]
     assert len(kept) == len(set(root)) and all(r["doc_id"] == r["component_id"] for r in kept)
     assert len(set(root)) < len(ROWS) - 10
+    left = drop_near_copies(docs).collect()
+    assert Counter(r["doc_id"] for r in left) == Counter(r["doc_id"] for r in kept) and {r["fp"] for r in left} == {"f"}
 
 
 @pytest.mark.parametrize("distance", [0, 1, 2, 3])
