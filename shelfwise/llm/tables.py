@@ -44,12 +44,13 @@ def rows_with_keys(docs: DataFrame, key: list[Column], keys: DataFrame, how: str
     (``how`` left_semi) or is not (left_anti), null-safe; of rows with equal
     keys one stays. ``keys`` may be as long as the documents, so the join
     shuffles at every size; the texts move once and are not written."""
-    names = [f"_k{i}" for i in range(len(key))]
-    left = docs.select(F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns]).alias("_row"),
-                       *[k.alias(n) for k, n in zip(key, names)])
-    right = keys.toDF(*[f"_r{i}" for i in range(len(key))]).hint("merge")
-    same = [left[n].eqNullSafe(right[f"_r{i}"]) for i, n in enumerate(names)]
-    on = same[0]
-    for s in same[1:]:
-        on = on & s
-    return left.join(right, on, how).dropDuplicates(names).select("_row.*")
+    # Plain equality on columns without nulls: the join's partitioning then
+    # serves the de-duplication too.
+    def plain(columns: list[Column]) -> list[Column]:
+        return [x for i, c in enumerate(columns) for x in (
+            F.coalesce(c.cast("string"), F.lit("")).alias(f"_k{i}"), c.isNull().alias(f"_n{i}"))]
+
+    names = [f"_{x}{i}" for i in range(len(key)) for x in "kn"]
+    left = docs.select(F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns]).alias("_row"), *plain(key))
+    right = keys.select(*plain([F.col(f"`{c}`") for c in keys.columns])).hint("merge")
+    return left.join(right, names, how).dropDuplicates(names).select("_row.*")
