@@ -10,14 +10,18 @@ rows kept back, calibrates the chance that a paragraph is a licence at all.
 A prediction is confirmed when the paragraph contains at least 0.8 of the
 5-word shingles of one of the family's templates.
 
-Only DataFrame functions and Spark ML run over the corpus. Paragraphs whose
-words have no weight in favour of a family are unknown whatever else they
-hold (their margin is at most the intercepts' difference), so only the
-others are taken apart into n-grams.
+Only DataFrame functions and Spark ML run over the corpus. Frequent words
+such as "the" and "under" can't make a paragraph a licence by themselves: as
+long as all weights in favour of a family of the n-grams made of them alone
+stay under the margin that the threshold asks for, a paragraph needs some
+other word with a weight. Only paragraphs with such a telling word are taken
+apart into n-grams; the others are unknown whatever else they hold.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector
@@ -87,11 +91,31 @@ def _variants(templates: DataFrame) -> DataFrame:
 class LicenceModel:
     """Weights (small table), intercepts, calibration and templates."""
 
-    def __init__(self, weights: DataFrame, intercepts: dict[str, float], evidence: list[str],
+    def __init__(self, weights: DataFrame, grams: list[tuple], intercepts: dict[str, float], frequent: list[str],
                  slope: float, offset: float, templates: DataFrame):
-        self.weights, self.intercepts, self.evidence = weights, intercepts, evidence
+        self.weights, self.grams, self.intercepts = weights, grams, intercepts
+        self.frequent = frequent  # words of the n-grams with weights, the most frequent in the sample first
         self.slope, self.offset, self.templates = slope, offset, templates
 
+    def telling_words(self, threshold: float) -> list[str] | None:
+        """Words one of which every paragraph of that probability holds;
+        None if there is no such list."""
+        if self.slope <= 0:
+            return None
+        needed = (math.log(threshold / (1 - threshold)) - self.offset) / self.slope
+        names = sorted(k for k in self.intercepts if k != UNKNOWN)
+        best = [self.intercepts[f] - self.intercepts[UNKNOWN] for f in names]
+        if max(best) >= needed:
+            return None
+        plain: set[str] = set()
+        for word in self.frequent:
+            grown = plain | {word}
+            more = [(g, w) for g, *w in self.grams if word in g.split(" ") and grown.issuperset(g.split(" "))]
+            bound = [b + sum(max(w[i], 0.0) for _, w in more) for i, b in enumerate(best)]
+            if max(bound) < needed - 1e-9:
+                plain, best = grown, bound
+        return sorted({x for g, *w in self.grams if max(w) > 0 for x in g.split(" ")} - plain)
+
 
 def _logits(items: DataFrame, key: list[str], weights: DataFrame, intercepts: dict[str, float]) -> DataFrame:
     """``items``: key columns and ``words``. Returns key, family (best
@@ -152,16 +176,17 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     fields = ", ".join(f"w{i} double" for i in range(len(names) - 1))
     weights = written(spark.createDataFrame(used, f"gram string, {fields}"), "licence-weights")
     intercepts = {f: float(b[i]) for i, f in enumerate(names)}
-    evidence = sorted({word for g, *r in used if max(r) > 0 for word in g.split(" ")})
-    if any(intercepts[f] >= intercepts[UNKNOWN] for f in templates):
-        evidence = []  # then no paragraph may be left out
+    words = sorted({x for g, *r in used for x in g.split(" ")})
+    seen = dict(text.select(F.explode(F.array_distinct("words")).alias("w")).where(F.col("w").isin(words))
+                .groupBy("w").count().collect())
+    frequent = sorted(words, key=lambda x: (-seen.get(x, 0), x))
 
     back = _logits(rows.where("kept_back"), ["row", "family"],
                    weights, intercepts).toDF("row", "truth", "family", "margin")
     platt = (back.select(array_to_vector(F.array("margin")).alias("features"),
                          (F.col("truth") != UNKNOWN).cast("double").alias("label")).coalesce(1))
     cal = LogisticRegression(regParam=1e-3, maxIter=50, standardization=False).fit(platt)
-    return LicenceModel(weights, intercepts, evidence, float(cal.coefficients[0]), float(cal.intercept), tt)
+    return LicenceModel(weights, used, intercepts, frequent, float(cal.coefficients[0]), float(cal.intercept), tt)
 
 
 def _similarity(items: DataFrame, key: list[str], templates: DataFrame) -> DataFrame:
@@ -190,15 +215,19 @@ def scan(docs: DataFrame, model: LicenceModel, *, id_col: str = "doc_id", text_c
     columns are not looked at.
     """
     items = paragraphs(docs, id_col, text_col)
-    if model.evidence:
-        words = "|".join(model.evidence)
-        items = items.where(F.lower("piece").rlike(rf"(?<![\p{{L}}])(?:{words.replace('0', chr(92) + 'p{N}+')})(?![\p{{L}}])"))
-    items = items.withColumn("words", word_list(F.col("piece"))).drop("piece").withColumn(
-        "key", F.xxhash64("words"))
+    items = items.withColumn("words", word_list(F.col("piece"))).drop("piece")
+    telling = model.telling_words(threshold)
+    if telling is not None:
+        items = items.where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in telling]).cast("array<string>")))
+    items = items.withColumn("key", F.xxhash64("words"))
     key = ["id", "par", "key"]
     chance = 1.0 / (1.0 + F.exp(-(F.col("margin") * model.slope + model.offset)))
     found = _logits(items, key, model.weights, model.intercepts).withColumn("probability", chance)
-    found = found.where(F.col("probability") >= threshold)
+    found = written(found.where(F.col("probability") >= threshold), "licence-found")
+    # Only predicted paragraphs are compared with the templates.
+    predicted = found.select(*[F.col(k).alias(f"f_{k}") for k in key]).distinct()
+    items = items.join(predicted, items["id"].eqNullSafe(predicted["f_id"]) & (items["par"] == predicted["f_par"])
+                       & (items["key"] == predicted["f_key"]), "left_semi")
     near = _similarity(items, key, model.templates)
     same = [found[k].eqNullSafe(near[k]) for k in key]
     out = (found.join(near, same[0] & same[1] & same[2] & (found["family"] == near["template"]), "left")
