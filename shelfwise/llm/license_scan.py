@@ -1,7 +1,10 @@
 """Licence scans: a trained paragraph classifier, confirmed by templates.
 
-A paragraph (a line, in overlapping pieces where it is very long) is a set
-of word n-grams of one to three words, digits as one sign. A multinomial
+A paragraph (lines up to one without letters and digits) is judged as a
+whole, its lines joined, and by each of its lines; what is very long is cut
+into overlapping pieces. So a hard-wrapped notice is found as well as a line
+among others. Each such part is a set of word n-grams of one to three words,
+digits as one sign. A multinomial
 logistic regression with L1 weights them for every licence family and for
 the class of unknown text. It is trained on variants of the families'
 notices and on a bounded sample of the corpus as unknown text. A second,
@@ -33,13 +36,20 @@ from shelfwise.llm.tables import written
 
 UNKNOWN = "unknown"
 PIECE, STEP = 4000, 3500  # characters
+BLANK = r"\n[^\p{L}\p{N}]*\n"  # lines without letters and digits
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, par, piece): the lines of each text, a line of more than PIECE
-    characters in overlapping pieces."""
-    lines = docs.select(F.col(id_col).alias("id"),
-                        F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("par", "line"))
+    """(id, par, piece): the lines of each paragraph and, where it has
+    several, all of them joined; parts of more than PIECE characters in
+    overlapping pieces. What is between words is one space in joined lines,
+    so that indents and comment signs don't fill a piece."""
+    paras = docs.select(F.col(id_col).alias("id"), F.posexplode(
+        F.split(F.coalesce(F.col(text_col), F.lit("")), BLANK)).alias("par", "para"))
+    each = F.split("para", "\n")
+    joined = F.regexp_replace("para", r"[^\p{L}\p{N}]+", " ")
+    lines = paras.select("id", "par", F.explode(
+        F.when(F.size(each) > 1, F.array_distinct(F.array_append(each, joined))).otherwise(each)).alias("line"))
     last = F.greatest(F.ceil((F.length("line") - PIECE) / STEP), F.lit(0)).cast("int")
     return (lines.withColumn("at", F.explode(F.sequence(F.lit(0), last)))
             .select("id", "par", F.when(last == 0, F.col("line"))
@@ -202,14 +212,15 @@ def _similarity(items: DataFrame, key: list[str], templates: DataFrame) -> DataF
 
 def scan(docs: DataFrame, model: LicenceModel, *, id_col: str = "doc_id", text_col: str = "text",
          threshold: float = 0.9, similarity: float = 0.8) -> DataFrame:
-    """The licence paragraphs: ``id_col``, ``par`` (line number from 0),
+    """The licence paragraphs: ``id_col``, ``par`` (paragraph number from 0),
     ``family``, ``probability`` (calibrated, at least ``threshold``),
-    ``similarity`` to the family's nearest template and ``confirmed``
-    (similarity at least ``similarity``).
+    ``similarity`` to the family's nearest template, ``confirmed``
+    (similarity at least ``similarity``) and ``families`` (of all its parts).
 
-    Defined cases: null and empty texts have no licence paragraph; of a line
-    in several pieces the likeliest piece counts; rows with the same id are
-    one document, whose equal line numbers merge; a null id is a document of
+    Defined cases: null and empty texts have no licence paragraph; of a
+    paragraph's lines, joined lines and pieces the likeliest confirmed one
+    counts, else the likeliest; rows with the same id are
+    one document, whose equal paragraph numbers merge; a null id is a document of
     its own kind and is returned; ties between families go to the later name
     in alphabetical order; an empty table gives an empty result; other
     columns are not looked at.
@@ -233,10 +244,11 @@ def scan(docs: DataFrame, model: LicenceModel, *, id_col: str = "doc_id", text_c
     out = (found.join(near, same[0] & same[1] & same[2] & (found["family"] == near["template"]), "left")
            .select(found["id"], found["par"], "family", "probability",
                    F.coalesce("similarity", F.lit(0.0)).alias("similarity")))
-    best = F.max(F.struct("probability", "similarity", "family")).alias("b")
-    return (out.groupBy("id", "par").agg(best)
-            .select(F.col("id").alias(id_col), "par", "b.family", "b.probability", "b.similarity",
-                    (F.col("b.similarity") >= similarity).alias("confirmed")))
+    best = F.max(F.struct((F.col("similarity") >= similarity).alias("confirmed"),
+                          "probability", "similarity", "family")).alias("b")
+    return (out.groupBy("id", "par").agg(best, F.array_sort(F.collect_set("family")).alias("families"))
+            .select(F.col("id").alias(id_col), "par", "b.family", "b.probability", "b.similarity", "b.confirmed",
+                    "families"))
 
 
 def by_document(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
@@ -245,7 +257,8 @@ def by_document(docs: DataFrame, found: DataFrame, *, id_col: str = "doc_id") ->
     ``n_licences`` (licence paragraphs) and ``families`` (sorted, joined)."""
     best = F.max(F.struct("confirmed", "probability", "family")).alias("b")
     per = found.groupBy(F.col(id_col).alias("_id")).agg(
-        best, F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("f"))
+        best, F.count(F.lit(1)).alias("n"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("families")))), ",").alias("f"))
     ids = docs.select(id_col).distinct()
     return (ids.join(per, ids[id_col].eqNullSafe(per["_id"]), "left")
             .select(id_col, F.coalesce("b.family", F.lit(UNKNOWN)).alias("licence"),

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import textwrap
 
 import numpy as np
 import pytest
@@ -211,3 +212,32 @@ def test_licences(spark):
     every = license_scan._logits(every.withColumn("key", F.xxhash64("words")), key, model.weights, model.intercepts)
     chance = 1.0 / (1.0 + F.exp(-(F.col("margin") * model.slope + model.offset)))
     assert every.where(chance >= 0.9).select("id", "par").distinct().count() == found.count()
+
+
+def test_wrapped_licences(spark):
+    rng = random.Random(9)
+    vocab = ["the", "house", "of", "is", "under", "this", "work", "version", "and", "free", "to", "public", "2.0", "mit"]
+
+    def prose(n):
+        return " ".join(rng.choice(vocab) + rng.choice(["", "s", "ing"]) for _ in range(n))
+
+    def wrapped(text, width, sign=""):
+        return "\n".join(sign + x for x in textwrap.wrap(text, width))
+
+    t = license_scan.TEMPLATES
+    notices = [("MIT", t["MIT"][2], 72, ""), ("Apache", t["Apache"][1], 70, " * "), ("GPL", t["GPL"][1], 78, "# ")]
+    rows = [(i, "\n".join(prose(12) for _ in range(30)) + "\n\n" + prose(9)) for i in range(120)]
+    for i, (_, text, width, sign) in enumerate(notices):
+        notice = wrapped(text, width, sign)
+        rows += [(200 + i, notice), (300 + i, prose(30) + "\n\n" + notice + "\r\n \r\n" + prose(30)),
+                 (400 + i, "\n".join([*[prose(12) for _ in range(20)], notice, *[prose(12) for _ in range(20)]]))]
+    rows += [(500, "Released under the MIT License.\n" + wrapped(t["Apache"][1], 70))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = license_scan.scan(docs, license_scan.train(docs, sample_docs=100))
+    got = {r["doc_id"]: r for r in license_scan.by_document(docs, found).collect()}
+    for i, (family, *_) in enumerate(notices):
+        for k in (200, 300, 400):
+            assert (got[k + i]["licence"], got[k + i]["confirmed"]) == (family, True), (k, family)
+    assert {"Apache", "MIT"} <= set(got[500]["families"].split(",")) and got[500]["confirmed"]
+    assert {r["par"] for r in found.where("doc_id = 301").collect()} == {1}
+    assert all(got[i]["n_licences"] == 0 for i in range(120))
