@@ -131,11 +131,16 @@ def _logits(items: DataFrame, key: list[str], weights: DataFrame, intercepts: di
     """``items``: key columns and ``words``. Returns key, family (best
     beside unknown) and margin over the unknown class. One hash aggregate
     over the n-grams that have weights; they are combined in the task that
-    took the paragraph apart."""
-    grams = items.select(*key, F.explode(features(F.col("words"))).alias("gram"))
+    took the paragraph apart. Items with an equal key are one: each brings a
+    gram "" without weights, which counts them, and the sums are shared out."""
+    grams = items.select(*key, F.explode(F.array_append(features(F.col("words")), F.lit(""))).alias("gram"))
     names = sorted(k for k in intercepts if k != UNKNOWN)
-    sums = (grams.join(weights, "gram").groupBy(*key)
-            .agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(len(names))]))
+    table = weights.unionByName(weights.sparkSession.range(1).select(
+        F.lit("").alias("gram"), *[F.lit(0.0).alias(f"w{i}") for i in range(len(names))]))
+    copies = F.count_if(F.col("gram") == "")
+    sums = (grams.join(table, "gram").groupBy(*key)
+            .agg(*[(F.sum(f"w{i}") / copies).alias(f"w{i}") for i in range(len(names))],
+                 F.count_if(F.col("gram") != "").alias("n")).where("n > 0"))
     # weights are relative to the unknown class
     scores = F.array(*[F.struct((F.col(f"w{i}") + F.lit(intercepts[f] - intercepts[UNKNOWN])).alias("margin"),
                                 F.lit(f).alias("family")) for i, f in enumerate(names)])
@@ -205,7 +210,7 @@ def _similarity(items: DataFrame, key: list[str], templates: DataFrame) -> DataF
     are few and short, so their table is joined as a small side."""
     t = templates.select(F.col("family").alias("template"), "i", F.size("shingles").alias("of"),
                          F.explode("shingles").alias("s"))
-    return (items.select(*key, F.explode(shingles(F.col("words"))).alias("s")).join(t, "s")
+    return (items.select(*key, F.explode(shingles(F.col("words"))).alias("s")).distinct().join(t, "s")
             .groupBy(*key, "template", "i", "of").agg(F.count(F.lit(1)).alias("n"))
             .groupBy(*key, "template").agg(F.max(F.col("n") / F.col("of")).alias("similarity")))
 
@@ -220,7 +225,8 @@ def scan(docs: DataFrame, model: LicenceModel, *, id_col: str = "doc_id", text_c
     Defined cases: null and empty texts have no licence paragraph; of a
     paragraph's lines, joined lines and pieces the likeliest confirmed one
     counts, else the likeliest; rows with the same id are
-    one document, whose equal paragraph numbers merge; a null id is a document of
+    one document, whose equal paragraph numbers merge and whose equal parts
+    there count once; a null id is a document of
     its own kind and is returned; ties between families go to the later name
     in alphabetical order; an empty table gives an empty result; other
     columns are not looked at.

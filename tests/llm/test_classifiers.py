@@ -241,3 +241,23 @@ def test_wrapped_licences(spark):
     assert {"Apache", "MIT"} <= set(got[500]["families"].split(",")) and got[500]["confirmed"]
     assert {r["par"] for r in found.where("doc_id = 301").collect()} == {1}
     assert all(got[i]["n_licences"] == 0 for i in range(120))
+
+
+def test_repeated_paragraphs_count_once(spark):
+    t = license_scan.template_table(spark, license_scan.TEMPLATES).withColumn("shingles", license_scan.shingles(F.col("words")))
+    half = " ".join(license_scan.TEMPLATES["MIT"][2].split(" ")[:30])
+    lines = [half, license_scan.TEMPLATES["Apache"][0], "the house of words", half + " and the water"]
+    weights = spark.createDataFrame([("permission", 1.5, -0.25), ("the", -0.1, 0.3), ("license", 0.0, 2.0)],
+                                    "gram string, w0 double, w1 double")
+    once = [(None, i, x) for i, x in enumerate(lines)]
+    key = ["id", "par", "key"]
+
+    def result(rows):
+        items = (spark.createDataFrame(rows, "id long, par int, line string").repartition(3)
+                 .withColumn("words", license_scan.word_list(F.col("line"))).withColumn("key", F.xxhash64("words")))
+        near = {(r["par"], r["template"]): r["similarity"] for r in license_scan._similarity(items, key, t).collect()}
+        logits = license_scan._logits(items, key, weights, {"a": 0.5, "b": 0.1, "unknown": 1.0})
+        return near, {(r["par"], r["family"]): round(r["margin"], 9) for r in logits.collect()}
+
+    near, margin = result(once)
+    assert result(once * 3) == (near, margin) and 0.3 < near[0, "MIT"] < 0.8 and len(margin) == 4
