@@ -17,16 +17,17 @@ from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.queries import fold
 from shelfwise.llm.tables import documents, table, written
 
-#: A document stays if this share of its letters is in one language.
+#: A document stays if this share of its letters is in learned languages.
 MIN_LANGUAGE_SHARE = 0.4
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters go, and those in which no language has
-    MIN_LANGUAGE_SHARE of the letters. Learned from the labelled documents of
-    folds 1 to 4 of 5."""
+    """Documents without letters go, and those with less than
+    MIN_LANGUAGE_SHARE of their letters in words of learned languages'
+    scripts. However many learned languages share a document, it stays.
+    Learned from the labelled documents of folds 1 to 4 of 5."""
     found = identify(docs, learn(docs.where(fold(5) != 0)), carry=docs.columns)
-    clear = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SHARE)
+    clear = (F.col("lang_pred") != UNKNOWN) & (F.col("known") >= MIN_LANGUAGE_SHARE)
     return found.where(clear).select("carried.*")
 
 

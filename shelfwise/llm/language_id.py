@@ -253,11 +253,18 @@ def viterbi(s: np.ndarray, first: np.ndarray, rows: np.ndarray, penalty: float)
 
 def label_rows(texts: list[str | None], model: LanguageModel):
     """(language, score, spans) of each text."""
+    return [row[:3] for row in label_known(texts, model)]
+
+
+def label_known(texts: list[str | None], model: LanguageModel):
+    """(language, score, spans, known) of each text; known is the share of
+    the letters in words whose script some learned language uses."""
     text = _Text(texts)
-    out: list[tuple[str, float, list[dict]]] = [(UNKNOWN, 0.0, [])] * len(texts)
+    out: list[tuple[str, float, list[dict], float]] = [(UNKNOWN, 0.0, [], 0.0)] * len(texts)
     if not model.langs or not len(text.starts):
         return out
     s = word_scores(text, model)
+    in_script = text.letters * model.allowed[text.script].any(axis=1)
     some = np.flatnonzero(text.first[1:] > text.first[:-1])
     totals = np.zeros((len(texts), len(model.langs)))
     totals[some] = np.add.reduceat(s.astype(np.float64), text.first[some], axis=0)
@@ -267,14 +274,16 @@ def label_rows(texts: list[str | None], model: LanguageModel):
     for r in some.tolist():
         lo, hi = int(text.first[r]), int(text.first[r + 1])
         path = paths.get(r)
+        every = text.letters[lo:hi].sum()
+        known = float(in_script[lo:hi].sum() / every)
         if path is None:
-            out[r] = (model.langs[best[r]], 1.0, [{"begin": 0, "end": hi - lo, "lang": model.langs[best[r]]}])
+            out[r] = (model.langs[best[r]], known, [{"begin": 0, "end": hi - lo, "lang": model.langs[best[r]]}], known)
             continue
-        letters = np.bincount(path, weights=text.letters[lo:hi], minlength=len(model.langs))
+        letters = np.bincount(path, weights=in_script[lo:hi], minlength=len(model.langs))
         top = int((letters + 1e-9 * totals[r]).argmax())
         edge = np.append(np.flatnonzero(np.append(True, path[1:] != path[:-1])), hi - lo).tolist()
-        out[r] = (model.langs[top], float(letters[top] / letters.sum()),
-                  [{"begin": a, "end": b, "lang": model.langs[path[a]]} for a, b in zip(edge[:-1], edge[1:])])
+        out[r] = (model.langs[top], float(letters[top] / every),
+                  [{"begin": a, "end": b, "lang": model.langs[path[a]]} for a, b in zip(edge[:-1], edge[1:])], known)
     return out
 
 
@@ -282,8 +291,10 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", t
              carry: list[str] | None = None) -> DataFrame:
     """One row per input row: ``id_col``, ``lang_pred`` (a learned language,
     or ``und`` for a text without letters), ``score`` (share of the letters
-    in spans of that language) and ``spans`` (begin, end, lang: maximal runs
-    of words of one language); with ``carry`` also the named input columns
+    in spans of that language, in words whose script some learned language
+    uses), ``spans`` (begin, end, lang: maximal runs of words of one
+    language) and ``known`` (share of the letters in words of such scripts,
+    whatever their language); with ``carry`` also the named input columns
     in a struct ``carried``.
 
     Only the text is looked at. Defined cases: null, empty and letterless
@@ -299,7 +310,8 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", t
     rows = docs.select(F.struct(F.col(id_col).alias("id"), carried(carry).alias("carried")).alias("key"),
                        F.col(text_col).alias("text"))
     schema = T.StructType([T.StructField("key", rows.schema["key"].dataType), T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))])
+                           T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span)),
+                           T.StructField("known", T.DoubleType())])
     arrow_span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,12 +319,13 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", t
             _, offsets = tk.text_bytes(batch.column("text"))
             for lo, hi in tk.pieces(offsets, _BATCH_BYTES):
                 part = batch.slice(lo, hi - lo)
-                got = label_rows(part.column("text").to_pylist(), shared.value)
+                got = label_known(part.column("text").to_pylist(), shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), pa.array([g[0] for g in got], pa.string()),
-                     pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], arrow_span)],
-                    ["key", "lang_pred", "score", "spans"])
+                     pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], arrow_span),
+                     pa.array([g[3] for g in got], pa.float64())],
+                    ["key", "lang_pred", "score", "spans", "known"])
 
     out = rows.mapInArrow(run, schema)
     return out.select(F.col("key.id").alias(id_col), *([F.col("key.carried").alias("carried")] if carry else []),
-                      "lang_pred", "score", "spans")
+                      "lang_pred", "score", "spans", "known")

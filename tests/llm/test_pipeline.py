@@ -92,3 +92,17 @@ def test_native(spark, name):
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     for marker in ("Python", "Pandas", "Arrow"):
         assert marker not in plan
+
+
+def test_language_stage_keeps_mixed_documents(spark):
+    words = {"en": "the house with water through", "de": "das haus mit wasser durch", "ru": "дом вода через этот земля"}
+    rows = [(i, " ".join([words[k]] * 8), k) for i, k in enumerate(list(words) * 20)]
+    mixed = " ".join([words["en"]] * 10 + [words["de"]] * 11 + [words["ru"]] * 10)
+    rows += [(100, mixed, None), (101, "ἀγαθός λόγος " * 20, None), (102, "ἀγαθός " * 9 + words["en"], None),
+             (103, "ἀγαθός " * 2 + words["en"], None), (104, "12 ?!", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(docs.where(fold(5) != 0))
+    assert language_id.label_rows([mixed], model)[0][1] < corpus_pipeline.MIN_LANGUAGE_SHARE
+    assert language_id.label_rows([rows[61][1]], model)[0][1] == 0.0
+    kept = {r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, SF_SMALL).collect()}
+    assert kept == {*range(60), 100, 103}
