@@ -100,11 +100,33 @@ CLICK_KEYS = ["product_id", "demand_score"]
 QUOTE_KEYS = ["product_id", "competitor", "competitor_price", "availability"]
 
 
-def _grouped(df: DataFrame, keys: list[str], count: str, max_gap: str | None) -> DataFrame:
-    """Events reduced to distinct keys with their number, per window of
-    length ``max_gap`` where one is given."""
-    by = [F.window("event_timestamp", max_gap).alias("window")] if max_gap else []
-    return df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias(count))
+def _grouped(df: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Events reduced to distinct keys with their number."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
+
+
+def _near_pairs(clicks: DataFrame, quotes: DataFrame, max_gap: str) -> DataFrame:
+    """Pairs no more than ``max_gap`` apart, counted by the window of that
+    length that holds the later event.
+
+    An event enters two windows of twice the length, each of which names its
+    second half: the earlier event of a pair lies in that half or in the
+    first one, wherever the clock cuts. Pairs with both in the first half
+    belong to the window before. The window is the watermark's column on both
+    sides of the join, so its state goes when the watermark passes its end,
+    which is when the later half ends.
+    """
+    gap = clicks.sparkSession.range(1).select(
+        F.expr(f"unix_micros(timestamp_seconds(0) + interval '{max_gap}')")).first()[0]
+    window = F.window("event_timestamp", f"{2 * gap} microseconds", f"{gap} microseconds")
+    at = F.unix_micros("event_timestamp")
+    clicks = clicks.select(window.alias("window"), *CLICK_KEYS, at.alias("clicked"))
+    quotes = quotes.select(window.alias("window"), *QUOTE_KEYS, at.alias("quoted"))
+    later = F.unix_micros("window.end") - gap
+    near = (F.abs(F.col("clicked") - F.col("quoted")) <= gap) & (F.greatest("clicked", "quoted") >= later)
+    return (clicks.join(quotes, ["window", "product_id"]).where(near)
+            .groupBy("window", *CLICK_KEYS, *QUOTE_KEYS[1:]).agg(F.count(F.lit(1)).alias("pair_count"))
+            .withColumn("window_start", F.timestamp_micros(later)))
 
 
 def realtime_pricing(parsed_clicks: DataFrame, parsed_quotes: DataFrame, max_gap: str | None = None,
@@ -121,11 +143,13 @@ def realtime_pricing(parsed_clicks: DataFrame, parsed_quotes: DataFrame, max_gap
 
     Without ``max_gap`` a quote meets every earlier and later click, as in
     the source job, which on streams would need state without end. With it,
-    pairs form inside event-time windows of that length: the frame gains
-    ``window_start``, and events without a time (null) pair with none. On
-    streaming frames ``max_gap`` and ``lateness`` are needed: two windowed
-    aggregates under watermarks, joined on (window, product), all in Spark's
-    state store; a window leaves the state once the watermark has passed it.
+    pairs are those whose event times are at most that far apart, on either
+    side of any clock time: the frame gains ``window_start``, the start of the
+    window of that length with the pair's later event, ``pair_count`` is per
+    window, and events without a time (null) pair with none. On streaming
+    frames ``max_gap`` and ``lateness`` are needed: a windowed join under
+    watermarks and an aggregate of its pairs, both in Spark's state store; a
+    window leaves the state once the watermark has passed it.
     """
     if max_gap:
         parsed_clicks, parsed_quotes = with_event_timestamp(parsed_clicks), with_event_timestamp(parsed_quotes)
@@ -135,14 +159,16 @@ def realtime_pricing(parsed_clicks: DataFrame, parsed_quotes: DataFrame, max_gap
             raise ValueError("a stream join without max_gap and lateness would keep its state for ever")
         clicks = clicks.withWatermark("event_timestamp", lateness)
         quotes = quotes.withWatermark("event_timestamp", lateness)
-    on = ["window", "product_id"] if max_gap else ["product_id"]
-    pairs = _grouped(clicks, CLICK_KEYS, "click_events", max_gap).join(
-        _grouped(quotes, QUOTE_KEYS, "quote_events", max_gap), on)
+    if max_gap:
+        pairs, count = _near_pairs(clicks, quotes, max_gap), F.col("pair_count")
+    else:
+        pairs = _grouped(clicks, CLICK_KEYS, "click_events").join(
+            _grouped(quotes, QUOTE_KEYS, "quote_events"), ["product_id"])
+        count = (F.col("click_events") * F.col("quote_events")).alias("pair_count")
     return pairs.select(
-        *([F.col("window.start").alias("window_start")] if max_gap else []),
+        *(["window_start"] if max_gap else []),
         *QUOTE_KEYS[:1], "demand_score", *QUOTE_KEYS[1:],
-        rules.realtime_action("demand_score", "competitor_price").alias("pricing_action"),
-        (F.col("click_events") * F.col("quote_events")).alias("pair_count"))
+        rules.realtime_action("demand_score", "competitor_price").alias("pricing_action"), count)
 
 
 def parse_clicks(df: DataFrame, value: str = "value") -> DataFrame:

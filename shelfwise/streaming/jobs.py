@@ -101,9 +101,10 @@ STATE_CONF = {
 def land_realtime_pricing(raw_clicks: DataFrame, raw_quotes: DataFrame, path: str,
                           checkpoint: str | None = None, max_gap: str = "1 hour",
                           lateness: str = "10 minutes", **kw) -> StreamingQuery:
-    """M9: both raw streams -> windowed aggregates joined in the state store
-    -> Parquet, append only. A window's pairs are written once the watermark
-    (latest event time less ``lateness``) has passed its end."""
+    """M9: both raw streams -> pairs at most ``max_gap`` apart, joined and
+    counted in the state store -> Parquet, append only. A window's pairs (those
+    whose later event it holds) are written once the watermark (latest event
+    time less ``lateness``) has passed its end."""
     pairs = ev.realtime_pricing(ev.parse_events(raw_clicks, schemas.CLICK_EVENT),
                                 ev.parse_events(raw_quotes, schemas.COMPETITOR_EVENT),
                                 max_gap=max_gap, lateness=lateness)

@@ -169,3 +169,39 @@ def test_event_time_offsets(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     day = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp()) * 1000
     assert got == [day + 8 * 3600_000, day + 10 * 3600_000, day + 36000_500, day, None, None]
+
+
+def test_realtime_pairs_across_window_borders(spark, tmp_dir):
+    import collections
+    import datetime as dt
+    import glob
+    import os
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for b in range(3):
+            _feed(tmp_dir, b, [2 * b, 2 * b + 1])
+        _events(f"{tmp_dir}/c", "b0x", [{"event_time": "2024-01-01T02:59:00", "product_id": "X", "event_type": "view"},
+                                        {"event_time": "2024-01-01T02:30:00", "product_id": "Y", "event_type": "view"}])
+        _events(f"{tmp_dir}/q", "b0x", [
+            {"event_time": f"2024-01-01T{t}", "product_id": p, "competitor": "S", "competitor_price": 2.0, "availability": True}
+            for p, t in (("X", "03:01:00"), ("Y", "03:30:00"), ("Y", "03:30:01"), ("Y", "01:30:00"), ("Y", "01:29:59"))])
+        for folder in "cq":  # files are read in the order of their times: b0, b0x, b1, b2
+            for i, path in enumerate(sorted(glob.glob(f"{tmp_dir}/{folder}/*.json"))):
+                os.utime(path, (1.7e9 + i, 1.7e9 + i))
+        _run(spark, tmp_dir)
+        clicks = ev.realtime_clicks(ev.with_event_timestamp(ev.parse_clicks(spark.read.text(f"{tmp_dir}/c")))).collect()
+        quotes = ev.realtime_quotes(ev.with_event_timestamp(ev.parse_quotes(spark.read.text(f"{tmp_dir}/q")))).collect()
+        want = collections.Counter()
+        for c in clicks:
+            for q in quotes:
+                late = max(c["event_timestamp"], q["event_timestamp"])
+                if c["product_id"] == q["product_id"] and late.hour < 5 \
+                        and abs(c["event_timestamp"] - q["event_timestamp"]) <= dt.timedelta(hours=1):
+                    want[late.replace(minute=0, second=0), c["product_id"], c["demand_score"], q["competitor"],
+                         q["competitor_price"], q["availability"]] += 1
+        landed = spark.read.parquet(f"{tmp_dir}/rt").select(*KEYS).collect()
+        assert {tuple(r)[:6]: r["pair_count"] for r in landed} == want and len(landed) == len(want)
+        assert sum(r["pair_count"] for r in landed if r["product_id"] == "X") == 1
+        assert sum(r["pair_count"] for r in landed if r["product_id"] == "Y") == 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
