@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.rules import classify_product
+from shelfwise.operators.prepare import once, prepare_transactions
 
 # events.event_type -> click event type
 EVENT_TYPE_MAP = {"click": "add_to_cart", "error": "remove_from_cart",
@@ -47,7 +48,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Dates come in four formats, every fifth price has four digits, and lines
     of the slots 0 to 21 of FAULT_EVERY stand twice, the second time with the
-    fault of their slot.
+    fault of their slot. A file holds its texts; here each is made once a row.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
@@ -78,17 +79,21 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     pid, order = F.col("l_partkey").cast("string"), F.col("l_orderkey").cast("string")
     v = F.col("v")
     none = F.lit(None).cast("string")
-    return joined.select(
-        F.when(v == 0, none).when(v == 1, F.concat(F.lit(" c"), order))
-        .otherwise(F.concat(F.when(F.col("l_returnflag") == "R", "C").otherwise(""), order)).alias("invoice_no"),
-        F.when(v == 2, none).when(v == 3, F.lit("   ")).when(v == 4, F.concat(F.lit(" "), pid, F.lit(" ")))
-        .when(v == 20, F.concat(F.lit("N"), order)).otherwise(pid).alias("product_id"),
+    lines = once(joined, {
+        "invoice_no": F.when(v == 0, none).when(v == 1, F.concat(F.lit(" c"), order))
+        .otherwise(F.concat(F.when(F.col("l_returnflag") == "R", "C").otherwise(""), order)),
+        "product_id": F.when(v == 2, none).when(v == 3, F.lit("   ")).when(v == 4, F.concat(F.lit(" "), pid, F.lit(" ")))
+        .when(v == 20, F.concat(F.lit("N"), order)).otherwise(pid),
+        "quantity": F.when(v == 6, "abc").when(v == 7, "3000000000").when(v == 8, "-5").when(v == 9, "0")
+        .when(v == 10, "NaN").when(v == 21, "1").otherwise(qty.cast("int").cast("string")),
+        "invoice_date": F.when(v == 11, "not a date").when(v == 12, none).otherwise(date),
+        "unit_price": F.when(v == 13, "NaN").when(v == 14, "Infinity").when(v == 15, "-1.5").when(v == 16, "")
+        .when(v == 19, "0").when(v == 21, "0.001").otherwise(price),
+    })
+    return lines.select(
+        "invoice_no", "product_id",
         F.when(v == 5, none).otherwise(_named(F.col("l_partkey"), F.col("p_name"))).alias("description"),
-        F.when(v == 6, "abc").when(v == 7, "3000000000").when(v == 8, "-5").when(v == 9, "0").when(v == 10, "NaN")
-        .when(v == 21, "1").otherwise(qty.cast("int").cast("string")).alias("quantity"),
-        F.when(v == 11, "not a date").when(v == 12, none).otherwise(date).alias("invoice_date"),
-        F.when(v == 13, "NaN").when(v == 14, "Infinity").when(v == 15, "-1.5").when(v == 16, "").when(v == 19, "0")
-        .when(v == 21, "0.001").otherwise(price).alias("unit_price"),
+        "quantity", "invoice_date", "unit_price",
         F.when(v == 17, none).otherwise(F.col("o_custkey").cast("string")).alias("customer_id"),
         F.col("n_name").alias("country"),
     )
@@ -105,7 +110,6 @@ def source_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from shelfwise.operators.prepare import prepare_transactions
     return prepare_transactions(ledger(spark, sf_dir))
 
 

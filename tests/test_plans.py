@@ -68,3 +68,29 @@ def test_no_sort_aggregate_over_lines(spark):
     from shelfwise.sources import testviews as tv
     text = _explain(build_catalog(tv.transactions(spark, SF_SMALL), median="percentile"))
     assert text.count("partial_min(struct(") == 1
+
+
+def test_ledger_texts_and_parses_occur_once(spark):
+    """Each text of the fixture and each parse of the operator is one
+    expression in the plan, whatever filters and projections stand above."""
+    from shelfwise.operators.prepare import DATE_FORMATS
+    from shelfwise.sources import testviews as tv
+    text = _explain(tv.transactions(spark, SF_SMALL))
+    body = text[text.rindex("== Physical Plan =="):]
+    assert body.count("date_format(") == 4  # the fixture's four date formats
+    assert body.lower().count("rlike") == len(DATE_FORMATS)
+    parses = [line for line in body.splitlines() if "invoice_date" in line and "RLIKE" in line]
+    assert len(parses) == 1 and "Arguments: inline(" in parses[0]
+
+
+def test_filters_and_columns_pass_the_coercion(spark, tmp_dir):
+    """Filters on columns that are not coerced reach the scan, and columns
+    that nobody reads leave it."""
+    from shelfwise.operators.prepare import prepare_transactions
+    from shelfwise.sources import testviews as tv
+    tv.ledger(spark, SF_SMALL).write.parquet(f"{tmp_dir}/ledger")
+    ledger = spark.read.parquet(f"{tmp_dir}/ledger")
+    text = _explain(prepare_transactions(ledger, dedupe=False).select("product_id", "quantity"))
+    scan = text[text.index("Batched"):]
+    assert "IsNotNull(invoice_no)" in scan and "IsNotNull(product_id)" in scan
+    assert "description" not in scan[:scan.index("(2)")]
