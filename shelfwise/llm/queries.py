@@ -4,6 +4,8 @@ contract from the operator's output."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,9 @@ from shelfwise.llm.mixing import mix_sources
 from shelfwise.llm.simhash import near_duplicates
 from shelfwise.llm.substring_dedup import substring_dedup
 from shelfwise.llm.tables import documents, table
+from shelfwise.llm.token_files import read_token_files, write_token_files
 from shelfwise.llm.url_filter import filter_urls, host, path_segments
+from shelfwise.session import checkpoint_root
 
 
 def covered(spans: str):
@@ -133,6 +137,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("items") > 0).alias("contaminated"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as Re-Pair shards and read back."""
+    import public_tokenizers
+    path = f"{checkpoint_root(spark)}/llm/token-files-{uuid.uuid4().hex[:12]}"
+    write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(spark, path).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_substring_dedup, op3_simhash, op4_url_filter, op5_mix_sources, op6_language_id,
-    op7_exact_dedup, op8_toxicity, op9_quality, op10_decontaminate)}
+    op7_exact_dedup, op8_toxicity, op9_quality, op10_decontaminate, op11_token_files)}
