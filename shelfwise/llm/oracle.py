@@ -132,10 +132,57 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+
+def _round(at: int) -> str:
+    """CTEs of one assignment to the centroids c{at} and of their means."""
+    return f"""
+d{at} AS (SELECT vec_id, c.c, list_sum(list_transform(list_zip(kept.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+       FROM kept, c{at} AS c),
+a{at} AS (SELECT vec_id, c, d FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, c) AS rn FROM d{at}) WHERE rn = 1),
+m{at} AS (SELECT c, list(q ORDER BY i) AS v FROM (
+         SELECT c, i, ((s - (((s % n) + n) % n)) // n)::BIGINT AS q
+         FROM (SELECT a.c, t.i, sum(kept.v[t.i])::HUGEINT AS s, count(*)::HUGEINT AS n
+               FROM a{at} AS a JOIN kept USING (vec_id), unnest(range(1, 65)) AS t(i) GROUP BY ALL)) GROUP BY c),
+c{at + 1} AS (SELECT c.c, coalesce(m.v, c.v) AS v FROM c{at} AS c LEFT JOIN m{at} AS m USING (c)),"""
+
+
+OP12 = f"""
+WITH kept AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY h) - 1 AS c, v FROM
+       (SELECT v, sha256('1:' || vec_id) AS h FROM kept ORDER BY h LIMIT 16)),
+{"".join(_round(i) for i in range(4))}
+per AS (SELECT c, sum(d)::BIGINT AS inertia FROM a3 GROUP BY c)
+SELECT vec_id, a3.c::INTEGER AS cluster, d AS distance, per.inertia AS cluster_inertia,
+       (SELECT sum(d)::BIGINT FROM a3) AS inertia, sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+FROM a3 JOIN per USING (c) JOIN c3 USING (c)
+"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP13 = rf"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM piece),
+f AS (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+      FROM w, unnest(range(1, 6)) AS t(m), unnest(range(1, greatest(len(ws) - m + 2, 1))) AS u(i) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m >= 2 AND f >= 100),
+cut AS (SELECT c.lang, c.m, c.phrase, c.a, k, l.f AS l, r.f AS r, n.n, (1000 * c.a * n.n) // (l.f * r.f) AS score
+        FROM cand c JOIN n USING (lang), unnest(range(1, m)) AS t(k)
+        JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[:k], ' ')
+        JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[k + 1:], ' ')),
+low AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS rn FROM cut) WHERE rn = 1),
+inside AS (SELECT DISTINCT lang, array_to_string(ws[i:i + q - 1], ' ') AS phrase, max(a) AS longer
+           FROM cand, unnest(range(2, m)) AS t(q), unnest(range(1, m - q + 2)) AS u(i) GROUP BY lang, array_to_string(ws[i:i + q - 1], ' ')),
+kept AS (SELECT low.* FROM low LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000
+"""
+
 ORACLE_SQL = {
     "op2_substring_dedup": OP2,
     "op4_url_filter": OP4,
     "op5_mix_sources": OP5,
     "op7_exact_dedup": OP7,
     "op10_decontaminate": OP10,
+    "op12_centroids": OP12,
 }

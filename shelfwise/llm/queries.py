@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import license_scan, quality, toxicity
+from shelfwise.llm.centroids import cluster
 from shelfwise.llm.decontam import decontaminate
 from shelfwise.llm.exact_dedup import exact_dedup
 from shelfwise.llm.language_id import identify, learn
@@ -145,6 +146,13 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of every 64-component embedding: 16 centroids, 3 rounds."""
+    return cluster(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2(F.concat_ws(",", F.col("centroid").cast("array<string>")), 256).alias("centroid_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_substring_dedup, op3_simhash, op4_url_filter, op5_mix_sources, op6_language_id,
-    op7_exact_dedup, op8_toxicity, op9_quality, op10_decontaminate, op11_token_files)}
+    op7_exact_dedup, op8_toxicity, op9_quality, op10_decontaminate, op11_token_files, op12_centroids)}

@@ -1,0 +1,113 @@
+"""Centroid clustering: against plain integer k-means, the bounds on their
+own, and awkward vectors."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from shelfwise.llm.centroids import Simplex, cluster, nearest, possible
+
+SCHEMA = "vec_id long, embedding array<float>, cluster string, v string, apex string, id string, distance string"
+
+
+def plain(rows, dims=64, k=16, rounds=3, scale=64, seed=1):
+    """(vec_id, cluster, distance, centroid) by plain loops."""
+    kept = []
+    for key, v in rows:
+        if v is None or len(v) != dims or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        kept.append((key, [math.floor(scale * float(np.float32(x))) for x in v]))
+    kept.sort(key=lambda r: (hashlib.sha256(f"{seed}:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    centroids = [v for _, v in kept[:k]]
+
+    def assign():
+        out = []
+        for key, v in kept:
+            d = [sum((a - b) ** 2 for a, b in zip(v, c)) for c in centroids]
+            out.append((key, d.index(min(d)), min(d), v))
+        return out
+    for _ in range(rounds):
+        members = {}
+        for _, c, _, v in assign():
+            members.setdefault(c, []).append(v)
+        for c, vs in members.items():
+            centroids[c] = [sum(x) // len(vs) for x in zip(*vs)]
+    return [(key, c, d, centroids[c]) for key, c, d, _ in assign()]
+
+
+def vectors(n, dims, rng):
+    middles = [[rng.gauss(0, 1) for _ in range(dims)] for _ in range(5)]
+    rows = [(i, [m + rng.gauss(0, 0.3) for m in rng.choice(middles)]) for i in range(n)]
+    rows += [(1000 + i, rows[3][1]) for i in range(n // 3)]  # a third are one vector
+    rows += [(7, [0.5] * dims), (7, [-0.5] * dims), (None, [0.25] * dims), (None, None), (2000, None), (2001, [1.0] * (dims - 1)),
+             (2002, [1.0] * (dims - 1) + [None]), (2003, [float("nan")] * dims), (2004, [float("inf")] + [0.0] * (dims - 1)),
+             (2005, [])]
+    return rows
+
+
+def run(spark, rows, **kw):
+    df = spark.createDataFrame([(k, v, "c", "v", "a", "i", "d") for k, v in rows], SCHEMA)
+    return df, cluster(df, **kw)
+
+
+@pytest.mark.parametrize("dims,k,pivots", [(64, 16, 7), (4, 6, 3), (3, 16, 1)])
+def test_equals_plain_loops(spark, dims, k, pivots):
+    rows = vectors(150, dims, random.Random(dims))
+    _, got = run(spark, rows, dims=dims, k=k, pivots=pivots)
+    assert got.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid"]
+    got = got.collect()
+    want = plain(rows, dims, k)
+    order = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    assert sorted([(r["vec_id"], r["cluster"], r["distance"], r["centroid"]) for r in got], key=order) == sorted(want, key=order)
+    inertia = {}
+    for _, c, d, _ in want:
+        inertia[c] = inertia.get(c, 0) + d
+    assert all(r["cluster_inertia"] == inertia[r["cluster"]] and r["inertia"] == sum(inertia.values()) for r in got)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])]])
+def test_few_vectors(spark, rows):
+    got = run(spark, rows, dims=2)[1].collect()
+    assert sorted((r["vec_id"], r["cluster"], r["distance"]) for r in got) == [
+        (k, 0, 0) for k, v in rows if v is not None]
+
+
+def test_too_large_vectors_are_left_out(spark):
+    got = run(spark, [(1, [1e30, 0.0]), (2, [1.0, 0.0])], dims=2)[1].collect()
+    assert [r["vec_id"] for r in got] == [2]
+
+
+def test_bounds_hold_and_rule_out_centroids():
+    rng = np.random.default_rng(3)
+    middles = rng.normal(0, 60, (16, 64))
+    v = np.floor(middles[rng.integers(0, 16, 3000)] + rng.normal(0, 8, (3000, 64))).astype(np.int64)
+    v[:50] = v[0]
+    c = v[50:66].copy()
+    c[1], c[2] = c[0], c[0] + 1
+    simplex = Simplex(c, 7)
+    assert len(simplex.pivots) == 7
+    a, ca = simplex.apex(v), simplex.apex(c)
+    true = ((v[:, None, :] - c[None]) ** 2).sum(2)
+    lower = ((a[:, None] - ca[None]) ** 2).sum(2)
+    flipped = ca * np.append(np.ones(ca.shape[1] - 1), -1)
+    upper = ((a[:, None] - flipped[None]) ** 2).sum(2)
+    assert (lower <= true * (1 + 1e-9) + 1e-3).all() and (upper >= true * (1 - 1e-9) - 1e-3).all()
+    left = possible(a, ca)
+    assert left[np.arange(len(v)), true.argmin(1)].all() and left.mean() < 0.5
+    which, d = nearest(v, a, c, ca)
+    assert (which == true.argmin(1)).all() and (d == true.min(1)).all()
+
+
+def test_flat_bases():
+    """Equal points, points on a line, and more pivots than dimensions."""
+    for points in ([[5, 5]] * 4, [[0, 0], [1, 1], [2, 2], [9, 9]], [[0, 0], [3, 1], [1, 7], [4, 4]]):
+        p = np.array(points)
+        simplex = Simplex(p, 7)
+        assert len(simplex.pivots) <= 3
+        v = np.array([[i, j] for i in range(-3, 12) for j in range(-3, 12)])
+        which, d = nearest(v, simplex.apex(v), p, simplex.apex(p))
+        true = ((v[:, None] - p[None]) ** 2).sum(2)
+        assert (which == true.argmin(1)).all() and (d == true.min(1)).all()
