@@ -28,6 +28,9 @@ _MAGIC = b"REPAIR01"
 
 #: Words whose ids a worker keeps between batches.
 _KEPT_WORDS = 2_000_000
+_ENCODED_AT_ONCE = 4096
+#: Stands between words that are encoded as one text.
+_MARK = "\x01"
 
 
 # --------------------------------------------------------------------------
@@ -93,16 +96,29 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
+        self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self._forget()
 
     def _forget(self):
         self.hashes, self.begins = np.zeros(0, dtype=np.uint64), np.zeros(1, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint32)
 
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words in one run, and how many each has. The words
+        are encoded as one text with a mark between them, which the ids show
+        as one id; if a word holds the mark they are encoded one by one."""
+        if len(self.mark) == 1:
+            ids = np.array(self.tokenizer.encode(f" {_MARK} ".join(words), add_special_tokens=False).ids, dtype=np.uint32)
+            marks = np.flatnonzero(ids == self.mark[0])
+            if len(marks) == len(words) - 1 and not any(_MARK in w for w in words):
+                return np.delete(ids, marks), np.diff(marks, prepend=-1, append=len(ids)) - 1
+        found = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+        return np.array([i for f in found for i in f], dtype=np.uint32), np.array([len(f) for f in found], dtype=np.int64)
+
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter((i for e in found for i in e), dtype=np.uint32, count=int(sizes.sum()))
+        found = [self._encode(words[i:i + _ENCODED_AT_ONCE]) for i in range(0, len(words), _ENCODED_AT_ONCE)]
+        flat = np.concatenate([f for f, _ in found])
+        sizes = np.concatenate([n for _, n in found])
         hashes = np.concatenate((self.hashes, hashes))
         sizes = np.concatenate((np.diff(self.begins), sizes))
         begins = np.cumsum(sizes) - sizes

@@ -53,7 +53,7 @@ def test_word_encoder_equals_whole_texts(monkeypatch):
     plain = Tokenizer.from_file(PATH)
     texts = [r[1] or "" for r in awkward()] + [
         "It's  we'll DON'T x́ é ́a", "a<|endoftext|>b <|startoftext|> <|end oftext|>",
-        "ΣΑΣ ας\x1c\x85y\x0b\x0cz", "½ ² 12345 ...!!!\n\n---", "﻿​ zero‍width", "Ǆ İstanbul ﬁ"]
+        "ΣΑΣ ας\x1c\x85y\x0b\x0cz", "½ ² 12345 ...!!!\n\n---", "a\x01 \x01 \x01b c\x01d \x02 e", "﻿​ zero‍width", "Ǆ İstanbul ﬁ"]
     for limit in (2_000_000, 50):
         monkeypatch.setattr("shelfwise.llm.token_files._KEPT_WORDS", limit)
         encoder = WordEncoder(PATH)
