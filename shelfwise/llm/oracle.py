@@ -185,4 +185,5 @@ ORACLE_SQL = {
     "op7_exact_dedup": OP7,
     "op10_decontaminate": OP10,
     "op12_centroids": OP12,
+    "op13_collocations": OP13,
 }

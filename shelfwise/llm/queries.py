@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import license_scan, quality, toxicity
 from shelfwise.llm.centroids import cluster
+from shelfwise.llm.collocations import collocations
 from shelfwise.llm.decontam import decontaminate
 from shelfwise.llm.exact_dedup import exact_dedup
 from shelfwise.llm.language_id import identify, learn
@@ -153,6 +154,12 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.col("centroid").cast("array<string>")), 256).alias("centroid_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of every language."""
+    return collocations(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_substring_dedup, op3_simhash, op4_url_filter, op5_mix_sources, op6_language_id,
-    op7_exact_dedup, op8_toxicity, op9_quality, op10_decontaminate, op11_token_files, op12_centroids)}
+    op7_exact_dedup, op8_toxicity, op9_quality, op10_decontaminate, op11_token_files, op12_centroids,
+    op13_collocations)}
