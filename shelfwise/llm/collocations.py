@@ -46,7 +46,7 @@ def _cut_words(texts: pa.Array):
     if not n:
         return data, starts, ends, row, np.zeros(0, dtype=np.int64)
     # A piece ends at a break between two words, and with its text.
-    breaks = np.concatenate(([0], np.cumsum(_BREAKS[data], dtype=np.int64)))
+    breaks = np.concatenate(([0], np.cumsum(_BREAKS[data], dtype=np.int32)))  # a batch is under 2 GB
     last = np.ones(n, dtype=bool)
     last[:-1] = (breaks[starts[1:]] != breaks[ends[:-1]]) | (row[1:] != row[:-1])
     end = np.flatnonzero(last)
@@ -201,7 +201,7 @@ def _frequent(least: int):
 
 
 def phrase_counts(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", longest: int = 5,
-                  least: int = 100, range_bytes: int = 16 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
+                  least: int = 100, range_bytes: int = 8 << 20, shard_bytes: int = 6 << 20) -> DataFrame:
     """(lang, m, phrase, f): every sequence of up to ``longest`` words within
     a piece that occurs ``least`` times or more in its language, with its
     exact count; rows with m = 0 have the language's number of words (to be
