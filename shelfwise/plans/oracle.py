@@ -288,6 +288,10 @@ SELECT strftime(l_shipdate, {ISO}) || (CASE WHEN l_linenumber % 6 = 0 THEN '+02:
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey,
      unnest(CASE WHEN (l_orderkey + l_linenumber) % 60 < 5 THEN [-1, (l_orderkey + l_linenumber) % 60] ELSE [-1] END)
        AS u(v)""")
+# The same quotes at minutes of January 2024.
+cte("recent_keyed", [], CTES["quotes_keyed"][1].replace(
+    "strftime(l_shipdate, ", "strftime(make_timestamp((1704067200 + ((l_orderkey * 7 + l_linenumber * 1009) % 43200) * 60)"
+    " * 1000000), "))
 cte("quotes", ["quotes_keyed"], "SELECT * EXCLUDE (_key) FROM quotes_keyed")
 
 # Parsed JSON lines: beside the rows of slots 1, 2 and 3 of 40 stands a line
@@ -304,6 +308,8 @@ cte("clicks_parsed", ["clicks_keyed"], _parsed("clicks_keyed", [
     "event_time", "session_id", "user_id", "product_id", "product_description", "event_type", "device", "country"]))
 cte("quotes_parsed", ["quotes_keyed"], _parsed("quotes_keyed", [
     "event_time", "product_id", "product_description", "competitor", "competitor_price", "availability"]))
+cte("recent_parsed", ["recent_keyed"], _parsed("recent_keyed", [
+    "event_time", "product_id", "product_description", "competitor", "competitor_price", "availability"]))
 
 EVENT_TS = """CASE WHEN ends_with(event_time, '+02:00')
             THEN TRY_CAST(left(event_time, length(event_time) - 6) AS TIMESTAMP) - INTERVAL 2 HOUR
@@ -626,6 +632,23 @@ SELECT cg.product_id, demand_score, competitor, competitor_price, availability,
        click_events * quote_events AS pair_count
 FROM cg JOIN qg ON cg.product_id = qg.product_id""",
                                       "clicks_parsed", "quotes_parsed")
+    # Every near pair, listed and then counted by the window of its later event.
+    q["realtime_pricing_near"] = with_ctes(f"""
+, c AS (
+  SELECT product_id, {weight_sql('event_type')} AS demand_score, {EVENT_TS} AS clicked
+  FROM clicks_parsed WHERE product_id IS NOT NULL
+), o AS (
+  SELECT product_id, competitor, competitor_price, availability, {EVENT_TS} AS quoted
+  FROM recent_parsed WHERE product_id IS NOT NULL
+)
+SELECT time_bucket(INTERVAL 6 HOURS, greatest(clicked, quoted), TIMESTAMP '2000-01-01') AS window_start,
+       c.product_id, demand_score, competitor, competitor_price, availability,
+       CASE WHEN demand_score >= 5 AND competitor_price > 0 THEN 'INCREASE_PRICE'
+            WHEN demand_score <= 0 AND competitor_price > 0 THEN 'DECREASE_PRICE'
+            ELSE 'MAINTAIN_PRICE' END AS pricing_action,
+       COUNT(*) AS pair_count
+FROM c JOIN o ON c.product_id = o.product_id AND clicked BETWEEN quoted - INTERVAL 6 HOURS AND quoted + INTERVAL 6 HOURS
+GROUP BY ALL""", "clicks_parsed", "recent_parsed")
     return q
 
 

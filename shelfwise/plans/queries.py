@@ -57,6 +57,7 @@ from shelfwise.streaming import events as ev
 SCALED_HIGH = 0.30
 SCALED_MEDIUM = 0.20
 PRUNE_YEAR = 1997
+NEAR_GAP = "6 hours"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -329,6 +330,13 @@ def q_realtime_pricing(spark, d):
     return ev.realtime_pricing(_parsed_clicks(spark, d), _parsed_quotes(spark, d))
 
 
+def q_realtime_pricing_near(spark, d):
+    """Pairs of a click and a quote at most NEAR_GAP apart, over quotes of
+    the clicks' month."""
+    return ev.realtime_pricing(_parsed_clicks(spark, d), ev.parse_quotes(tv.quote_json(spark, d, recent=True)),
+                               max_gap=NEAR_GAP)
+
+
 def q_events_to_json(spark, d):
     return ev.encode_events(tv.clicks(spark, d))
 

@@ -204,10 +204,11 @@ def clicks(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFram
 QUOTE_FAULTS, QUOTE_FAULT_EVERY = 5, 60
 
 
-def competitor_quotes(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
+def competitor_quotes(spark: SparkSession, sf_dir: str, with_key: bool = False, recent: bool = False) -> DataFrame:
     """A competitor quote per invoice line; parts divisible by 5 under an id
     the ledger lacks, every sixth time with a UTC offset, and beside lines of
-    the slots 0 to 4 a second quote with an odd price."""
+    the slots 0 to 4 a second quote with an odd price. Quotes are of the
+    shipping date or, ``recent``, of a minute of the month of the clicks."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate")
@@ -221,8 +222,10 @@ def competitor_quotes(spark: SparkSession, sf_dir: str, with_key: bool = False)
     price = (F.when(v == 0, F.lit(float("nan"))).when(v == 1, F.lit(1e40)).when(v == 2, F.lit(1e-7))
              .when(v == 3, F.lit(None).cast("double")).when(v == 4, F.lit(float("inf")))
              .otherwise(_unit_price(F.col("l_extendedprice"), F.col("l_quantity")) * factor))
+    minute = (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 1009) % (30 * 24 * 60)
+    at = F.timestamp_seconds(F.lit(1704067200) + minute * 60) if recent else F.col("l_shipdate")
     cols = [
-        F.concat(F.date_format("l_shipdate", ISO_FORMAT),
+        F.concat(F.date_format(at, ISO_FORMAT),
                  F.when(F.col("l_linenumber") % 6 == 0, "+02:00").otherwise("")).alias("event_time"),
         pid.alias("product_id"),
         F.concat(F.lit("item "), pid).alias("product_description"),
@@ -260,5 +263,5 @@ def click_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_lines(clicks(spark, sf_dir, with_key=True)).select(F.col("value").cast("binary").alias("value"))
 
 
-def quote_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return json_lines(competitor_quotes(spark, sf_dir, with_key=True))
+def quote_json(spark: SparkSession, sf_dir: str, recent: bool = False) -> DataFrame:
+    return json_lines(competitor_quotes(spark, sf_dir, with_key=True, recent=recent))

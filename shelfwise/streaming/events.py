@@ -7,7 +7,7 @@ frame (landing jobs).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,70 +105,118 @@ def _grouped(df: DataFrame, keys: list[str], count: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
 
 
-def _near_pairs(clicks: DataFrame, quotes: DataFrame, max_gap: str) -> DataFrame:
-    """Pairs no more than ``max_gap`` apart, counted by the window of that
-    length that holds the later event.
+#: Every weight an event can have.
+SCORES = sorted({0, *rules.EVENT_WEIGHTS.values()})
+ENTRY_KEYS = ["product_id", "at", "demand_score", "competitor", "competitor_price", "availability"]
 
-    An event enters two windows of twice the length, each of which names its
-    second half: the earlier event of a pair lies in that half or in the
-    first one, wherever the clock cuts. Pairs with both in the first half
-    belong to the window before. The window is the watermark's column on both
-    sides of the join, so its state goes when the watermark passes its end,
-    which is when the later half ends.
+
+def gap_micros(spark: SparkSession, max_gap: str) -> int:
+    gap = spark.range(1).select(F.expr(f"unix_micros(timestamp_seconds(0) + interval '{max_gap}')")).first()[0]
+    if gap <= 0:
+        raise ValueError(f"max_gap must be positive, not {max_gap!r}")
+    return gap
+
+
+def timed_events(clicks: DataFrame, quotes: DataFrame) -> DataFrame:
+    """Clicks and quotes under one another: ENTRY_KEYS and event_timestamp.
+    Quotes have no ``demand_score``; events without a time are left out."""
+    at = F.unix_micros("event_timestamp").alias("at")
+    none = F.lit(None)
+    left = clicks.select("event_timestamp", "product_id", at, "demand_score", none.cast("string").alias("competitor"),
+                         none.cast("double").alias("competitor_price"), none.cast("boolean").alias("availability"))
+    right = quotes.select("event_timestamp", "product_id", at, none.cast("int").alias("demand_score"), "competitor",
+                          "competitor_price", "availability")
+    return left.union(right).where(F.col("event_timestamp").isNotNull())
+
+
+def near_pairs(entries: DataFrame, gap: int) -> DataFrame:
+    """Pairs of a click and a quote of one product at most ``gap``
+    microseconds apart, counted by running totals.
+
+    ``entries``: ENTRY_KEYS, ``n`` (events the row stands for) and ``later``,
+    the start of a window of length ``gap``. Each event is entered under its
+    own window and under the next; a pair is counted in the window of its
+    later event. In there a quote of the window meets every click from ``at -
+    gap`` on, and a quote of the window before every click of the window up to
+    ``at + gap``: differences of running totals over the clicks in time order,
+    one per weight. Rows and work grow with the events, never with the pairs.
+    A product is one group per window, sorted with spill.
     """
-    gap = clicks.sparkSession.range(1).select(
-        F.expr(f"unix_micros(timestamp_seconds(0) + interval '{max_gap}')")).first()[0]
-    window = F.window("event_timestamp", f"{2 * gap} microseconds", f"{gap} microseconds")
-    at = F.unix_micros("event_timestamp")
-    clicks = clicks.select(window.alias("window"), *CLICK_KEYS, at.alias("clicked"))
-    quotes = quotes.select(window.alias("window"), *QUOTE_KEYS, at.alias("quoted"))
-    later = F.unix_micros("window.end") - gap
-    near = (F.abs(F.col("clicked") - F.col("quoted")) <= gap) & (F.greatest("clicked", "quoted") >= later)
-    return (clicks.join(quotes, ["window", "product_id"]).where(near)
-            .groupBy("window", *CLICK_KEYS, *QUOTE_KEYS[1:]).agg(F.count(F.lit(1)).alias("pair_count"))
-            .withColumn("window_start", F.timestamp_micros(later)))
-
-
-def realtime_pricing(parsed_clicks: DataFrame, parsed_quotes: DataFrame, max_gap: str | None = None,
-                     lateness: str | None = None) -> DataFrame:
-    """Every click x quote pair of a product with its pricing action.
+    at, later, click = F.col("at"), F.col("later"), F.col("demand_score").isNotNull()
+    own = at >= later
+    # In time order; at one time look-backs come before clicks, look-aheads after.
+    rows = entries.select("*", own.alias("own"), F.when(click, at).when(own, at - gap).otherwise(at + gap).alias("x"),
+                          F.when(click, 1).when(own, 0).otherwise(2).alias("turn"))
+    group = Window.partitionBy("later", "product_id")
+    so_far = group.orderBy("x", "turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    clicks = {s: F.when(F.col("demand_score") == s, F.col("n")) for s in SCORES}
+    zero = F.lit(0).cast("long")
+    rows = rows.select(
+        "later", *QUOTE_KEYS, "own", "n", click.alias("click"),
+        *[F.coalesce(F.sum(clicks[s]).over(so_far), zero).alias(f"before{i}") for i, s in enumerate(SCORES)],
+        *[F.coalesce(F.sum(F.when(F.col("own") == (half == "own"), clicks[s])).over(group), zero).alias(f"{half}{i}")
+          for i, s in enumerate(SCORES) for half in ("own", "old")]).where(~F.col("click"))
+    met = [F.when(F.col("own"), F.col(f"own{i}") + F.col(f"old{i}") - F.col(f"before{i}"))
+           .otherwise(F.col(f"before{i}") - F.col(f"old{i}")) for i in range(len(SCORES))]
+    totals = rows.groupBy("later", *QUOTE_KEYS).agg(
+        *[F.sum(F.col("n") * m).alias(f"pairs{i}") for i, m in enumerate(met)])
+    by_score = F.inline(F.array(*[F.struct(F.lit(s).alias("demand_score"), F.col(f"pairs{i}").alias("pair_count"))
+                                  for i, s in enumerate(SCORES)]))
+    return (totals.select(F.timestamp_micros("later").alias("window_start"), *QUOTE_KEYS, by_score)
+            .where("pair_count > 0"))
+
+
+def priced(pairs: DataFrame) -> DataFrame:
+    """R17 on counted pairs."""
+    return pairs.select(
+        *[c for c in ("window_start",) if c in pairs.columns], "product_id", "demand_score", *QUOTE_KEYS[1:],
+        rules.realtime_action("demand_score", "competitor_price").alias("pricing_action"), "pair_count")
+
+
+def realtime_pricing(parsed_clicks: DataFrame, parsed_quotes: DataFrame, max_gap: str | None = None) -> DataFrame:
+    """Every click x quote pair of a product with its pricing action (batch
+    frames; for streams see ``jobs.land_realtime_pricing``).
 
     The source job emits one row per pair (a product with c clicks and q
     quotes gives c*q rows, quadratic in a hot product). The action only
-    depends on (score, price), so both sides are first reduced to groups
-    (clicks to at most five rows per product, quotes to the distinct ones)
-    and each output row carries ``pair_count``, the number of pairs it
-    stands for: the multiset of pairs is kept whole while the output grows
-    with the number of distinct quotes (times at most five scores).
+    depends on (score, price), so each output row stands for ``pair_count``
+    pairs of a product, score and quote: the multiset of pairs is kept whole
+    while the output grows with the number of distinct quotes (times at most
+    as many scores as there are).
 
     Without ``max_gap`` a quote meets every earlier and later click, as in
-    the source job, which on streams would need state without end. With it,
-    pairs are those whose event times are at most that far apart, on either
-    side of any clock time: the frame gains ``window_start``, the start of the
-    window of that length with the pair's later event, ``pair_count`` is per
-    window, and events without a time (null) pair with none. On streaming
-    frames ``max_gap`` and ``lateness`` are needed: a windowed join under
-    watermarks and an aggregate of its pairs, both in Spark's state store; a
-    window leaves the state once the watermark has passed it.
+    the source job. With it, pairs are those whose event times are at most
+    that far apart, on either side of any clock time: the frame gains
+    ``window_start``, the start of the window of that length with the pair's
+    later event, ``pair_count`` is per window, and events without a time
+    (null) pair with none. Pairs are counted, never listed: see
+    :func:`near_pairs`.
     """
-    if max_gap:
-        parsed_clicks, parsed_quotes = with_event_timestamp(parsed_clicks), with_event_timestamp(parsed_quotes)
-    clicks, quotes = realtime_clicks(parsed_clicks), realtime_quotes(parsed_quotes)
-    if clicks.isStreaming or quotes.isStreaming:
-        if not (max_gap and lateness):
-            raise ValueError("a stream join without max_gap and lateness would keep its state for ever")
-        clicks = clicks.withWatermark("event_timestamp", lateness)
-        quotes = quotes.withWatermark("event_timestamp", lateness)
-    if max_gap:
-        pairs, count = _near_pairs(clicks, quotes, max_gap), F.col("pair_count")
-    else:
-        pairs = _grouped(clicks, CLICK_KEYS, "click_events").join(
-            _grouped(quotes, QUOTE_KEYS, "quote_events"), ["product_id"])
-        count = (F.col("click_events") * F.col("quote_events")).alias("pair_count")
-    return pairs.select(
-        *(["window_start"] if max_gap else []),
-        *QUOTE_KEYS[:1], "demand_score", *QUOTE_KEYS[1:],
-        rules.realtime_action("demand_score", "competitor_price").alias("pricing_action"), count)
+    if parsed_clicks.isStreaming or parsed_quotes.isStreaming:
+        raise ValueError("streams are paired by land_realtime_pricing, which bounds its state by max_gap and lateness")
+    if not max_gap:
+        pairs = _grouped(realtime_clicks(parsed_clicks), CLICK_KEYS, "click_events").join(
+            _grouped(realtime_quotes(parsed_quotes), QUOTE_KEYS, "quote_events"), ["product_id"])
+        return priced(pairs.withColumn("pair_count", F.col("click_events") * F.col("quote_events")))
+    gap = gap_micros(parsed_clicks.sparkSession, max_gap)
+    events = timed_events(realtime_clicks(with_event_timestamp(parsed_clicks)),
+                          realtime_quotes(with_event_timestamp(parsed_quotes)))
+    own = F.col("at") - F.pmod(F.col("at"), F.lit(gap))
+    entries = events.select(*ENTRY_KEYS, F.lit(1).cast("long").alias("n"), F.explode(F.array(own, own + gap)).alias("later"))
+    return priced(near_pairs(entries, gap))
+
+
+def near_entries(raw_clicks: DataFrame, raw_quotes: DataFrame, gap: int, lateness: str) -> DataFrame:
+    """Streaming side of the pairing: parsed clicks and quotes as counted
+    entries (see :func:`near_pairs`), of which a window's come out together
+    once the watermark (the smaller of the two sources') has passed its end.
+    The state store holds one row per distinct event and window."""
+    clicks = realtime_clicks(with_event_timestamp(raw_clicks)).withWatermark("event_timestamp", lateness)
+    quotes = realtime_quotes(with_event_timestamp(raw_quotes)).withWatermark("event_timestamp", lateness)
+    # Windows of twice the length name their second half; each event is in two.
+    window = F.window("event_timestamp", f"{2 * gap} microseconds", f"{gap} microseconds").alias("window")
+    return (timed_events(clicks, quotes).groupBy(window, *ENTRY_KEYS).agg(F.count(F.lit(1)).alias("n"))
+            .select(*ENTRY_KEYS, "n", (F.unix_micros("window.end") - gap).alias("later")))
 
 
 def parse_clicks(df: DataFrame, value: str = "value") -> DataFrame:

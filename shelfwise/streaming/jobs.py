@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise import schemas
+from shelfwise.sources.files import read_optional
 from shelfwise.streaming import events as ev
 
 DEFAULT_TRIGGER = "10 seconds"
@@ -98,14 +99,42 @@ STATE_CONF = {
 }
 
 
+REALTIME_SCHEMA = ("window_start timestamp, product_id string, demand_score int, competitor string, "
+                   "competitor_price double, availability boolean, pricing_action string, pair_count long, "
+                   "processed_at timestamp")
+
+
 def land_realtime_pricing(raw_clicks: DataFrame, raw_quotes: DataFrame, path: str,
                           checkpoint: str | None = None, max_gap: str = "1 hour",
-                          lateness: str = "10 minutes", **kw) -> StreamingQuery:
-    """M9: both raw streams -> pairs at most ``max_gap`` apart, joined and
-    counted in the state store -> Parquet, append only. A window's pairs (those
-    whose later event it holds) are written once the watermark (latest event
-    time less ``lateness``) has passed its end."""
-    pairs = ev.realtime_pricing(ev.parse_events(raw_clicks, schemas.CLICK_EVENT),
-                                ev.parse_events(raw_quotes, schemas.COMPETITOR_EVENT),
-                                max_gap=max_gap, lateness=lateness)
-    return write_stream(ev.with_processed_at(pairs), path, _checkpoint(path, checkpoint), **kw)
+                          lateness: str = "10 minutes", trigger: str = DEFAULT_TRIGGER,
+                          available_now: bool = False, query_name: str | None = None) -> StreamingQuery:
+    """M9: both raw streams -> counted pairs at most ``max_gap`` apart ->
+    Parquet, append only.
+
+    Spark's state store keeps the events of open windows, two rows each. When
+    the watermark (the smaller of the two sources' latest event times less
+    ``lateness``) passes a window's end, its events leave the state and its
+    pairs (those whose later event it holds) are counted by running totals.
+    After a restart the watermark is taken up from the checkpoint, and a
+    window whose end it had not passed waits for the next events of *both*
+    sources: it comes out with them, whole.
+
+    A micro-batch writes the folder ``batch_id=N`` and, when it is repeated
+    after a failure, writes the same rows over it.
+    """
+    spark = raw_clicks.sparkSession
+    if read_optional(spark, path) is None:  # readers find a table before the first window closes
+        spark.createDataFrame([], REALTIME_SCHEMA).write.mode("append").parquet(f"{path.rstrip('/')}/batch_id=-1")
+    gap = ev.gap_micros(spark, max_gap)
+    entries = ev.near_entries(ev.parse_clicks(raw_clicks), ev.parse_quotes(raw_quotes), gap, lateness)
+
+    def land(closed: DataFrame, batch_id: int) -> None:
+        rows = ev.with_processed_at(ev.priced(ev.near_pairs(closed, gap)))
+        (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+    w = entries.writeStream.outputMode("append").foreachBatch(land).option(
+        "checkpointLocation", _checkpoint(path, checkpoint))
+    if query_name:
+        w = w.queryName(query_name)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)).start()

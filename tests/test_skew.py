@@ -59,6 +59,28 @@ def test_realtime_pairs_with_hot_product(spark):
     assert out.count() <= 5 * q.distinct().count() < brute
 
 
+def test_near_pairs_of_a_hot_product_are_counted_not_listed(spark):
+    """8,000 clicks and 8,000 quotes of one product within minutes: 64
+    million pairs, from rows that grow with the events."""
+    import datetime as dt
+    import io
+    from contextlib import redirect_stdout
+    start = dt.datetime(2024, 1, 1)
+    n = 8000
+    at = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 1200), "yyyy-MM-dd'T'HH:mm:ss")
+    c = spark.range(n).select(at.alias("event_time"), F.lit("HOT").alias("product_id"),
+                              F.when(F.col("id") % 2 == 0, "purchase").otherwise("view").alias("event_type"))
+    q = spark.range(n).select(at.alias("event_time"), F.lit("HOT").alias("product_id"), F.lit("S").alias("competitor"),
+                              F.lit(2.0).alias("competitor_price"), F.lit(True).alias("availability"))
+    out = realtime_pricing(c, q, max_gap="30 minutes")
+    rows = out.collect()
+    assert len(rows) == 2 and sum(r["pair_count"] for r in rows) == n * n
+    assert {r["window_start"] for r in rows} == {start}
+    with redirect_stdout(io.StringIO()) as text:
+        out.explain("formatted")
+    assert "Join" not in text.getvalue()
+
+
 def test_hot_product_join_is_split_by_aqe(spark):
     """Without broadcasts, the sales join must let AQE split the hot
     product's partition (thresholds scaled down to the test size)."""

@@ -68,24 +68,29 @@ KEYS = ["window_start", "product_id", "demand_score", "competitor", "competitor_
         "pricing_action", "pair_count"]
 
 
-def _events(folder, name, rows):
+def _events(folder, name, rows, order=None):
+    """One file; ``order`` pins its time, by which the stream takes files."""
     import json
     import os
     os.makedirs(folder, exist_ok=True)
-    with open(f"{folder}/{name}.json", "w") as fh:
+    path = f"{folder}/{name}.json"
+    with open(path, "w") as fh:
         fh.write("\n".join(json.dumps(r) for r in rows) + "\n")
+    if order is not None:
+        os.utime(path, (1.7e9 + order, 1.7e9 + order))
 
 
-def _feed(tmp_dir, batch, hours):
-    """Clicks and quotes of some hours, in event-time order over the batches."""
+def _feed(tmp_dir, batch, hours, quotes_at=None):
+    """Clicks and quotes of some hours, in event-time order over the batches;
+    the quotes may stand at another place in their source's order."""
     types = ["view", "purchase", "remove_from_cart", None]
     _events(f"{tmp_dir}/c", f"b{batch}", [
         {"event_time": f"2024-01-01T{h:02d}:{m:02d}:00", "product_id": f"P{m % 3}", "event_type": types[(h + m) % 4]}
-        for h in hours for m in range(0, 60, 7)])
+        for h in hours for m in range(0, 60, 7)], batch)
     _events(f"{tmp_dir}/q", f"b{batch}", [
         {"event_time": f"2024-01-01T{h:02d}:{m:02d}:30", "product_id": f"P{m % 4}", "competitor": f"S{m % 2}",
          "competitor_price": None if m % 5 == 0 else 1.5 * m, "availability": m % 2 == 0}
-        for h in hours for m in range(0, 60, 9)])
+        for h in hours for m in range(0, 60, 9)], batch if quotes_at is None else quotes_at)
 
 
 def _run(spark, tmp_dir, fail=False):
@@ -127,6 +132,55 @@ def test_realtime_stream_equals_batch_and_restarts(spark, tmp_dir):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_sources_out_of_step_across_a_restart(spark, tmp_dir):
+    """The quotes of the third and fourth batch change places, and the run
+    dies in its last batch: the watermark stays behind, nothing is dropped,
+    and the windows come out whole with the next events."""
+    import pytest
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for b, q in enumerate([0, 1, 3, 2]):
+            _feed(tmp_dir, b, [2 * b, 2 * b + 1], quotes_at=q)
+        with pytest.raises(Exception, match="lost task"):
+            _run(spark, tmp_dir, fail=True)
+        _run(spark, tmp_dir)
+        landed = _sorted(spark.read.parquet(f"{tmp_dir}/rt"), KEYS)
+        first = set(_closed(spark, tmp_dir, 8))
+        # Whole windows only, from the first on; the last ones may still wait.
+        windows = spark.read.parquet(f"{tmp_dir}/rt").select("window_start").distinct().count()
+        assert landed and set(landed) <= first
+        assert landed == _closed(spark, tmp_dir, windows)
+        for b in (4, 5):
+            _feed(tmp_dir, b, [2 * b, 2 * b + 1])
+        query = _run(spark, tmp_dir)
+        assert _sorted(spark.read.parquet(f"{tmp_dir}/rt"), KEYS) == _closed(spark, tmp_dir, 11)
+        assert sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]) == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_repeated_batch_writes_the_same_rows(spark, tmp_dir):
+    """A micro-batch that is repeated after a failure replaces its folder."""
+    import shutil
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for b in range(3):
+            _feed(tmp_dir, b, [2 * b, 2 * b + 1])
+        _run(spark, tmp_dir)
+        want = _sorted(spark.read.parquet(f"{tmp_dir}/rt"), KEYS)
+        commits = f"{tmp_dir}/rt.checkpoint/commits"
+        import os
+        last = max(int(f) for f in os.listdir(commits) if f.isdigit())
+        os.replace(f"{commits}/{last}", f"{tmp_dir}/commit-{last}")  # as if the driver died before the commit
+        crc = f"{commits}/.{last}.crc"
+        if os.path.exists(crc):
+            os.replace(crc, f"{tmp_dir}/crc-{last}")
+        _run(spark, tmp_dir)
+        assert _sorted(spark.read.parquet(f"{tmp_dir}/rt"), KEYS) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_realtime_state_stays_small(spark, tmp_dir):
     spark.conf.set("spark.sql.shuffle.partitions", "2")
     try:
