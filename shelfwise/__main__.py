@@ -53,7 +53,9 @@ def main(argv=None) -> None:
     b.add_argument("--by-file", action="store_true", help="bind every CSV file to its own header")
     b.add_argument("--csv", action="store_true", help="also write the prepared tables as CSV folders")
     b.add_argument("--unique-products", action="store_true", help="fail if a product has several demand rows")
-    b.add_argument("--dedupe-partitions", type=int, help="width of the ledger de-duplication shuffle")
+    b.add_argument("--dedupe-partitions", type=int,
+                   help="de-duplicate by one shuffle of whole rows of this width, instead of by row hashes")
+    b.add_argument("--sort", action="store_true", help="write the transactions in order of time over all files")
     b.add_argument("--start-at", default="prepare")
     b.add_argument("--high", type=float, default=10.0)
     b.add_argument("--medium", type=float, default=3.0)
@@ -108,7 +110,7 @@ def main(argv=None) -> None:
                       start_at=a.start_at,
                       options=RunOptions(high=a.high, medium=a.medium, labels=a.labels, csv=a.csv,
                                          unique_products=a.unique_products,
-                                         dedupe_partitions=a.dedupe_partitions,
+                                         dedupe_partitions=a.dedupe_partitions, sort=a.sort,
                                          database=a.database or None))
         print({k: v for k, v in opt.metrics.items()})
         return

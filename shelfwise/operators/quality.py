@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.copies import copied_rows
+
 
 def missing_keys(left: DataFrame, right: DataFrame, key: str = "product_id") -> DataFrame:
     """Distinct keys of ``left`` absent from ``right``.
@@ -139,14 +141,15 @@ def profile_columns(df: DataFrame) -> DataFrame:
 
 def profile_table(df: DataFrame, product: str = "product_id",
                   customer: str | None = "customer_id", country: str = "country",
-                  date: str = "invoice_date") -> DataFrame:
+                  date: str = "invoice_date", duplicates: str = "hashes") -> DataFrame:
     """One row with row/column counts, duplicated rows,
     distinct products/customers/countries and the date range (unparsable
     dates ignored).
 
-    Duplicates need a full-row grouping (one shuffle of the table); the
-    other figures come from one global aggregate over it, so the source
-    is scanned once.
+    ``duplicates`` "hashes" counts row hashes first (while the frame is
+    built) and compares only rows that may have a copy, so no whole table is
+    shuffled; "rows" groups all whole rows and reads the source once. Either
+    way the other figures come from the same global aggregate.
     """
     cols = df.columns
     dt = dict(df.dtypes).get(date)
@@ -155,13 +158,18 @@ def profile_table(df: DataFrame, product: str = "product_id",
         when = parse_date(F.col(date))
     else:
         when = F.col(date)
-    grouped = df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(
-        F.count(F.lit(1)).alias("_n"))
-    # Distinct counts over a row-grouped table equal those over the table.
-    out = grouped.agg(
-        F.sum("_n").alias("row_count"),
+    marked = copied_rows(df) if duplicates == "hashes" else None
+    if marked is not None:
+        rows = marked
+        count, copies = F.count(F.lit(1)), F.count("_copy") - F.count_distinct("_copy")
+    else:
+        rows = df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
+        # Distinct counts over a row-grouped table equal those over the table.
+        count, copies = F.sum("_n"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))
+    out = rows.agg(
+        count.alias("row_count"),
         F.lit(len(cols)).alias("column_count"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"),
+        copies.cast("bigint").alias("duplicate_rows"),
         F.count_distinct(F.col(product)).alias("unique_products"),
         (F.count_distinct(F.col(customer)) if customer and customer in cols
          else F.lit(None).cast("bigint")).alias("unique_customers"),

@@ -19,7 +19,6 @@ from shelfwise.operators import (
     click_counts,
     competitor_average,
     demand_analytics,
-    dropped_rows,
     dynamic_pricing,
     generate_inventory,
     inventory_analytics,
@@ -30,10 +29,10 @@ from shelfwise.operators import (
     standardize_catalog,
     validation_report,
 )
-from shelfwise.operators.prepare import catalog_and_history
+from shelfwise.operators.prepare import catalog_and_history, coerced_ledger, observed_faults
 from shelfwise.operators.sales import build_master_sales, observe_rows
 from shelfwise.plans.tables import register_tables
-from shelfwise.session import run_folder
+from shelfwise.session import materialize, run_folder
 from shelfwise.sources.files import (
     read_optional,
     read_table,
@@ -91,6 +90,7 @@ class RunOptions:
     csv: bool = False  # M1 also as CSV folders beside the Parquet tables
     unique_products: bool = False  # fail if a product has several demand rows (J3 multiplies them)
     dedupe_partitions: int | None = None
+    sort: bool = False  # transactions in order of time over all files (O3)
     metrics: dict = field(default_factory=dict)
 
 
@@ -121,10 +121,15 @@ def _run(spark, root, ledger, inventory, catalog, clicks, quotes, opt, begin, tr
         if transactions is not None:
             write_table(transactions, lay.transactions)
         else:
-            # The raw row count rides on the write (no second pass over the ledger).
-            observed, raw_rows = observe_rows(ledger, "ledger_rows")
-            write_table(prepare_transactions(observed, dedupe_partitions=opt.dedupe_partitions), lay.transactions)
-            opt.metrics["ledger_rows"] = raw_rows.get["rows"]
+            # The ledger itself is read once: its parsed rows are written
+            # together with the counts of rows and faults, and the
+            # de-duplication reads those columnar files.
+            coerced, seen = coerced_ledger(ledger)
+            coerced = materialize(coerced, "ledger")
+            counts = seen.get
+            write_table(prepare_transactions(coerced, sort=opt.sort, dedupe_partitions=opt.dedupe_partitions,
+                                             dedupe_method="hashes"), lay.transactions)
+            opt.metrics["ledger_rows"] = counts["ledger_rows"]
         tx = read_table(spark, lay.transactions)
         if catalog is None or inventory is None:
             built_catalog, history = catalog_and_history(tx)  # one pass for both
@@ -133,7 +138,7 @@ def _run(spark, root, ledger, inventory, catalog, clicks, quotes, opt, begin, tr
                     lay.inventory)
         if ledger is not None and transactions is None:
             write_table(quality_report(ledger, tx, initial_rows=opt.metrics["ledger_rows"]), lay.quality)
-            write_table(dropped_rows(ledger), lay.dropped)
+            write_table(observed_faults(spark, counts), lay.dropped)
         write_table(validation_report(tx, read_table(spark, lay.catalog), read_table(spark, lay.inventory)),
                     lay.validation)
         verdict = read_table(spark, lay.validation).where("metric = 'validation'").first()
