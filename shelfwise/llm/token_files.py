@@ -10,9 +10,12 @@ length of every rule, so any document decodes without the rest of the shard.
 from __future__ import annotations
 
 import math
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -97,13 +100,48 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self.pieces = _pieces_of(self.tokenizer)
+        self.piece_ids: dict[str, list[int]] = {}
         self._forget()
 
     def _forget(self):
         self.hashes, self.begins = np.zeros(0, dtype=np.uint64), np.zeros(1, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint32)
 
+    def _piece(self, piece: str) -> list[int]:
+        ids = self.piece_ids.get(piece)
+        if ids is None:
+            if len(self.piece_ids) > _KEPT_WORDS:
+                self.piece_ids.clear()
+            mapped = "".join(map(_byte_text, piece))
+            ids = self.piece_ids[piece] = [t.id for t in self.tokenizer.model.tokenize(mapped)]
+        return ids
+
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words in one run, and how many each has. Words of
+        common letters and signs are cut into pieces by the tokenizer's own
+        pattern, and its model encodes each distinct piece once; the others
+        go through the whole tokenizer."""
+        if self.pieces is None:
+            return self._encode_whole(words)
+        plain = [i for i, w in enumerate(words) if _PLAIN(w)]
+        found: list = [None] * len(words)
+        for i in plain:
+            out: list[int] = []
+            for piece in self.pieces(words[i].lower()):
+                out += self._piece(piece)
+            found[i] = out
+        rest = [i for i, f in enumerate(found) if f is None]
+        if rest:
+            ids, sizes = self._encode_whole([words[i] for i in rest])
+            ids, at = ids.tolist(), 0
+            for i, n in zip(rest, sizes.tolist()):
+                found[i] = ids[at:at + n]
+                at += n
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum())), sizes
+
+    def _encode_whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words in one run, and how many each has. The words
         are encoded as one text with a mark between them, which the ids show
         as one id; if a word holds the mark they are encoded one by one."""
@@ -151,6 +189,36 @@ class WordEncoder:
         return np.insert(ids, total, np.uint32(end)), np.diff(total, prepend=0) + 1
 
 
+#: Words of characters whose classes and lower case are the same in every
+#: version of Unicode, composed already, and without a special token's mark.
+_PLAIN = re.compile(r"(?!.*<\|)[\x21-\x7E\xA1-\xAC\xAE-\u024F]+").fullmatch
+
+
+def _pieces_of(tokenizer):
+    """The function that cuts a lower-cased plain word into the pieces which
+    the tokenizer's model sees, if the tokenizer normalises and cuts in the
+    one way known here, else None."""
+    import json
+    parts = json.loads(tokenizer.to_str())
+    steps = [(n.get("type"), n.get("pattern"), n.get("content")) for n in (parts["normalizer"] or {}).get("normalizers", [])]
+    cuts = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if steps != [("NFC", None, None), ("Replace", {"Regex": "\\s+"}, " "), ("Lowercase", None, None)] or len(cuts) != 2:
+        return None
+    split, level = cuts
+    if (split.get("type"), split.get("behavior"), split.get("invert")) != ("Split", "Removed", True) or \
+            (level.get("type"), level.get("add_prefix_space"), level.get("use_regex")) != ("ByteLevel", False, False):
+        return None
+    import regex
+    return regex.compile(split["pattern"]["Regex"]).findall
+
+
+@lru_cache(maxsize=1024)
+def _byte_text(char: str) -> str:
+    """A character as the byte-level step of the library writes it."""
+    from tokenizers.pre_tokenizers import ByteLevel
+    return ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(char)[0][0]
+
+
 def _gather(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The slices [begin, begin + size) of ``flat``, one after the other."""
     ends = np.cumsum(sizes)

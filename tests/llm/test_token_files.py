@@ -64,6 +64,16 @@ def test_word_encoder_equals_whole_texts(monkeypatch):
             assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_every_plain_character_encodes_as_in_the_whole_tokenizer():
+    plain, encoder = Tokenizer.from_file(PATH), WordEncoder(PATH)
+    assert encoder.pieces is not None
+    chars = [chr(c) for c in range(0x21, 0x250) if c not in (0x7F, *range(0x80, 0xA1), 0xAD)]
+    words = chars + [f"a{c}b" for c in chars] + [f"{c}'{c}1{c}" for c in chars] + ["<|endoftext|>", "x<|endoftext|>'s", "<|a"]
+    ids, sizes = encoder._encode(words)
+    want = [plain.encode(w, add_special_tokens=False).ids for w in words]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_files_round_trip(spark, tmp_dir):
     rows = awkward()
     write_token_files(spark.createDataFrame(rows, SCHEMA).repartition(5), f"{tmp_dir}/t", PATH, part_bytes=20_000,
