@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.tables import carried, written
 
+#: Blocks that the smallest target is made of, where it has so many words.
+BLOCKS_PER_SOURCE = 16
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -137,10 +139,15 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     takes of the row, repeats counted, at most ``max_repeats`` times its
     size), and with ``carry`` the named input columns in a struct ``carried``.
 
-    A source's taken words differ from its target by less than
-    ``block_words``, and by at most a block per shard more where the
-    target is the whole repeated source. Reruns give the same result: order
-    and shards depend on the seed and the id alone.
+    A block has ``block_words`` words, or fewer where the smallest target
+    above zero does not hold BLOCKS_PER_SOURCE of that size (one word at
+    least): with a long tail of small sources no source misses the mix, and
+    none gains what their rounding leaves. As apportionment rounds every
+    target by the same divisor, a source's taken words differ from its target
+    by a block or by a sixteenth of the target, whichever is more, and by at
+    most a block per shard more where the target is the whole repeated source
+    (a target under half a word can round to nothing). Reruns give the same
+    result: order and shards depend on the seed and the id alone.
 
     Defined cases: a null text has size 0 and nothing is taken; rows with a
     null source form one source, the last; rows repeated with the same id
@@ -158,11 +165,15 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     sizes = written(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sizes")
     # Blocks per source. The block total is that of the whole mix.
     by_source = source_targets(sizes, weights=weights, share=share, max_repeats=max_repeats)
-    blocks = F.round(F.sum("target").over(W.partitionBy()) / block_words).cast("long")
-    by_source = (by_source.withColumn("_one", F.lit(1)).withColumn("_seats", blocks))
+    every = W.partitionBy()
+    least = F.min(F.when(F.col("target") > 0, F.col("target"))).over(every)
+    fine = F.floor(least / BLOCKS_PER_SOURCE)
+    by_source = (by_source.withColumn("_one", F.lit(1))
+                 .withColumn("_block", F.greatest(F.lit(1), F.least(F.lit(block_words), F.coalesce(fine, F.lit(1)))).cast("long"))
+                 .withColumn("_seats", F.round(F.sum("target").over(every) / F.col("_block")).cast("long")))
     by_source = sainte_lague(by_source, group=["_one"], key=["source"], votes="target", seats="_seats")
     by_source = written(by_source.select(
-        "source", "source_size", "target", F.col("quota").alias("_blocks"),
+        "source", "source_size", "target", "_block", F.col("quota").alias("_blocks"),
         F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long").alias("_shards")),
         "mix-sources")
 
@@ -188,7 +199,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     upto = F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, W.currentRow))
     placed = (place(wide) if carry else placed).withColumn("_end", upto)
     out = placed.join(shards, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_shard") == F.col("_s")))
-    words = F.col("quota") * block_words
+    words = F.col("quota") * F.col("_block")
     begin = F.col("_end") - F.col("size")
     taken = F.lit(0)
     for r in range(max_repeats):

@@ -78,7 +78,8 @@ levels AS (SELECT a.source, a.cap / a.wt AS ratio,
            FROM w a),
 chosen AS (SELECT level FROM levels WHERE ratio >= level ORDER BY ratio LIMIT 1),
 t AS (SELECT source, source_size, least(cap, (SELECT level FROM chosen) * wt)::DOUBLE AS target FROM w),
-blocks AS (SELECT round(sum(target) / 64)::BIGINT AS n FROM t),
+size AS (SELECT greatest(1, least(64, floor(coalesce(min(target) FILTER (target > 0), 16) / 16)))::BIGINT AS b FROM t),
+blocks AS (SELECT round(sum(target) / (SELECT b FROM size))::BIGINT AS n FROM t),
 q AS (SELECT source, target / (2 * k + 1) AS quotient FROM t, unnest(range(0, (SELECT n FROM blocks))) AS u(k)
       WHERE target > 0),
 won AS (SELECT source, count(*)::BIGINT AS quota FROM
@@ -95,7 +96,7 @@ sq AS (SELECT source, shard, quota, shard_size::DOUBLE / (2 * k + 1) AS quotient
 sw AS (SELECT source, shard, count(*)::BIGINT AS blocks FROM
        (SELECT *, row_number() OVER (PARTITION BY source ORDER BY quotient DESC, shard) AS r FROM sq)
        WHERE r <= quota GROUP BY source, shard),
-run AS (SELECT a.doc_id, a.size, a.source_size, a.target, ss.shard_size, coalesce(sw.blocks, 0) * 64 AS words,
+run AS (SELECT a.doc_id, a.size, a.source_size, a.target, ss.shard_size, coalesce(sw.blocks, 0) * (SELECT b FROM size) AS words,
                sum(a.size) OVER (PARTITION BY a.source, a.shard ORDER BY a.ord, a.doc_id, a.size
                                  ROWS UNBOUNDED PRECEDING) - a.size AS beg
         FROM sharded a JOIN ss ON a.source IS NOT DISTINCT FROM ss.source AND a.shard = ss.shard

@@ -120,6 +120,7 @@ def mix(docs, block=64, shard_words=200_000, seed=7):
     for d, n in zip(docs, size):
         sizes[d["source"]] = sizes.get(d["source"], 0) + n
     t = targets(sizes) if sizes else {}
+    block = max(1, min(block, math.floor(min((x for x in t.values() if x > 0), default=16) / 16)))
     blocks = math.floor(sum(t.values()) / block + 0.5)
     quota = sainte_lague({(s is None, s or ""): v for s, v in t.items()}, blocks)
     taken = [0] * len(docs)

@@ -50,3 +50,22 @@ def test_no_words(spark):
     assert sorted((r["doc_id"], r["size"], r["target"], r["taken"]) for r in mix_sources(docs).collect()) == [
         (1, 0, 0.0, 0), (2, 0, 0.0, 0)]
     assert mix_sources(docs.limit(0)).count() == 0
+
+
+def test_tail_of_small_sources(spark):
+    """One source of 20,000 words and 300 of 5 to 12: every source is near
+    its target, the big one too, by the plain list of quotients as well."""
+    rng = random.Random(8)
+    rows = [(i, "w " * 100, "big") for i in range(200)]
+    rows += [(1000 + i, "w " * rng.randint(5, 12), f"host{i:03d}") for i in range(300)]
+    rows += [(2000, None, "none"), (2001, "one", "single")]
+    docs = [dict(zip(("doc_id", "text", "source"), r)) for r in rows]
+    size, sizes, target, taken = plain.mix(docs)
+    got = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r["doc_id"]: r["taken"] for r in got} == dict(zip((d["doc_id"] for d in docs), taken))
+    per = Counter()
+    for d, n in zip(docs, taken):
+        per[d["source"]] += n
+    for s, t in target.items():
+        assert abs(per[s] - t) <= max(1, t / 16), (s, t, per[s])
+    assert sum(abs(per[s] - t) for s, t in target.items()) < 0.02 * sum(target.values())
