@@ -75,15 +75,13 @@ def test_equals_plain_counting(spark, least, share, top, longest, counting):
 
 def test_counts_of_every_prefix(spark):
     rows = corpus(4, 60)
-    got = phrase_counts(frame(spark, rows), least=2, range_bytes=300, shard_bytes=500).collect()
     want = plain_counts(rows)
-    assert {(r["lang"], r["phrase"]): r["f"] for r in got if r["m"]} == {
-        (lang, " ".join(p)): c for lang, f in want.items() for p, c in f.items() if c >= 2}
-    words = Counter()
-    for r in got:
-        if not r["m"]:
-            words[r["lang"]] += r["f"]
-    assert words == {lang: n for lang, f in want.items() if (n := sum(c for p, c in f.items() if len(p) == 1))}
+    for least in (1, 2, 9):
+        got, totals = phrase_counts(frame(spark, rows), least=least, range_bytes=300, shard_bytes=500)
+        assert {(r["lang"], r["phrase"]): r["f"] for r in got.collect()} == {
+            (lang, " ".join(p)): c for lang, f in want.items() for p, c in f.items() if c >= least}
+    assert {r["lang"]: r["n"] for r in totals.collect()} == {
+        lang: sum(c for p, c in f.items() if len(p) == 1) for lang, f in want.items()}
 
 
 def test_awkward_rows(spark):
@@ -98,8 +96,10 @@ def test_products_beyond_64_bits(spark, monkeypatch):
     """Scores stay exact where a * n * 1000 and l * r pass 64 bits."""
     import shelfwise.llm.collocations as c
     big = 3_000_000_007
-    rows = [("en", 0, "", 40 * big), ("en", 1, "u", 9 * big), ("en", 1, "v", 7 * big), ("en", 2, "u v", 5 * big + 1)]
-    monkeypatch.setattr(c, "phrase_counts", lambda *a, **k: spark.createDataFrame(rows, "lang string, m int, phrase string, f long"))
+    rows = [("en", 1, "u", 9 * big), ("en", 1, "v", 7 * big), ("en", 2, "u v", 5 * big + 1)]
+    monkeypatch.setattr(c, "phrase_counts", lambda *a, **k: (
+        spark.createDataFrame(rows, "lang string, m int, phrase string, f long"),
+        spark.createDataFrame([("en", 40 * big)], "lang string, n long")))
     got = c.collocations(None).first()
     assert got["score"] == 1000 * (5 * big + 1) * (40 * big) // (9 * big * 7 * big)
 
@@ -145,7 +145,16 @@ def test_transducers():
 
 def test_frequent_pair_spreads_over_ranges():
     """Sequences after one frequent word pair go to many ranges."""
+    from shelfwise.llm import collocations as c
     text = " ".join(f"hot pair w{i % 97}" for i in range(6000))
-    parts = list(shard_parts(pa.array(["en"]), pa.array([text]), 5, 50))
-    sizes = [len(c.labels[-1]) for _, _, found in parts for p, c in found if p == 3]
-    assert len(sizes) > 40 and max(sizes) < sum(sizes) / 5
+    class Context:
+        partitionId = staticmethod(lambda: 3)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("pyspark.TaskContext.get", lambda: Context)
+        batch = pa.RecordBatch.from_pydict({"lang": ["en"], "text": [text]})
+        row = next(c._encode(5, 1 << 20)(iter([batch]))).to_pylist()[0]
+    shard = c._Shard(row)
+    everything = np.unique(np.concatenate([c._keys(h, 9) for h in shard.hashes(2)]))
+    parts = list(shard_parts(shard, everything, 5, 9, 50))
+    sizes = [len(t.labels[-1]) for _, _, found in parts for p, t in found if p == 3]
+    assert row["shard"] == 3 << 32 and len(sizes) > 40 and max(sizes) < sum(sizes) / 5
