@@ -5,10 +5,11 @@ code point ranges, narrows the candidate languages; its score for each
 candidate is the log-likelihood of its letter trigrams. Viterbi over the
 words, with a penalty for each switch of language, labels spans.
 
-The trigram counts cover every labelled document: tasks sum them into
-hashed tables, Spark adds the tables up, and the model that comes to the
-driver has at most ``2**_BITS`` counts a language, however large the
-corpus is.
+The trigram counts cover every labelled document: tasks and then Spark add
+them up by the exact trigram, and the table of the model has at least twice
+as many buckets as there are distinct trigrams. Its size follows the learned
+alphabets (tens of thousands of trigrams for Latin script, the observed ones
+for large alphabets), not the number of documents.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from pyspark.sql import types as T
 from shelfwise.llm import tokens as tk
 from shelfwise.llm.tables import carried
 
-_BITS = 16
 _BLOCK = 1 << 18
 _BATCH_BYTES = 2 << 20
 UNKNOWN = "und"
@@ -104,20 +104,45 @@ class _Text:
             i = j
 
     def _features(self, lo: int, hi: int) -> np.ndarray:
-        """Bucket of the trigram that ends at each position; letters of
-        another word count as the boundary 0."""
+        """The trigram that ends at each position, as 3 x 21 bits; letters
+        of another word count as the boundary 0."""
         c = np.where(self._inside[lo:hi], self._code[lo:hi], 0).astype(np.uint64)
         one = np.zeros_like(c)
         one[1:] = c[:-1]
         two = np.zeros_like(c)
         two[2:] = np.where(one[2:] > 0, c[:-2], 0)
-        return (tk.mix64((two << tk.U64(42)) ^ (one << tk.U64(21)) ^ c) >> tk.U64(64 - _BITS)).astype(np.int64)
+        return (two << tk.U64(42)) ^ (one << tk.U64(21)) ^ c
+
+
+def buckets(trigrams: np.ndarray, bits: int) -> np.ndarray:
+    return (tk.mix64(trigrams) >> tk.U64(64 - bits)).astype(np.int64)
+
+
+class _Sums:
+    """Counts by key, merged whenever many have come together."""
+
+    def __init__(self):
+        self.keys, self.counts, self.held = [], [], 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.counts.append(counts)
+        self.held += len(keys)
+        if self.held > 1 << 20 and len(self.keys) > 1:
+            self.merged()
+            self.held = min(self.held, len(self.keys[0]) // 2)  # a large sum waits for as much again
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, place = np.unique(np.concatenate(self.keys), return_inverse=True)
+        counts = np.bincount(place, np.concatenate(self.counts), len(keys)).astype(np.int64)
+        self.keys, self.counts = [keys], [counts]
+        return keys, counts
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial sums of one task: (lang, kind, at, n) with kind 0 for
-    trigram buckets and 1 for words by script."""
-    grams: dict[str, np.ndarray] = {}
+    trigrams and 1 for words by script."""
+    grams: dict[str, _Sums] = {}
     scripts: dict[str, np.ndarray] = {}
     for batch in batches:
         _, offsets = tk.text_bytes(batch.column("text"))
@@ -126,28 +151,29 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             langs = part.column("lang").to_pylist()
             for lang in set(langs):
                 text = _Text([t for t, k in zip(part.column("text").to_pylist(), langs) if k == lang])
-                g = grams.setdefault(lang, np.zeros(1 << _BITS, dtype=np.int64))
+                g = grams.setdefault(lang, _Sums())
                 s = scripts.setdefault(lang, np.zeros(len(SCRIPTS), dtype=np.int64))
                 s += np.bincount(text.script, minlength=len(SCRIPTS))
                 for i, j, f, base in text.blocks():
                     used = np.zeros(len(f) + 1, dtype=np.int64)
                     used[text.starts[i:j] - base] += 1
                     used[text.ends[i:j] - base + 1] -= 1
-                    g += np.bincount(f[np.cumsum(used[:-1]) > 0], minlength=1 << _BITS)
-    for kind, tables in ((0, grams), (1, scripts)):
-        for lang, t in tables.items():
-            at = np.flatnonzero(t)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at), pa.string()), pa.array(np.full(len(at), kind), pa.int32()),
-                 pa.array(at, pa.int32()), pa.array(t[at], pa.int64())], ["lang", "kind", "at", "n"])
+                    g.add(*np.unique(f[np.cumsum(used[:-1]) > 0], return_counts=True))
+    sums = [(0, lang, *g.merged()) for lang, g in grams.items() if g.keys]
+    sums += [(1, lang, np.flatnonzero(t), t[np.flatnonzero(t)]) for lang, t in scripts.items()]
+    for kind, lang, at, n in sums:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(at), pa.string()), pa.array(np.full(len(at), kind), pa.int32()),
+             pa.array(at.astype(np.int64), pa.int64()), pa.array(n, pa.int64())], ["lang", "kind", "at", "n"])
 
 
 class LanguageModel:
-    """langs; log-probabilities [trigram bucket, language]; which languages
-    use a script [script, language]; log-priors."""
+    """langs; log-probabilities [trigram bucket, language], a power of two of
+    buckets; which languages use a script [script, language]; log-priors."""
 
     def __init__(self, langs: list[str], logp: np.ndarray, allowed: np.ndarray, prior: np.ndarray, switch: float):
         self.langs, self.logp, self.allowed, self.prior, self.switch = langs, logp, allowed, prior, switch
+        self.bits = len(logp).bit_length() - 1
 
 
 def learn(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", smoothing: float = 0.5,
@@ -157,15 +183,17 @@ def learn(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
     ``script_share`` of their words in it."""
     rows = (labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
             .where("lang is not null and text is not null"))
-    sums = (rows.mapInArrow(_counts, "lang string, kind int, at int, n long")
+    sums = (rows.mapInArrow(_counts, "lang string, kind int, at long, n long")
             .groupBy("lang", "kind", "at").agg(F.sum("n").alias("n"))).toArrow().to_pandas()
     langs = sorted(sums["lang"].unique())
     index = {k: i for i, k in enumerate(langs)}
-    counts = np.zeros((1 << _BITS, len(langs)))
+    grams, words = sums[sums["kind"] == 0], sums[sums["kind"] == 1]
+    bits = max(10, (2 * grams["at"].nunique() - 1).bit_length())
+    counts = np.zeros((1 << bits, len(langs)))
     scripts = np.zeros((len(SCRIPTS), len(langs)))
-    for t, kind in ((counts, 0), (scripts, 1)):
-        part = sums[sums["kind"] == kind]
-        t[part["at"].to_numpy(), part["lang"].map(index).to_numpy(dtype=np.int64)] = part["n"].to_numpy()
+    for t, part, at in ((counts, grams, buckets(grams["at"].to_numpy().astype(tk.U64), bits)),
+                        (scripts, words, words["at"].to_numpy())):
+        np.add.at(t, (at, part["lang"].map(index).to_numpy(dtype=np.int64)), part["n"].to_numpy())
     used = max(1, int((counts.sum(axis=1) > 0).sum()))
     logp = np.log(counts + smoothing) - np.log(counts.sum(axis=0) + smoothing * used)
     total = scripts.sum(axis=0)
@@ -181,7 +209,7 @@ def word_scores(text: _Text, model: LanguageModel) -> np.ndarray:
     out = np.zeros((len(text.starts), len(model.langs)), dtype=np.float32)
     for i, j, f, base in text.blocks():
         edges = np.stack([text.starts[i:j], text.ends[i:j] + 1], axis=1).ravel() - base
-        g = np.concatenate([model.logp[f], np.zeros((1, len(model.langs)), dtype=np.float32)])
+        g = np.concatenate([model.logp[buckets(f, model.bits)], np.zeros((1, len(model.langs)), dtype=np.float32)])
         out[i:j] = np.add.reduceat(g, edges, axis=0)[::2]
     ok = model.allowed[text.script]
     known = ok.any(axis=1)

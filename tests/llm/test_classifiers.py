@@ -75,6 +75,42 @@ def test_language_spans_and_scripts(spark):
     assert {r["lang_pred"] for r in language_id.identify(test, empty).collect()} == {"und"}
 
 
+def test_language_counts_every_trigram_of_a_large_alphabet(spark):
+    """The table grows with the distinct trigrams; the counts are exact."""
+    import unicodedata
+    from collections import Counter
+    rng = np.random.default_rng(5)
+    rows = [(i, "".join(chr(0x4E00 + c) for c in rng.integers(0, 3000, 4000)), "zh") for i in range(20)]
+    rows += [(100, "the other thé theñ", "en"), (101, None, "en"), (102, "", "fr")]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(train.repartition(4))
+    want = {}
+    for _, text, lang in rows:  # a letter with the two before it, and the word's end
+        f = want.setdefault(lang, Counter())
+        word = ""
+        for ch in (text or "").lower() + " ":
+            if unicodedata.category(ch)[0] in "LM":
+                word += ch
+                continue
+            padded = "\0\0" + word + "\0"
+            f.update(padded[j:j + 3] for j in range(len(word) + 1) if word)
+            word = ""
+    distinct = set().union(*want.values())
+    assert len(distinct) > 70_000 and len(model.logp) >= 2 * len(distinct)
+    sums = language_id._Sums()
+    text = language_id._Text([r[1] for r in rows if r[2] == "zh"])
+    got = train.where("text is not null").select("lang", "text").mapInArrow(
+        language_id._counts, "lang string, kind int, at long, n long").where("kind = 0").groupBy("lang").sum("n").collect()
+    assert {r["lang"]: r["sum(n)"] for r in got} == {k: sum(f.values()) for k, f in want.items() if f}
+    seen = {r["lang"]: r["d"] for r in train.where("text is not null").select("lang", "text").mapInArrow(
+        language_id._counts, "lang string, kind int, at long, n long").where("kind = 0").selectExpr("lang", "at").distinct()
+        .groupBy("lang").count().withColumnRenamed("count", "d").collect()}
+    assert seen == {k: len(f) for k, f in want.items() if f}
+    for i in range(400):  # merging keeps sums
+        sums.add(np.arange(i % 7, dtype=np.uint64), np.ones(i % 7, dtype=np.int64))
+    assert sums.merged()[1].sum() == sum(i % 7 for i in range(400)) and text.letters.sum() == 80_000
+
+
 def test_language_of_awkward_rows(docs):
     model = language_id.learn(docs.where("doc_id % 2 = 0"))
     got = language_id.identify(docs, model, carry=docs.columns)
