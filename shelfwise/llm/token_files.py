@@ -30,7 +30,8 @@ _HEAD = struct.Struct("<8sIIQQQ")  # magic, base, bytes a symbol, documents, rul
 _MAGIC = b"REPAIR01"
 
 #: Words whose ids a worker keeps between batches.
-_KEPT_WORDS = 2_000_000
+_KEPT_WORDS = 1_500_000
+_KEPT_PIECES = 100_000  # in a dict, some 300 bytes each
 _ENCODED_AT_ONCE = 4096
 #: Stands between words that are encoded as one text.
 _MARK = "\x01"
@@ -111,7 +112,7 @@ class WordEncoder:
     def _piece(self, piece: str) -> list[int]:
         ids = self.piece_ids.get(piece)
         if ids is None:
-            if len(self.piece_ids) > _KEPT_WORDS:
+            if len(self.piece_ids) > _KEPT_PIECES:
                 self.piece_ids.clear()
             mapped = "".join(map(_byte_text, piece))
             ids = self.piece_ids[piece] = [t.id for t in self.tokenizer.model.tokenize(mapped)]
@@ -269,7 +270,7 @@ def _pack(path: str, end: int, shard_bytes: int):
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, end: int = 1, id_col: str = "doc_id",
-                      text_col: str = "text", part_bytes: int = 64 << 20, shard_bytes: int = 8 << 20) -> None:
+                      text_col: str = "text", part_bytes: int = 32 << 20, shard_bytes: int = 6 << 20) -> None:
     """Write the token ids of every whole text, ``end`` after each, as shards
     in ascending id order to a Parquet table of FILE_SCHEMA at ``path``.
 
