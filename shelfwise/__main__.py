@@ -47,6 +47,8 @@ def main(argv=None) -> None:
     b.add_argument("--root", required=True, help="output root (raw/, processed/, analytics/)")
     b.add_argument("--ledger", help="raw ledger (CSV with header, or Parquet with --ledger-format)")
     b.add_argument("--ledger-format", default="csv")
+    b.add_argument("--single-line", action="store_true",
+                   help="no quoted line breaks in the ledger: large CSV files are split over tasks")
     b.add_argument("--inventory", help="optional stock feed (CSV) replacing the generated one")
     b.add_argument("--transactions", help="prepared transactions (CSV), instead of a ledger")
     b.add_argument("--catalog", help="optional product catalog (CSV) replacing the built one")
@@ -100,9 +102,15 @@ def main(argv=None) -> None:
             read_inventory,
             read_ledger,
             read_transactions,
+            split_rejected,
+            write_table,
         )
         spark = _session("shelfwise-batch")
-        ledger = read_ledger(spark, a.ledger, a.ledger_format) if a.ledger else None
+        ledger = None
+        if a.ledger:  # records that do not fit are kept apart, not dropped unseen
+            ledger, rejected = split_rejected(read_ledger(spark, a.ledger, a.ledger_format, checked=True,
+                                                          multi_line=not a.single_line))
+            write_table(rejected, f"{a.root.rstrip('/')}/raw/rejected_records")
         tx = read_transactions(spark, a.transactions, a.by_file) if a.transactions else None
         cat = read_catalog(spark, a.catalog, a.by_file) if a.catalog else None
         inv = read_inventory(spark, a.inventory, a.by_file) if a.inventory else None

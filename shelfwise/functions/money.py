@@ -49,3 +49,24 @@ def count_mean(col) -> Column:
     c = _col(col)
     n = F.count(c)
     return F.when(n > 0, F.sum(c).cast("double") / n)
+
+
+def money_parts(col) -> list[Column]:
+    """The sums behind :func:`money_sum` and :func:`money_mean` as aggregate
+    columns that can be added up again (:func:`money_total`): ``exact`` (null
+    if it does not fit), ``plain``, ``usual`` (amounts in them), ``outer``
+    and ``n``."""
+    c = amount(col)
+    usual = (c == 0) | F.abs(c).between(SMALLEST, LARGEST)
+    inner = F.when(usual, c)
+    return [F.try_sum(inner.try_cast(MONEY_DECIMAL)).alias("exact"), F.sum(inner).alias("plain"),
+            F.count(inner).alias("usual"), F.sum(F.when(~usual, c)).alias("outer"), F.count(c).alias("n")]
+
+
+def money_total() -> tuple[Column, Column]:
+    """Sum of the amounts and their number, over rows of money_parts."""
+    lost = F.count_if((F.col("usual") > 0) & F.col("exact").isNull())
+    inner = F.when(lost == 0, F.try_sum("exact").cast("double"))
+    inner = F.coalesce(inner, F.sum("plain"))
+    outer = F.sum("outer")
+    return F.when(inner.isNull(), outer).otherwise(inner + F.coalesce(outer, F.lit(0.0))), F.sum("n")

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwise.operators import (
     assert_unique_key,
@@ -32,14 +33,16 @@ from shelfwise.operators import (
 from shelfwise.operators.prepare import catalog_and_history, coerced_ledger, observed_faults
 from shelfwise.operators.sales import build_master_sales, observe_rows
 from shelfwise.plans.tables import register_tables
-from shelfwise.session import materialize, run_folder
+from shelfwise.session import delete_folder, materialize, run_folder
 from shelfwise.sources.files import (
     read_optional,
     read_table,
+    restate_partitions,
     write_csv,
     write_partitioned,
     write_table,
 )
+from shelfwise.streaming.maintained import refresh
 
 STAGES = ["prepare", "sales", "demand", "inventory", "decisions", "register"]
 
@@ -112,6 +115,11 @@ def run_all(spark: SparkSession, root: str, ledger: DataFrame | None = None,
                     STAGES.index(start_at), transactions)
 
 
+def _landed(spark, path, *columns) -> bool:
+    found = read_optional(spark, path)
+    return found is not None and set(columns) <= set(found.columns)
+
+
 def _run(spark, root, ledger, inventory, catalog, clicks, quotes, opt, begin, transactions) -> RunOptions:
     lay = Layout(root)
 
@@ -169,14 +177,16 @@ def _run(spark, root, ledger, inventory, catalog, clicks, quotes, opt, begin, tr
         opt.metrics.setdefault("input_rows", {})["inventory"] = stock_rows.get["rows"]
 
     if begin <= 4:
-        clicks = clicks if clicks is not None else read_optional(spark, lay.clickstream)
-        quotes = quotes if quotes is not None else read_optional(spark, lay.competitor_prices)
-        counts = None
+        # Landed events are summed once: later runs read only new files.
+        counts = averages = None
+        if clicks is None and _landed(spark, lay.clickstream, "product_id"):
+            counts = refresh(spark, lay.clickstream, lay.path("processed", "click_totals"), "clicks")
+        if quotes is None and _landed(spark, lay.competitor_prices, "product_id", "competitor_price"):
+            averages = refresh(spark, lay.competitor_prices, lay.path("processed", "quote_totals"), "quotes")
         if clicks is not None and "product_id" in clicks.columns:
             counts_path = lay.path("processed", "click_counts")
             write_table(click_counts(clicks), counts_path)
             counts = read_table(spark, counts_path)
-        averages = None
         if quotes is not None and {"product_id", "competitor_price"} <= set(quotes.columns):
             averages = competitor_average(quotes)
         demand = read_table(spark, lay.demand)
@@ -194,3 +204,27 @@ def _run(spark, root, ledger, inventory, catalog, clicks, quotes, opt, begin, tr
     if begin <= 5 and opt.database:
         opt.metrics["tables"] = register_tables(spark, root, opt.database)
     return opt
+
+
+def restate_months(spark: SparkSession, root: str, months: list[tuple[int, int]]) -> dict[str, int]:
+    """Rebuild the sales fact for some (year, month) from the transactions
+    and catalog under ``root``; files of other months are not touched, and
+    none is until all rows of the new ones are written. A month without rows
+    left loses its folder. Returns the rows written by month."""
+    lay = Layout(root)
+    begin = [(F.make_timestamp(F.lit(y), F.lit(m), F.lit(1), F.lit(0), F.lit(0), F.lit(0)), y, m) for y, m in months]
+    wanted = F.lit(False)
+    for start, _, _ in begin:  # ranges of the date itself, so that they reach the scan
+        wanted = wanted | ((F.col("invoice_date") >= start) & (F.col("invoice_date") < F.add_months(start, 1).cast("timestamp")))
+    tx = read_table(spark, lay.transactions).where(wanted)
+    sales = build_master_sales(clean_transactions(tx), standardize_catalog(read_table(spark, lay.catalog)))
+    name = lambda y, m: f"{y}-{m:02d}"
+    seen = Observation("restated")
+    observed = sales.observe(seen, *[F.count_if((F.col("year") == y) & (F.col("month") == m)).alias(name(y, m))
+                                     for _, y, m in begin])
+    restate_partitions(observed, lay.master_sales)
+    rows = seen.get
+    for y, m in months:
+        if not rows[name(y, m)]:
+            delete_folder(spark, f"{lay.master_sales}/year={y}/month={m}")
+    return rows

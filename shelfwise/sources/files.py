@@ -26,8 +26,12 @@ def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]
     return out
 
 
+#: Holds the text of a record that the declared schema does not fit.
+CORRUPT = "_corrupt_record"
+
+
 def _csv_by_header(spark: SparkSession, path: str, schema: T.StructType, optional: tuple[str, ...] = (),
-                   by_file: bool = False) -> DataFrame:
+                   by_file: bool = False, checked: bool = False, multi_line: bool = True) -> DataFrame:
     """Read a CSV with a header, binding declared types by column *name*.
 
     Spark applies a declared CSV schema by position, so a file whose columns
@@ -38,12 +42,17 @@ def _csv_by_header(spark: SparkSession, path: str, schema: T.StructType, optiona
     pass over the text, and every group is bound to its own.
 
     A declared column that the header lacks is an error, unless ``optional``
-    names it: then it is null.
+    names it: then it is null. Quoted line breaks belong to their record; a
+    file is then one task, so ``multi_line=False`` splits large files known to
+    have none. ``checked`` adds ``CORRUPT``, see :func:`split_rejected`.
     """
+    def reader():
+        return spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+
     if by_file:
         groups = list(_headers(spark, path).items())
     else:
-        groups = [(tuple(spark.read.option("header", True).csv(path).columns), [path])]
+        groups = [(tuple(reader().csv(path).columns), [path])]
     out = None
     for header, files in groups:
         lacking = [f.name for f in schema.fields if f.name not in header and f.name not in optional]
@@ -52,30 +61,47 @@ def _csv_by_header(spark: SparkSession, path: str, schema: T.StructType, optiona
         by_name = {f.name: f for f in schema.fields}
         ordered = T.StructType([
             by_name.get(name, T.StructField(name, T.StringType(), True)) for name in header])
-        df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-              .option("enforceSchema", False).schema(ordered).csv(files))
-        df = df.select(*[F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
-                         for f in schema.fields])
+        if checked:
+            ordered = ordered.add(CORRUPT, T.StringType())
+        df = (reader().option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .option("columnPruning", not checked).option("enforceSchema", False).schema(ordered).csv(files))
+        # Whether a record fits depends on the columns asked for; the generator
+        # asks for all of them, whatever is selected later.
+        fields = F.struct(*[F.col(f"`{name}`") for name in header])
+        flag = F.inline(F.array(F.struct(F.col(CORRUPT), fields.alias("_beside"))))
+        df = df.select(*[F.col(f"`{f.name}`") if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in schema.fields], *([flag] if checked else [])).drop("_beside")
         out = df if out is None else out.unionByName(df)
     if out is None:
         raise ValueError(f"{path}: no CSV files")
     return out
 
 
-def read_transactions(spark: SparkSession, path: str, by_file: bool = False) -> DataFrame:
+def split_rejected(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A checked read as its good rows, and (``record``, ``reason``) of the
+    rejected ones: records with too few or too many fields, and such with a
+    value that its declared type does not take. Every record of the files is
+    in exactly one of the two."""
+    bad = F.col(CORRUPT).isNotNull()
+    return (checked.where(~bad).drop(CORRUPT),
+            checked.where(bad).select(F.col(CORRUPT).alias("record"), F.lit("malformed").alias("reason")))
+
+
+def read_transactions(spark: SparkSession, path: str, by_file: bool = False, **how) -> DataFrame:
     """Prepared transactions CSV with the declared schema; a source
-    without customers has null ``customer_id``."""
-    return _csv_by_header(spark, path, schemas.TRANSACTIONS, ("customer_id",), by_file)
+    without customers has null ``customer_id``. ``checked`` and
+    ``multi_line`` as in :func:`_csv_by_header`."""
+    return _csv_by_header(spark, path, schemas.TRANSACTIONS, ("customer_id",), by_file, **how)
 
 
-def read_catalog(spark: SparkSession, path: str, by_file: bool = False) -> DataFrame:
+def read_catalog(spark: SparkSession, path: str, by_file: bool = False, **how) -> DataFrame:
     """Catalog CSV; ids kept as text, no inference pass."""
-    return _csv_by_header(spark, path, schemas.CATALOG_CSV, (), by_file)
+    return _csv_by_header(spark, path, schemas.CATALOG_CSV, (), by_file, **how)
 
 
-def read_inventory(spark: SparkSession, path: str, by_file: bool = False) -> DataFrame:
+def read_inventory(spark: SparkSession, path: str, by_file: bool = False, **how) -> DataFrame:
     """S3: inventory CSV; measures read as double, cast later."""
-    return _csv_by_header(spark, path, schemas.INVENTORY_CSV, (), by_file)
+    return _csv_by_header(spark, path, schemas.INVENTORY_CSV, (), by_file, **how)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -91,11 +117,16 @@ def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def read_ledger(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Raw ledger as text columns (CSV with header) or Parquet."""
-    if fmt == "csv":
-        return spark.read.option("header", True).csv(path)
-    return spark.read.format(fmt).load(path)
+def read_ledger(spark: SparkSession, path: str, fmt: str = "csv", checked: bool = False,
+                multi_line: bool = True) -> DataFrame:
+    """Raw ledger as text columns (CSV with header) or Parquet. Line
+    breaks inside quotes belong to the record, as in workbook exports."""
+    if fmt != "csv":
+        df = spark.read.format(fmt).load(path)
+        return df.withColumn(CORRUPT, F.lit(None).cast("string")) if checked else df
+    header = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    return _csv_by_header(spark, path, schema, checked=checked, multi_line=multi_line)
 
 
 def load_products(spark: SparkSession, path: str) -> DataFrame:
@@ -132,9 +163,18 @@ def write_partitioned(df: DataFrame, path: str, cols=("year", "month"),
        .option("compression", "snappy").parquet(path))
 
 
+def restate_partitions(df: DataFrame, path: str, cols=("year", "month")) -> None:
+    """K2 for some partitions: those that ``df`` holds are replaced, others
+    keep their files. The new files are staged and moved in when all are
+    written, so a job that dies before leaves the table as it was."""
+    (df.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*cols).option("compression", "snappy").parquet(path))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K6: CSV folder with a header line per part file."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """K6: CSV folder with a header line per part file; quotes are doubled, as
+    the readers here expect."""
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def preview(df: DataFrame, n: int = 20) -> None:

@@ -58,12 +58,15 @@ def peek_topic(spark: SparkSession, topic: str | None, schema, bootstrap: str =
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, trigger: str = DEFAULT_TRIGGER,
-                 available_now: bool = False, query_name: str | None = None) -> StreamingQuery:
+                 available_now: bool = False, query_name: str | None = None,
+                 partition_by: list[str] | None = None) -> StreamingQuery:
     """Append to Parquet with a checkpoint (exactly-once file
     sink); fixed-interval trigger, or ``available_now`` for tests and
     catch-up runs."""
     w = (df.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
@@ -76,18 +79,59 @@ def _checkpoint(path: str, checkpoint: str | None) -> str:
     return checkpoint or f"{path.rstrip('/')}.checkpoint"
 
 
-def land_clickstream(raw: DataFrame, path: str, checkpoint: str | None = None,
-                     **kw) -> StreamingQuery:
-    """M7: raw click values -> parsed, cleaned, weighted -> Parquet."""
-    df = ev.clean_clickstream(ev.parse_events(raw, schemas.CLICK_EVENT))
-    return write_stream(df, path, _checkpoint(path, checkpoint), **kw)
+def by_date(df: DataFrame) -> DataFrame:
+    """Adds the partition column of dated landings: the event's date (UTC
+    session), null for an event without a readable time."""
+    return df.withColumn("event_date", F.to_date("event_timestamp"))
+
+
+def _land(raw: DataFrame, path: str, checkpoint: str | None, schema, required: list[str], clean,
+          rejected: str | None, dated: bool, trigger: str, available_now: bool, query_name: str | None) -> StreamingQuery:
+    checkpoint = _checkpoint(path, checkpoint)
+    if not rejected:
+        df = clean(ev.parse_events(raw, schema))
+        return write_stream(by_date(df) if dated else df, path, checkpoint, trigger, available_now, query_name,
+                            partition_by=["event_date"] if dated else None)
+
+    def land(lines: DataFrame, batch_id: int) -> None:
+        # Both outputs come from one parse; a repeated batch writes over itself.
+        lines = lines.persist()
+        try:
+            kept = clean(lines.where("reason is null").drop("value", "reason"))
+            for rows, target, cols in ((by_date(kept) if dated else kept, path, ["event_date"] if dated else []),
+                                       (lines.where("reason is not null").select("value", "reason"), rejected, [])):
+                (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", *cols).parquet(target))
+        finally:
+            lines.unpersist()
+
+    w = ev.parse_checked(raw, schema, required).writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    if query_name:
+        w = w.queryName(query_name)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)).start()
+
+
+def land_clickstream(raw: DataFrame, path: str, checkpoint: str | None = None, rejected: str | None = None,
+                     dated: bool = False, trigger: str = DEFAULT_TRIGGER, available_now: bool = False,
+                     query_name: str | None = None) -> StreamingQuery:
+    """M7: raw click values -> parsed, cleaned, weighted -> Parquet.
+
+    ``rejected`` names a folder for the lines that cleaning drops, each with
+    its reason: every line read lands in exactly one of the two, both
+    partitioned by the micro-batch (``batch_id``), which overwrites itself
+    when repeated. ``dated`` partitions the landing by event date.
+    """
+    return _land(raw, path, checkpoint, schemas.CLICK_EVENT, ev.CLICK_REQUIRED, ev.clean_clickstream, rejected, dated,
+                 trigger, available_now, query_name)
 
 
-def land_competitor_prices(raw: DataFrame, path: str, checkpoint: str | None = None,
-                           **kw) -> StreamingQuery:
-    """M8: raw quote values -> parsed, cleaned -> Parquet."""
-    df = ev.clean_competitor(ev.parse_events(raw, schemas.COMPETITOR_EVENT))
-    return write_stream(df, path, _checkpoint(path, checkpoint), **kw)
+def land_competitor_prices(raw: DataFrame, path: str, checkpoint: str | None = None, rejected: str | None = None,
+                           dated: bool = False, trigger: str = DEFAULT_TRIGGER, available_now: bool = False,
+                           query_name: str | None = None) -> StreamingQuery:
+    """M8: raw quote values -> parsed, cleaned -> Parquet; see
+    :func:`land_clickstream`."""
+    return _land(raw, path, checkpoint, schemas.COMPETITOR_EVENT, ev.QUOTE_REQUIRED, ev.clean_competitor, rejected, dated,
+                 trigger, available_now, query_name)
 
 
 # Streams run with a width of their own: every micro-batch touches all

@@ -1,0 +1,100 @@
+"""Records that do not fit: every input record is either kept or rejected
+with its reason, in batch and on streams."""
+
+import csv
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from shelfwise.schemas import LEDGER_SOURCE_COLUMNS
+from shelfwise.sources import files
+from shelfwise.streaming import events as ev
+from shelfwise.streaming.jobs import land_clickstream, land_competitor_prices, read_topic
+
+
+def _csv(path, header, rows, raw=""):
+    with open(path, "w", newline="") as fh:
+        w = csv.writer(fh)
+        w.writerow(header)
+        w.writerows(rows)
+        fh.write(raw.replace("\n", "\r\n"))  # one kind of line end a file
+
+
+def test_ledger_with_line_breaks_and_broken_records(spark, tmp_dir):
+    header = [c.upper() for c in LEDGER_SOURCE_COLUMNS]
+    row = ["536365", "85123A", "a \"fine\" mug,\r\nwith a\nhandle", "6", "2024-01-02 08:26", "2.55", "17850", "UK"]
+    _csv(f"{tmp_dir}/l.csv", header, [row, [*row[:2], "plain", *row[3:]]], "1,2,3\n9,8,7,6,5,4,3,2,1,0\n")
+    df = files.read_ledger(spark, f"{tmp_dir}/l.csv", checked=True)
+    kept, rejected = files.split_rejected(df)
+    got = kept.collect()
+    assert len(got) == 2 and got[0]["DESCRIPTION"].replace("\r\n", "\n") == row[2].replace("\r\n", "\n")
+    assert [r["record"] for r in rejected.collect()] == ["1,2,3", "9,8,7,6,5,4,3,2,1,0"]
+    assert kept.columns == header == files.read_ledger(spark, f"{tmp_dir}/l.csv").columns
+    assert kept.select("COUNTRY").count() + rejected.count() == 4  # whatever columns are asked for
+    # files without such breaks may be split
+    _csv(f"{tmp_dir}/s.csv", header, [[*row[:2], "plain", *row[3:]]], "1,2,3\n")
+    kept, rejected = files.split_rejected(files.read_ledger(spark, f"{tmp_dir}/s.csv", checked=True, multi_line=False))
+    assert kept.count() == rejected.count() == 1
+
+
+def test_typed_csv_keeps_apart_what_its_types_do_not_take(spark, tmp_dir):
+    header = ["product_id", "product_name", "category", "selling_price"]
+    _csv(f"{tmp_dir}/c.csv", header, [["1", "a\nb", "MUG", "2.5"], ["2", "x", "MUG", "cheap"], ["3", "", "", ""]], "4,y\n")
+    kept, rejected = files.split_rejected(files.read_catalog(spark, f"{tmp_dir}/c.csv", checked=True))
+    assert sorted(r["product_id"] for r in kept.collect()) == ["1", "3"]
+    assert {(r["record"], r["reason"]) for r in rejected.collect()} == {("2,x,MUG,cheap", "malformed"), ("4,y", "malformed")}
+    assert files.read_catalog(spark, f"{tmp_dir}/c.csv").count() == 4  # unchecked: fields that do not fit are null
+
+
+def test_csv_written_here_reads_back(spark, tmp_dir):
+    df = spark.createDataFrame([("1", 'a "b"\nc, \\d', "X", 1.0)], "product_id string, product_name string, category string, selling_price double")
+    files.write_csv(df, f"{tmp_dir}/w")
+    assert files.read_catalog(spark, f"{tmp_dir}/w").collect() == df.collect()
+
+
+def test_batch_command_writes_rejected_records(spark, tmp_dir):
+    from shelfwise.__main__ import main
+    header = list(LEDGER_SOURCE_COLUMNS)
+    rows = [[str(100 + i), f"P{i % 3}", f"mug\nno {i}", "2", "2024-01-02 08:26", "2.5", "7", "UK"] for i in range(9)]
+    _csv(f"{tmp_dir}/l.csv", header, rows, "broken,record\n")
+    main(["batch", "--root", f"{tmp_dir}/out", "--ledger", f"{tmp_dir}/l.csv", "--database", ""])
+    assert spark.read.parquet(f"{tmp_dir}/out/raw/rejected_records").collect()[0]["record"] == "broken,record"
+    assert spark.read.parquet(f"{tmp_dir}/out/raw/transactions").count() == 9
+
+
+CLICK = {"event_time": "2024-01-01T10:00:00", "product_id": "P1", "event_type": "view"}
+QUOTE = {"event_time": "2024-01-01T10:00:00", "product_id": "P1", "competitor": "S", "competitor_price": 2.5, "availability": True}
+
+
+def _lines(folder, name, lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.txt", "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+
+
+def test_streams_keep_rejected_lines_by_reason(spark, tmp_dir):
+    clicks = [json.dumps(CLICK), json.dumps({**CLICK, "product_id": None}), '{"product_id": "P', "null", "{}", "[1]",
+              json.dumps({k: v for k, v in CLICK.items() if k != "event_type"}), json.dumps({**CLICK, "event_time": None}), "junk"]
+    quotes = [json.dumps(QUOTE), json.dumps({**QUOTE, "competitor_price": "dear"}), json.dumps({**QUOTE, "competitor": None}), ""]
+    for job, folder, lines in ((land_clickstream, "c", clicks), (land_competitor_prices, "q", quotes)):
+        _lines(f"{tmp_dir}/{folder}", "a", lines[:3])
+        _lines(f"{tmp_dir}/{folder}", "b", lines[3:])
+        out, bad = f"{tmp_dir}/{folder}-out", f"{tmp_dir}/{folder}-bad"
+        raw = read_topic(spark, fmt="text", path=f"{tmp_dir}/{folder}", maxFilesPerTrigger=1)
+        job(raw, out, rejected=bad, available_now=True).awaitTermination()
+        kept, rejected = spark.read.parquet(out), spark.read.parquet(bad)
+        assert kept.count() + rejected.count() == len(lines)
+        plain = ev.clean_clickstream(ev.parse_clicks(spark.read.text(f"{tmp_dir}/{folder}"))) if folder == "c" else \
+            ev.clean_competitor(ev.parse_quotes(spark.read.text(f"{tmp_dir}/{folder}")))
+        assert kept.count() == plain.count() == 1 and set(plain.columns) <= set(kept.columns)
+        got = {(r["value"], r["reason"]) for r in rejected.collect()}
+        if folder == "c":
+            assert got == {(lines[1], "no product_id"), (lines[2], "malformed"), ("null", "malformed"), ("{}", "no product_id"),
+                           ("[1]", "malformed"), (lines[6], "no event_type"), (lines[7], "no event_time"), ("junk", "malformed")}
+        else:
+            assert got == {(lines[1], "malformed"), (lines[2], "no competitor"), ("", "malformed")}
+        # a restart without new files adds nothing
+        job(raw, out, rejected=bad, available_now=True).awaitTermination()
+        assert spark.read.parquet(out).count() + spark.read.parquet(bad).count() == len(lines)
+    assert spark.read.parquet(f"{tmp_dir}/c-bad").where(F.col("batch_id") >= 0).count() == 8
