@@ -89,9 +89,17 @@ def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
-def expand(s: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids of a sequence of symbols: each round replaces every
-    nonterminal by its two symbols, as often as the grammar is deep."""
+def gather(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The slices [begin, begin + size) of ``flat``, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    return flat[np.arange(total, dtype=kind) + np.repeat((begins - (ends - sizes)).astype(kind), sizes)]
+
+
+def _rounds(s: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
+    """Each round replaces every nonterminal by its two symbols, as often as
+    the grammar is deep."""
     s = s.astype(np.uint32)
     while len(s):
         deep = s >= base
@@ -106,6 +114,24 @@ def expand(s: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     return s
 
 
+def expand(s: np.ndarray, rules: np.ndarray, base: int, lengths: np.ndarray | None = None) -> np.ndarray:
+    """The ids of a sequence of symbols. Given the expansion lengths, every
+    rule is expanded once and the sequence gathers from that, unless the
+    rules are longer than what the sequence stands for."""
+    if lengths is None or not len(rules):
+        return _rounds(s, rules, base)
+    sizes, deep = np.ones(len(s), dtype=np.int64), s >= base
+    begins = s.astype(np.int64)  # terminals stand first in the flat table
+    begins[deep] -= base
+    sizes[deep] = lengths[begins[deep]]
+    if int(lengths.sum()) > 4 * int(sizes.sum()) + (1 << 16):
+        return _rounds(s, rules, base)
+    bodies = _rounds(np.arange(base, base + len(rules), dtype=np.uint32), rules, base)
+    known, first = np.arange(base, dtype=np.uint32), np.cumsum(lengths) - lengths
+    begins[deep] = base + first[begins[deep]]
+    return gather(np.concatenate((known, bodies)), begins, sizes)
+
+
 def expand_range(s: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int, lo: int, hi: int) -> np.ndarray:
     """Ids ``lo`` to ``hi`` (exclusive) alone: the expansion lengths name the
     symbols that hold them, and only those are expanded."""

@@ -76,7 +76,7 @@ class Shard:
         self.starts = np.concatenate(([0], np.cumsum(self.lengths.astype(np.int64))))
 
     def ids(self) -> np.ndarray:
-        return repair.expand(self.symbols, self.rules, self.base)
+        return repair.expand(self.symbols, self.rules, self.base, self.rule_lengths)
 
     def document(self, i: int) -> np.ndarray:
         """The ids of document ``i`` alone."""
@@ -88,6 +88,21 @@ class Shard:
 # Tokenising whole batches
 # --------------------------------------------------------------------------
 
+class _Words:
+    """Ids of words, by the sorted hashes of the words."""
+
+    def __init__(self, hashes=(), sizes=(), flat=()):
+        hashes, sizes = np.asarray(hashes, dtype=np.uint64), np.asarray(sizes, dtype=np.int64)
+        order = np.argsort(hashes)
+        self.hashes, self.sizes = hashes[order], sizes[order]
+        self.flat = repair.gather(np.asarray(flat, dtype=np.uint32), (np.cumsum(sizes) - sizes)[order], self.sizes)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, other: _Words) -> _Words:
+        return _Words(*(np.concatenate(pair) for pair in (
+            (self.hashes, other.hashes), (self.sizes, other.sizes), (self.flat, other.flat))))
+
+
 class WordEncoder:
     """Encodes texts word by word. For a tokenizer that drops white space and
     joins nothing across it, the ids of a text are those of its words between
@@ -106,15 +121,26 @@ class WordEncoder:
         self._forget()
 
     def _forget(self):
-        self.hashes, self.begins = np.zeros(0, dtype=np.uint64), np.zeros(1, dtype=np.int64)
-        self.flat = np.zeros(0, dtype=np.uint32)
+        self.known = [_Words()]
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Add the ids of new words. They are kept apart from the many older
+        ones until a quarter as many have come."""
+        found = [self._encode(words[i:i + _ENCODED_AT_ONCE]) for i in range(0, len(words), _ENCODED_AT_ONCE)]
+        new = _Words(hashes, np.concatenate([n for _, n in found]), np.concatenate([f for f, _ in found]))
+        if len(self.known) == 2:
+            new = self.known.pop().joined(new)
+        if 4 * len(new.hashes) > len(self.known[0].hashes):
+            self.known = [self.known[0].joined(new)]
+        else:
+            self.known.append(new)
 
     def _piece(self, piece: str) -> list[int]:
         ids = self.piece_ids.get(piece)
         if ids is None:
             if len(self.piece_ids) > _KEPT_PIECES:
                 self.piece_ids.clear()
-            mapped = "".join(map(_byte_text, piece))
+            mapped = piece if piece.isascii() else "".join(map(_byte_text, piece))
             ids = self.piece_ids[piece] = [t.id for t in self.tokenizer.model.tokenize(mapped)]
         return ids
 
@@ -154,36 +180,32 @@ class WordEncoder:
         found = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
         return np.array([i for f in found for i in f], dtype=np.uint32), np.array([len(f) for f in found], dtype=np.int64)
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        found = [self._encode(words[i:i + _ENCODED_AT_ONCE]) for i in range(0, len(words), _ENCODED_AT_ONCE)]
-        flat = np.concatenate([f for f, _ in found])
-        sizes = np.concatenate([n for _, n in found])
-        hashes = np.concatenate((self.hashes, hashes))
-        sizes = np.concatenate((np.diff(self.begins), sizes))
-        begins = np.cumsum(sizes) - sizes
-        self.flat = np.concatenate((self.flat, flat))
-        order = np.argsort(hashes)
-        self.hashes = hashes[order]
-        self.flat = _gather(self.flat, begins[order], sizes[order])
-        self.begins = np.concatenate(([0], np.cumsum(sizes[order])))
-
     def __call__(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, ``end`` after each text, and the number of ids a text."""
         data, offsets = tk.text_bytes(texts)
         starts, ends, row = tk.words(data, offsets, tk.NON_SPACE)
         h = tk.word_hashes(data, starts, ends)
         distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        new = np.flatnonzero(~_among(distinct, self.hashes))
-        if len(new) + len(self.hashes) > _KEPT_WORDS:
+        new = np.flatnonzero(~np.any([_among(distinct, k.hashes) for k in self.known], axis=0))
+        if len(new) + sum(len(k.hashes) for k in self.known) > _KEPT_WORDS:
             self._forget()
             new = np.arange(len(distinct))
         if len(new):
             body = data.tobytes()
             at = first[new]
             self._learn(distinct[new], [body[a:b].decode("utf-8") for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-        place = np.searchsorted(self.hashes, distinct)
-        begins, sizes = self.begins[place][inverse], np.diff(self.begins)[place][inverse]
-        ids = _gather(self.flat, begins, sizes)
+        # The ids of the distinct words, then those of all words.
+        sizes, flat = np.zeros(len(distinct), dtype=np.int64), []
+        begins, at = np.zeros(len(distinct), dtype=np.int64), 0
+        for k in self.known:
+            here = np.flatnonzero(_among(distinct, k.hashes))
+            place = np.searchsorted(k.hashes, distinct[here])
+            sizes[here] = k.sizes[place]
+            begins[here] = at + np.cumsum(sizes[here]) - sizes[here]
+            flat.append(repair.gather(k.flat, k.begins[place], k.sizes[place]))
+            at += len(flat[-1])
+        sizes, begins = sizes[inverse], begins[inverse]
+        ids = repair.gather(np.concatenate(flat), begins, sizes)
         # The end id goes in after the last id of each text.
         last = np.searchsorted(row, np.arange(len(offsets) - 1), side="right")
         total = np.concatenate(([0], np.cumsum(sizes)))[last]
@@ -220,13 +242,6 @@ def _byte_text(char: str) -> str:
     return ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(char)[0][0]
 
 
-def _gather(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The slices [begin, begin + size) of ``flat``, one after the other."""
-    ends = np.cumsum(sizes)
-    total = int(ends[-1]) if len(ends) else 0
-    return flat[np.arange(total) + np.repeat(begins - (ends - sizes), sizes)]
-
-
 def _among(values: np.ndarray, ranked: np.ndarray) -> np.ndarray:
     if not len(ranked):
         return np.zeros(len(values), dtype=bool)
@@ -270,7 +285,7 @@ def _pack(path: str, end: int, shard_bytes: int):
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, end: int = 1, id_col: str = "doc_id",
-                      text_col: str = "text", part_bytes: int = 32 << 20, shard_bytes: int = 6 << 20) -> None:
+                      text_col: str = "text", part_bytes: int = 32 << 20, shard_bytes: int = 4 << 20) -> None:
     """Write the token ids of every whole text, ``end`` after each, as shards
     in ascending id order to a Parquet table of FILE_SCHEMA at ``path``.
 

@@ -26,6 +26,7 @@ def test_grammar_round_trip(ids, min_count, rounds):
     assert repair.expand(symbols, rules, 7).tolist() == ids.tolist()
     assert all(max(pair) < 7 + k for k, pair in enumerate(rules.tolist()))  # rules only name earlier symbols
     lengths = repair.expansion_lengths(rules, 7)
+    assert repair.expand(symbols, rules, 7, lengths).tolist() == ids.tolist()
     for k, n in enumerate(lengths.tolist()):
         assert len(repair.expand(np.array([7 + k]), rules, 7)) == n
     for lo, hi in ((0, len(ids)), (len(ids) // 3, len(ids) // 2), (len(ids), len(ids))):
@@ -36,6 +37,9 @@ def test_grammar_shrinks_repeats_and_runs():
     phrase = np.arange(40, dtype=np.uint32)
     ids = np.concatenate([np.tile(phrase, 200), np.zeros(3000, dtype=np.uint32)])
     rules, symbols = repair.compress(ids, 100)
+    lengths = repair.expansion_lengths(rules, 100)
+    assert (repair.expand(symbols, rules, 100, lengths) == ids).all()
+    assert (repair.expand(symbols[:1], rules, 100, lengths * 0 + (1 << 20)) == repair.expand(symbols[:1], rules, 100)).all()
     assert len(symbols) < len(ids) / 10 and (repair.expand(symbols, rules, 100) == ids).all()
 
 
