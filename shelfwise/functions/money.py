@@ -63,10 +63,12 @@ def money_parts(col) -> list[Column]:
             F.count(inner).alias("usual"), F.sum(F.when(~usual, c)).alias("outer"), F.count(c).alias("n")]
 
 
-def money_total() -> tuple[Column, Column]:
-    """Sum of the amounts and their number, over rows of money_parts."""
-    lost = F.count_if((F.col("usual") > 0) & F.col("exact").isNull())
-    inner = F.when(lost == 0, F.try_sum("exact").cast("double"))
-    inner = F.coalesce(inner, F.sum("plain"))
-    outer = F.sum("outer")
-    return F.when(inner.isNull(), outer).otherwise(inner + F.coalesce(outer, F.lit(0.0))), F.sum("n")
+def money_total(at: str = "") -> tuple[Column, Column]:
+    """Sum of the amounts and their number, over rows of money_parts (in a
+    struct, when ``at`` names one)."""
+    field = lambda name: F.col(f"{at}.{name}" if at else name)
+    lost = F.count_if((field("usual") > 0) & field("exact").isNull())
+    inner = F.when(lost == 0, F.try_sum(field("exact")).cast("double"))
+    inner = F.coalesce(inner, F.sum(field("plain")))
+    outer = F.sum(field("outer"))
+    return F.when(inner.isNull(), outer).otherwise(inner + F.coalesce(outer, F.lit(0.0))), F.sum(field("n"))

@@ -34,6 +34,11 @@ def demand_analytics(sales: DataFrame, high: float = rules.DEMAND_HIGH,
         F.min("sale_date").alias("first_sale_date"),
         F.max("sale_date").alias("last_sale_date"),
     )
+    return with_rules(agg, high, medium)
+
+
+def with_rules(agg: DataFrame, high: float = rules.DEMAND_HIGH, medium: float = rules.DEMAND_MEDIUM) -> DataFrame:
+    """Roundings, days and demand level over the aggregate of a product."""
     days = rules.active_days("first_sale_date", "last_sale_date")
     out = agg.select(
         *GRAIN, "total_quantity_sold", "total_orders", "unique_customers",
