@@ -231,17 +231,23 @@ def scan(docs: DataFrame, model: LicenceModel, *, id_col: str = "doc_id", text_c
     in alphabetical order; an empty table gives an empty result; other
     columns are not looked at.
     """
-    items = paragraphs(docs, id_col, text_col)
-    items = items.withColumn("words", word_list(F.col("piece"))).drop("piece")
     telling = model.telling_words(threshold)
-    if telling is not None:
-        items = items.where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in telling]).cast("array<string>")))
-    items = items.withColumn("key", F.xxhash64("words"))
+
+    def parts(rows: DataFrame) -> DataFrame:
+        items = paragraphs(rows, id_col, text_col)
+        items = items.withColumn("words", word_list(F.col("piece"))).drop("piece")
+        if telling is not None:
+            items = items.where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in telling]).cast("array<string>")))
+        return items.withColumn("key", F.xxhash64("words"))
+
     key = ["id", "par", "key"]
     chance = 1.0 / (1.0 + F.exp(-(F.col("margin") * model.slope + model.offset)))
-    found = _logits(items, key, model.weights, model.intercepts).withColumn("probability", chance)
+    found = _logits(parts(docs), key, model.weights, model.intercepts).withColumn("probability", chance)
     found = written(found.where(F.col("probability") >= threshold), "licence-found")
-    # Only predicted paragraphs are compared with the templates.
+    # Only predicted paragraphs are compared with the templates, and only
+    # documents that have one are taken apart again.
+    some = found.select(F.col("id").alias("_found")).distinct()
+    items = parts(docs.select(id_col, text_col).join(some, F.col(id_col).eqNullSafe(F.col("_found")), "left_semi"))
     predicted = found.select(*[F.col(k).alias(f"f_{k}") for k in key]).distinct()
     items = items.join(predicted, items["id"].eqNullSafe(predicted["f_id"]) & (items["par"] == predicted["f_par"])
                        & (items["key"] == predicted["f_key"]), "left_semi")
