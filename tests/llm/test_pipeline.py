@@ -25,7 +25,7 @@ import corpus_pipeline  # noqa: E402
 def test_oracle(spark, name):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     got = QUERIES[name](spark, SF_SMALL)
     cols = sorted(got.columns)
