@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import rules
@@ -12,22 +12,42 @@ from shelfwise.schemas import DEMAND_COLUMNS
 GRAIN = ["product_id", "product_name", "category"]
 
 
+def _marked(sales: DataFrame, marks: dict[str, str]) -> DataFrame:
+    """``sales`` with a flag per column: true on one line of each (product,
+    value of the column), never where the value is missing.
+
+    Sales that come from a sort-merge join by product are marked where they
+    are, without a shuffle. Where AQE has cut a hot product between tasks
+    (``forceOptimizeSkewedJoin``), or the sales are not dealt out by product,
+    they are dealt out by (product, value), so no task gets a whole hot
+    product. Groups are sorted with spill.
+    """
+    for column, mark in marks.items():
+        same = Window.partitionBy(*GRAIN, column).orderBy(column)
+        sales = sales.withColumn(mark, F.col(column).isNotNull() & (F.row_number().over(same) == 1))
+    return sales
+
+
 def demand_analytics(sales: DataFrame, high: float = rules.DEMAND_HIGH,
                      medium: float = rules.DEMAND_MEDIUM,
                      approx_distinct: bool = False) -> DataFrame:
     """A1-A7, R1, R3, R4 over master sales.
 
-    Two exact distinct counts plan as one Expand and a two-level hash
-    aggregate: the first level groups by (product, value), so a hot
-    product's invoices spread over all partitions; ``approx_distinct``
-    swaps in HyperLogLog++ and drops the Expand. Money is summed exactly
-    (see ``functions.money``), so results do not depend on partitioning.
+    For the two exact distinct counts the first line of each (product,
+    value) is marked, see :func:`_marked`, so every line stays one row and
+    one aggregate gives all figures. ``approx_distinct`` swaps in
+    HyperLogLog++ and drops the marking. Money is summed exactly (see
+    ``functions.money``), so results do not depend on partitioning.
     """
-    distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
+    if approx_distinct:
+        orders, customers = F.approx_count_distinct("invoice_no"), F.approx_count_distinct("customer_id")
+    else:
+        sales = _marked(sales, {"invoice_no": "_order", "customer_id": "_customer"})
+        orders, customers = F.count_if("_order"), F.count_if("_customer")
     agg = sales.groupBy(*GRAIN).agg(
         F.sum("quantity").alias("total_quantity_sold"),
-        distinct("invoice_no").alias("total_orders"),
-        distinct("customer_id").alias("unique_customers"),
+        orders.alias("total_orders"),
+        customers.alias("unique_customers"),
         money_sum("revenue").alias("_revenue"),
         count_mean("quantity").alias("_avg_qty"),
         money_mean("unit_price").alias("_avg_price"),

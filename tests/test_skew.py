@@ -118,3 +118,74 @@ def test_hot_product_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _without_broadcasts(spark, more=()):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", **dict(more)}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return old
+
+
+def _restore(spark, old):
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def _odd_sales(spark, n=60000):
+    tx = spark.range(n).select(
+        F.when(F.col("id") % 7 != 0, (F.col("id") % 20000).cast("string")).alias("invoice_no"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 500).cast("string")).alias("product_id"),
+        F.when(F.col("id") % 4 != 0, F.lit("d")).alias("description"), F.lit(1).alias("quantity"),
+        F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("invoice_date"),
+        F.lit(2.0).alias("unit_price"), F.lit("UK").alias("country"),
+        F.when(F.col("id") % 5 != 0, (F.col("id") % 11).cast("string")).alias("customer_id"), F.lit(2.0).alias("revenue"))
+    cat = spark.range(250).select(F.col("id").cast("string").alias("product_id"), F.lit("n").alias("product_name"),
+                                  F.lit("OTHER").alias("category"), F.lit(1.0).alias("selling_price"))
+    return build_master_sales(tx, standardize_catalog(cat))
+
+
+def _counted_plainly(sales):
+    return {(r.product_id, r.product_name, r.category): (r.o, r.c) for r in sales.groupBy(
+        "product_id", "product_name", "category").agg(
+        F.count_distinct("invoice_no").alias("o"), F.count_distinct("customer_id").alias("c")).collect()}
+
+
+def test_demand_counts_distinct_values_where_the_join_left_the_lines(spark):
+    """After a sort-merge join by product no line is shuffled again, and none
+    is doubled for the two distinct counts. Null ids count as none."""
+    old = _without_broadcasts(spark)
+    try:
+        sales = _odd_sales(spark)
+        out = demand_analytics(sales)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        above = plan[:plan.index("SortMergeJoin")]
+        assert "Expand" not in plan and "Exchange" not in above
+        got = {(r.product_id, r.product_name, r.category): (r.total_orders, r.unique_customers) for r in out.collect()}
+        assert got == _counted_plainly(sales)
+    finally:
+        _restore(spark, old)
+
+
+def test_demand_of_a_split_hot_product(spark):
+    """A hot product that AQE cuts between tasks is counted by (product,
+    value), and right."""
+    old = _without_broadcasts(spark, {
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}.items())
+    try:
+        sales = _odd_sales(spark)
+        out = demand_analytics(sales)
+        got = {(r.product_id, r.product_name, r.category): (r.total_orders, r.unique_customers) for r in out.collect()}
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in final
+        assert got == _counted_plainly(sales)
+    finally:
+        _restore(spark, old)
