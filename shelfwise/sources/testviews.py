@@ -56,12 +56,12 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    joined = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(part, li.l_partkey == part.p_partkey)
-        .join(cust, orders.o_custkey == cust.c_custkey)
-        .join(nation, cust.c_nationkey == nation.n_nationkey)
-    )
+    # The country joins the orders first: of the lines, several to an order,
+    # none is shuffled for it.
+    placed = (orders.join(cust.join(nation, cust.c_nationkey == nation.n_nationkey),
+                          orders.o_custkey == cust.c_custkey)
+              .select("o_orderkey", "o_custkey", "o_orderdate", "n_name"))
+    joined = li.join(placed, li.l_orderkey == placed.o_orderkey).join(part, li.l_partkey == part.p_partkey)
     slot = (F.col("l_orderkey") + F.col("l_linenumber") * 3) % FAULT_EVERY
     joined = joined.withColumn("v", F.explode(
         F.when(slot < LINE_FAULTS, F.array(F.lit(-1).cast("bigint"), slot)).otherwise(F.array(F.lit(-1).cast("bigint")))))

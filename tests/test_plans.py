@@ -1,5 +1,7 @@
 """Physical-plan checks: no Python in any plan, pushdown and pruning."""
 
+import re
+
 import pytest
 
 from conftest import SF_SMALL
@@ -94,3 +96,10 @@ def test_filters_and_columns_pass_the_coercion(spark, tmp_dir):
     scan = text[text.index("Batched"):]
     assert "IsNotNull(invoice_no)" in scan and "IsNotNull(product_id)" in scan
     assert "description" not in scan[:scan.index("(2)")]
+
+
+def test_ledger_lines_are_shuffled_by_order_and_part_only(spark):
+    """Customers and nations join the orders, not the lines."""
+    from shelfwise.sources import testviews as tv
+    plan = tv.ledger(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.findall(r"Join Inner, \((\w+)#", plan) == ["l_partkey", "l_orderkey", "o_custkey", "c_nationkey"]
