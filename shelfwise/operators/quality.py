@@ -91,28 +91,35 @@ def validation_report(tx: DataFrame, catalog: DataFrame, inventory: DataFrame) -
     (position, metric, value) rows. The verdict is SUCCESSFUL only when all
     seven checks are 0. Every number is a global aggregate (partial per
     partition), assembled by :func:`assemble_report`, never by the driver."""
-    # One pass over the transactions: a row per product, then two left joins
-    # to the distinct keys of the other tables and one global aggregate.
-    per = tx.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"), count_negative("quantity").alias("q"),
-                                       count_negative("unit_price").alias("p"))
-    for side, df in (("c", catalog), ("i", inventory)):
-        known = df.select(F.col("product_id").alias(f"id_{side}")).distinct().withColumn(f"in_{side}", F.lit(1))
-        per = per.join(known, per["product_id"].eqNullSafe(known[f"id_{side}"]), "left")
+    # One pass over each table: its rows under one another, counted by product
+    # (a null id is one value), then one global aggregate over the products.
+    zero = F.lit(0).cast("bigint")
+    parts = {"t": tx, "c": catalog, "i": inventory}
+    negative = {"q": (tx, "quantity"), "p": (tx, "unit_price"), "s": (inventory, "current_stock")}
+    rows = None
+    for side, df in parts.items():
+        counts = [(F.lit(1).cast("bigint") if side == x else zero).alias(x) for x in parts]
+        below = [(F.when(F.col(c) < 0, 1).otherwise(0).cast("bigint") if d is df else zero).alias(x)
+                 for x, (d, c) in negative.items()]
+        part = df.select("product_id", *counts, *below)
+        rows = part if rows is None else rows.union(part)
+    per = rows.groupBy("product_id").agg(*[F.sum(x).alias(x) for x in (*parts, *negative)])
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
-    t = per.agg(total("n").alias("transaction_rows"), F.count(F.lit(1)).alias("transaction_products"),
-                total("q").alias("negative_quantities"), total("p").alias("negative_unit_prices"),
-                F.count_if(F.col("in_c").isNull()).alias("missing_from_catalog"),
-                F.count_if(F.col("in_i").isNull()).alias("missing_from_inventory"))
-    c = catalog.agg(distinct_values("product_id").alias("catalog_products"),
-                    duplicate_keys(catalog).alias("duplicate_catalog_ids"))
-    i = inventory.agg(distinct_values("product_id").alias("inventory_products"),
-                      duplicate_keys(inventory).alias("duplicate_inventory_ids"),
-                      count_negative("current_stock").alias("negative_current_stock"))
+    known = lambda x: F.count_if(F.col(x) > 0)
+    report = per.agg(
+        total("t").alias("transaction_rows"), known("t").alias("transaction_products"),
+        known("c").alias("catalog_products"), known("i").alias("inventory_products"),
+        F.count_if((F.col("t") > 0) & (F.col("c") == 0)).alias("missing_from_catalog"),
+        F.count_if((F.col("t") > 0) & (F.col("i") == 0)).alias("missing_from_inventory"),
+        (total("c") - known("c")).alias("duplicate_catalog_ids"),
+        (total("i") - known("i")).alias("duplicate_inventory_ids"),
+        total("q").alias("negative_quantities"), total("p").alias("negative_unit_prices"),
+        total("s").alias("negative_current_stock"))
     failed = sum((F.col(n).cast("bigint") for n in CHECKS[1:]), F.col(CHECKS[0]).cast("bigint"))
     order = ["transaction_rows", "transaction_products", "catalog_products",
              "inventory_products", *CHECKS, "validation"]
     return assemble_report(
-        [t, c, i], order,
+        [report], order,
         {"validation": F.when(failed == 0, "SUCCESSFUL").otherwise("FAILED")})
 
 

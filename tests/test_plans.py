@@ -103,3 +103,27 @@ def test_ledger_lines_are_shuffled_by_order_and_part_only(spark):
     from shelfwise.sources import testviews as tv
     plan = tv.ledger(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert re.findall(r"Join Inner, \((\w+)#", plan) == ["l_partkey", "l_orderkey", "o_custkey", "c_nationkey"]
+
+
+def test_prepared_validation_prepares_once(spark):
+    """Catalog and inventory are derived from written transactions; only the
+    transactions' own counts go back to the ledger."""
+    text = _explain(QUERIES["validation_report_prepared"](spark, SF_SMALL))
+    assert text.count("l_extendedprice:double") == 1  # one ReadSchema of lineitem
+
+
+def test_validation_counts_of_null_and_repeated_ids(spark):
+    from shelfwise.operators import validation_report
+    tx = spark.createDataFrame([("a", 1, 1.0), ("a", -1, 1.0), (None, 2, -2.0), ("b", None, None)],
+                               "product_id string, quantity int, unit_price double")
+    cat = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("z",)], "product_id string")
+    inv = spark.createDataFrame([("b", -1), ("b", 3), ("y", None)], "product_id string, current_stock int")
+    rows = validation_report(tx, cat, inv)
+    assert {r.metric: r.value for r in rows.collect()} == {
+        "transaction_rows": "4", "transaction_products": "3", "catalog_products": "3", "inventory_products": "2",
+        "missing_from_catalog": "1", "missing_from_inventory": "2", "duplicate_catalog_ids": "2",
+        "duplicate_inventory_ids": "1", "negative_quantities": "1", "negative_unit_prices": "1",
+        "negative_current_stock": "1", "validation": "FAILED"}
+    assert "Join" not in _explain(rows)  # every table is read once
+    empty = {r.metric: r.value for r in validation_report(tx.limit(0), cat.limit(0), inv.limit(0)).collect()}
+    assert empty.pop("validation") == "SUCCESSFUL" and set(empty.values()) == {"0"}
