@@ -337,7 +337,7 @@ def q_realtime_pricing_near(spark, d):
     """Pairs of a click and a quote at most NEAR_GAP apart, over quotes of
     the clicks' month."""
     return ev.realtime_pricing(_parsed_clicks(spark, d), ev.parse_quotes(tv.quote_json(spark, d, recent=True)),
-                               max_gap=NEAR_GAP)
+                               max_gap=NEAR_GAP, clicked_only=True)
 
 
 def q_events_to_json(spark, d):

@@ -189,3 +189,23 @@ def test_demand_of_a_split_hot_product(spark):
         assert got == _counted_plainly(sales)
     finally:
         _restore(spark, old)
+
+
+def test_near_pairs_drop_quotes_of_products_without_clicks(spark):
+    """The same pairs, and the other quotes go before their times are parsed."""
+    clicks = spark.createDataFrame(
+        [("2024-01-01T00:00:00", "A", "purchase"), ("2024-01-01T01:00:00", "A", "view"), ("2024-01-01T00:00:00", None, "view"),
+         ("soon", "B", "view")], "event_time string, product_id string, event_type string")
+    quotes = spark.createDataFrame(
+        [("2024-01-01T00:30:00", p, "S", 2.0, True) for p in ("A", "A", "B", "C", None)],
+        "event_time string, product_id string, competitor string, competitor_price double, availability boolean")
+    all_rows = realtime_pricing(clicks, quotes, max_gap="1 hour")
+    some = realtime_pricing(clicks, quotes, max_gap="1 hour", clicked_only=True)
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, all_rows.collect())) != []
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    join = plan.index("Join LeftSemi")
+    assert "try_to_timestamp" not in plan[join:].split("LocalRelation")[0].lower()
+    from conftest import SF_SMALL
+
+    from shelfwise.plans.queries import QUERIES
+    assert "LeftSemi" in QUERIES["realtime_pricing_near"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
