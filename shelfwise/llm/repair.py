@@ -10,43 +10,56 @@ from __future__ import annotations
 import numpy as np
 
 
-def _pair_counts(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Left symbols, right symbols and counts of the adjacent pairs."""
+def _frequent_pairs(s: np.ndarray, min_count: int, slack: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Left symbols, right symbols and counts of the adjacent pairs that occur
+    ``min_count`` times and a ``slack``-th as often as the most frequent."""
     wide = int(s.max()) >= 1 << 16
     kind, shift = (np.uint64, 32) if wide else (np.uint32, 16)
-    keys = (s[:-1].astype(kind) << kind(shift)) | s[1:].astype(kind)
+    keys = s[:-1].astype(kind)
+    keys <<= kind(shift)
+    keys |= s[1:].astype(kind, copy=False)
     keys.sort()
     edge = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
-    keys, counts = keys[edge[:-1]], np.diff(edge)
-    return (keys >> kind(shift)).astype(np.int64), (keys & kind((1 << shift) - 1)).astype(np.int64), counts
+    counts = np.diff(edge)
+    some = np.flatnonzero(counts >= max(min_count, int(counts.max()) // slack))
+    keys = keys[edge[some]]
+    return (keys >> kind(shift)).astype(np.int64), (keys & kind((1 << shift) - 1)).astype(np.int64), counts[some]
 
 
 def _replaced(s: np.ndarray, left: np.ndarray, right: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
-    """``s`` with occurrences of pair i replaced by ``first + i``, and how
-    often each was. Where two occurrences overlap the one of the earlier pair
-    goes first, of equal ones the left one; the other may follow in the next
-    round."""
+    """``s`` with occurrences of the pairs replaced, and whether each pair was
+    at all; those that were are numbered from ``first``. Where two occurrences
+    overlap the one of the earlier pair goes first, of equal ones the left
+    one; the other may follow in the next round."""
     n, size = len(left), int(s.max()) + 1
-    row, col = np.zeros(size, dtype=np.int32), np.zeros(size, dtype=np.int32)
+    row, col, side = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.uint8)
     ls, rs = np.unique(left), np.unique(right)
-    row[ls], col[rs] = np.arange(1, len(ls) + 1), np.arange(1, len(rs) + 1)
-    rank = np.full((len(ls) + 1) * (len(rs) + 1), n, dtype=np.int32)
-    rank[row[left] * (len(rs) + 1) + col[right]] = np.arange(n)
-    here = np.full(len(s) + 1, n, dtype=np.int32)  # here[i + 1]: pair at i
-    here[1:-1] = rank[row[s[:-1]] * (len(rs) + 1) + col[s[1:]]]
-    own = here[1:-1]
-    first_of_run = own != here[:-2]
-    fits = np.where(first_of_run, own < here[:-2], True)
-    if not first_of_run.all():  # a run of one symbol: every second place of it
-        at = np.arange(len(own), dtype=np.int32)
-        fits &= (at - np.maximum.accumulate(np.where(first_of_run, at, 0))) % 2 == 0
-    hit = np.flatnonzero((own < n) & fits & (own <= here[2:]))
-    pair = own[hit]
+    row[ls], col[rs] = np.arange(len(ls)) * len(rs), np.arange(len(rs))
+    rank = np.full(len(ls) * len(rs), n, dtype=np.int32)
+    rank[row[left] + col[right]] = np.arange(n)
+    # Where a left symbol stands before a right one, then where a pair does.
+    side[ls] = 1
+    side[rs] += 2
+    sides = side[s]
+    at = np.flatnonzero((sides[:-1] & (sides[1:] >> 1) & 1).view(bool))
+    own = rank[row[s[at]] + col[s[1:][at]]]
+    some = own < n
+    at, own = at[some], own[some]
+    next_to = at[1:] == at[:-1] + 1
+    before, after = np.full(len(own), n, dtype=np.int32), np.full(len(own), n, dtype=np.int32)
+    before[1:], after[:-1] = np.where(next_to, own[:-1], n), np.where(next_to, own[1:], n)
+    fits = (own <= before) & (own <= after)
+    again = np.flatnonzero(own == before)
+    if len(again):  # a run of one symbol: every second place of it
+        first_again = np.diff(again, prepend=-1) != 1
+        fits[again] &= (again - np.maximum.accumulate(np.where(first_again, again, 0))) % 2 == 1
+    hit, pair = at[fits], own[fits]
+    live = np.bincount(pair, minlength=n) > 0
     out = s.copy()
-    out[hit] = first + pair
+    out[hit] = (first + np.cumsum(live) - 1)[pair]
     keep = np.ones(len(s), dtype=bool)
     keep[hit + 1] = False
-    return out[keep], np.bincount(pair, minlength=n)
+    return out[keep], live
 
 
 def compress(ids: np.ndarray, base: int, min_count: int = 16, slack: int = 64, rounds: int = 6,
@@ -63,20 +76,16 @@ def compress(ids: np.ndarray, base: int, min_count: int = 16, slack: int = 64, r
         room = min(batch, limit - base - len(rules))
         if len(s) < 2 or room <= 0:
             break
-        left, right, counts = _pair_counts(s)
-        some = np.flatnonzero(counts >= max(min_count, int(counts.max()) // slack))
-        some = some[np.argsort(-counts[some], kind="stable")][:room]
+        left, right, counts = _frequent_pairs(s, min_count, slack)
+        some = np.argsort(-counts, kind="stable")[:room]
         if not len(some):
             break
         # Pairs of about equal count go in a scattered order: along a repeated
         # passage, whose pairs overlap one another, a third is replaced at once.
         level = np.frexp(counts[some].astype(float))[1]
         some = some[np.lexsort(((left[some] * 31 + right[some]) * 2654435761 % 4093, -level))]
-        s, used = _replaced(s, left[some], right[some], base + len(rules))
-        live = used > 0  # a pair that always gave way needs no rule
-        renamed = base + len(rules) + np.cumsum(live) - 1
-        new = s >= base + len(rules)
-        s[new] = renamed[s[new] - base - len(rules)]
+        # A pair that always gave way needs no rule.
+        s, live = _replaced(s, left[some], right[some], base + len(rules))
         rules = np.concatenate((rules, np.stack((left[some][live], right[some][live]), 1).astype(np.uint32)))
     return rules, s
 
@@ -92,9 +101,9 @@ def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
 def gather(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The slices [begin, begin + size) of ``flat``, one after the other."""
     ends = np.cumsum(sizes)
-    total = int(ends[-1]) if len(ends) else 0
-    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
-    return flat[np.arange(total, dtype=kind) + np.repeat((begins - (ends - sizes)).astype(kind), sizes)]
+    at = np.repeat(begins - (ends - sizes), sizes)
+    at += np.arange(len(at))
+    return flat[at]
 
 
 def _rounds(s: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:

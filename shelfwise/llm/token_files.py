@@ -10,12 +10,9 @@ length of every rule, so any document decodes without the rest of the shard.
 from __future__ import annotations
 
 import math
-import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +26,10 @@ FILE_SCHEMA = "part int, shard int, n_docs long, n_ids long, body binary"
 _HEAD = struct.Struct("<8sIIQQQ")  # magic, base, bytes a symbol, documents, rules, symbols
 _MAGIC = b"REPAIR01"
 
-#: Words whose ids a worker keeps between batches.
+#: Words, and pieces of words, whose ids a worker keeps between batches (some
+#: 40 bytes each).
 _KEPT_WORDS = 1_500_000
-_KEPT_PIECES = 100_000  # in a dict, some 300 bytes each
+_KEPT_PIECES = 750_000
 _ENCODED_AT_ONCE = 4096
 #: Stands between words that are encoded as one text.
 _MARK = "\x01"
@@ -94,13 +92,72 @@ class _Words:
     def __init__(self, hashes=(), sizes=(), flat=()):
         hashes, sizes = np.asarray(hashes, dtype=np.uint64), np.asarray(sizes, dtype=np.int64)
         order = np.argsort(hashes)
-        self.hashes, self.sizes = hashes[order], sizes[order]
-        self.flat = repair.gather(np.asarray(flat, dtype=np.uint32), (np.cumsum(sizes) - sizes)[order], self.sizes)
-        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.hashes = hashes[order]
+        self.flat = repair.gather(np.asarray(flat, dtype=np.uint32), (np.cumsum(sizes) - sizes)[order], sizes[order])
+        self.begins = np.concatenate(([0], np.cumsum(sizes[order])))  # and the end of the last
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where each of the hashes stands, or -1."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
 
     def joined(self, other: _Words) -> _Words:
         return _Words(*(np.concatenate(pair) for pair in (
-            (self.hashes, other.hashes), (self.sizes, other.sizes), (self.flat, other.flat))))
+            (self.hashes, other.hashes), (np.diff(self.begins), np.diff(other.begins)), (self.flat, other.flat))))
+
+
+class _Memory:
+    """Ids of the words met so far, a bounded number of them."""
+
+    def __init__(self):
+        self.known = [_Words()]
+
+    def _learn(self, new: _Words) -> None:
+        """Add the ids of new words. They are kept apart from the many older
+        ones until a quarter as many have come."""
+        if len(self.known) == 2:
+            new = self.known.pop().joined(new)
+        if 4 * len(new.hashes) > len(self.known[0].hashes):
+            self.known = [self.known[0].joined(new)]
+        else:
+            self.known.append(new)
+
+    def ids(self, hashes: np.ndarray, limit: int, encode) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words with these hashes in one run, and how many
+        each has. ``encode`` gives the same for the words at some places; it
+        gets one place of each word that is not known."""
+        found = pa.array(hashes).dictionary_encode()
+        distinct, inverse = found.dictionary.to_numpy(), found.indices.to_numpy()
+        # Words are numbered as they first occur: there the highest number rises.
+        first = np.flatnonzero(np.diff(np.maximum.accumulate(inverse), prepend=-1))
+        order = np.argsort(distinct)
+        distinct, first = distinct[order], first[order]
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        inverse = rank[inverse]
+        places = [k.places(distinct) for k in self.known]
+        new = np.flatnonzero(np.all([p < 0 for p in places], axis=0))
+        if len(new) + sum(len(k.hashes) for k in self.known) > limit:
+            self.known = [_Words()]
+            new = np.arange(len(distinct))
+        if len(new):
+            flat, sizes = encode(first[new])
+            self._learn(_Words(distinct[new], sizes, flat))
+            places = [k.places(distinct) for k in self.known]
+        # The ids of the distinct words, then those of all words.
+        sizes, flat = np.zeros(len(distinct), dtype=np.int64), []
+        begins, at = np.zeros(len(distinct), dtype=np.int64), 0
+        for k, place in zip(self.known, places):
+            here = np.flatnonzero(place >= 0)
+            place = place[here]
+            sizes[here] = k.begins[place + 1] - k.begins[place]
+            begins[here] = at + np.cumsum(sizes[here]) - sizes[here]
+            flat.append(repair.gather(k.flat, k.begins[place], sizes[here]))
+            at += len(flat[-1])
+        sizes, begins = sizes[inverse], begins[inverse]
+        return repair.gather(np.concatenate(flat), begins, sizes), sizes
 
 
 class WordEncoder:
@@ -116,57 +173,39 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
-        self.pieces = _pieces_of(self.tokenizer)
-        self.piece_ids: dict[str, list[int]] = {}
-        self._forget()
-
-    def _forget(self):
-        self.known = [_Words()]
-
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        """Add the ids of new words. They are kept apart from the many older
-        ones until a quarter as many have come."""
-        found = [self._encode(words[i:i + _ENCODED_AT_ONCE]) for i in range(0, len(words), _ENCODED_AT_ONCE)]
-        new = _Words(hashes, np.concatenate([n for _, n in found]), np.concatenate([f for f, _ in found]))
-        if len(self.known) == 2:
-            new = self.known.pop().joined(new)
-        if 4 * len(new.hashes) > len(self.known[0].hashes):
-            self.known = [self.known[0].joined(new)]
-        else:
-            self.known.append(new)
-
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.piece_ids.get(piece)
-        if ids is None:
-            if len(self.piece_ids) > _KEPT_PIECES:
-                self.piece_ids.clear()
-            mapped = piece if piece.isascii() else "".join(map(_byte_text, piece))
-            ids = self.piece_ids[piece] = [t.id for t in self.tokenizer.model.tokenize(mapped)]
-        return ids
+        self.pieces = _Pieces(self.tokenizer) if _cuts_as_known(self.tokenizer) else None
+        self.words, self.parts = _Memory(), _Memory()
 
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the words in one run, and how many each has. Words of
-        common letters and signs are cut into pieces by the tokenizer's own
-        pattern, and its model encodes each distinct piece once; the others
-        go through the whole tokenizer."""
+        """The ids of the words in one run, and how many each has."""
+        return self._encode_lines("\n".join(words), len(words))
+
+    def _encode_lines(self, text: str, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the ``n`` words between line ends in one run, and how
+        many each has. Words of common letters and signs are cut into pieces
+        as the tokenizer's own pattern does, and its model encodes each
+        distinct piece once; the others go through the whole tokenizer."""
         if self.pieces is None:
-            return self._encode_whole(words)
-        plain = [i for i, w in enumerate(words) if _PLAIN(w)]
-        found: list = [None] * len(words)
-        for i in plain:
-            out: list[int] = []
-            for piece in self.pieces(words[i].lower()):
-                out += self._piece(piece)
-            found[i] = out
-        rest = [i for i, f in enumerate(found) if f is None]
-        if rest:
-            ids, sizes = self._encode_whole([words[i] for i in rest])
-            ids, at = ids.tolist(), 0
-            for i, n in zip(rest, sizes.tolist()):
-                found[i] = ids[at:at + n]
-                at += n
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        return np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum())), sizes
+            return self._encode_whole(text.split("\n"))
+        cut, rest = self.pieces.cut(text, n)
+        data = np.frombuffer(cut, dtype=np.uint8)
+        starts, ends, _ = tk.words(data, np.array([0, len(data)]), _IN_PIECE)
+        ids, sizes = self.parts.ids(tk.word_hashes(data, starts, ends), _KEPT_PIECES,
+                                    lambda at: self.pieces.encode(data, starts[at], ends[at]))
+        # Plain words stand between line ends, each piece after a space.
+        lines = np.concatenate(([0], np.cumsum(data == 0x0A)))[starts]
+        total = np.bincount(lines, weights=sizes, minlength=n).astype(np.int64)
+        if not len(rest):
+            return ids, total
+        begins = np.cumsum(total) - total
+        words, more, counts = text.split("\n"), [ids], []
+        for i in range(0, len(rest), _ENCODED_AT_ONCE):
+            flat, each = self._encode_whole([words[j] for j in rest[i:i + _ENCODED_AT_ONCE].tolist()])
+            more.append(flat)
+            counts.append(each)
+        total[rest] = np.concatenate(counts)
+        begins[rest] = len(ids) + np.cumsum(total[rest]) - total[rest]
+        return repair.gather(np.concatenate(more), begins, total), total
 
     def _encode_whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words in one run, and how many each has. The words
@@ -184,68 +223,139 @@ class WordEncoder:
         """All ids, ``end`` after each text, and the number of ids a text."""
         data, offsets = tk.text_bytes(texts)
         starts, ends, row = tk.words(data, offsets, tk.NON_SPACE)
-        h = tk.word_hashes(data, starts, ends)
-        distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        new = np.flatnonzero(~np.any([_among(distinct, k.hashes) for k in self.known], axis=0))
-        if len(new) + sum(len(k.hashes) for k in self.known) > _KEPT_WORDS:
-            self._forget()
-            new = np.arange(len(distinct))
-        if len(new):
-            body = data.tobytes()
-            at = first[new]
-            self._learn(distinct[new], [body[a:b].decode("utf-8") for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-        # The ids of the distinct words, then those of all words.
-        sizes, flat = np.zeros(len(distinct), dtype=np.int64), []
-        begins, at = np.zeros(len(distinct), dtype=np.int64), 0
-        for k in self.known:
-            here = np.flatnonzero(_among(distinct, k.hashes))
-            place = np.searchsorted(k.hashes, distinct[here])
-            sizes[here] = k.sizes[place]
-            begins[here] = at + np.cumsum(sizes[here]) - sizes[here]
-            flat.append(repair.gather(k.flat, k.begins[place], k.sizes[place]))
-            at += len(flat[-1])
-        sizes, begins = sizes[inverse], begins[inverse]
-        ids = repair.gather(np.concatenate(flat), begins, sizes)
+
+        def encode(at):
+            found = [self._encode_lines(_joined(data, starts[at[a:b]], ends[at[a:b]]).decode("utf-8"), b - a)
+                     for a, b in tk.pieces(np.concatenate(([0], np.cumsum(ends[at] - starts[at]))), tk.BLOCK)]
+            return tuple(np.concatenate(x) for x in zip(*found))
+
+        ids, sizes = self.words.ids(tk.word_hashes(data, starts, ends), _KEPT_WORDS, encode)
         # The end id goes in after the last id of each text.
         last = np.searchsorted(row, np.arange(len(offsets) - 1), side="right")
         total = np.concatenate(([0], np.cumsum(sizes)))[last]
         return np.insert(ids, total, np.uint32(end)), np.diff(total, prepend=0) + 1
 
 
-#: Words of characters whose classes and lower case are the same in every
-#: version of Unicode, composed already, and without a special token's mark.
-_PLAIN = re.compile(r"(?!.*<\|)[\x21-\x7E\xA1-\xAC\xAE-\u024F]+").fullmatch
+def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """The words at these places, with line ends between them."""
+    sizes = ends - starts + 1
+    out = np.full(int(sizes.sum()), 0x0A, dtype=np.uint8)
+    inside = np.ones(len(out), dtype=bool)
+    inside[np.cumsum(sizes) - 1] = False
+    out[inside] = repair.gather(data, starts, sizes - 1)
+    return out[:-1].tobytes()
+
 
+_IN_PIECE = ~tk.byte_class([0x0A, 0x20])
+#: The pattern whose matches in a lower-cased word are its pieces.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-def _pieces_of(tokenizer):
-    """The function that cuts a lower-cased plain word into the pieces which
-    the tokenizer's model sees, if the tokenizer normalises and cuts in the
-    one way known here, else None."""
+
+def _cuts_as_known(tokenizer) -> bool:
+    """Whether the tokenizer normalises and cuts in the one way known here."""
     import json
     parts = json.loads(tokenizer.to_str())
     steps = [(n.get("type"), n.get("pattern"), n.get("content")) for n in (parts["normalizer"] or {}).get("normalizers", [])]
     cuts = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
     if steps != [("NFC", None, None), ("Replace", {"Regex": "\\s+"}, " "), ("Lowercase", None, None)] or len(cuts) != 2:
-        return None
+        return False
     split, level = cuts
-    if (split.get("type"), split.get("behavior"), split.get("invert")) != ("Split", "Removed", True) or \
-            (level.get("type"), level.get("add_prefix_space"), level.get("use_regex")) != ("ByteLevel", False, False):
-        return None
-    import regex
-    return regex.compile(split["pattern"]["Regex"]).findall
-
+    return (split.get("type"), split.get("pattern"), split.get("behavior"), split.get("invert")) == (
+        "Split", {"Regex": _PATTERN}, "Removed", True) and (
+        level.get("type"), level.get("add_prefix_space"), level.get("use_regex")) == ("ByteLevel", False, False)
 
-@lru_cache(maxsize=1024)
-def _byte_text(char: str) -> str:
-    """A character as the byte-level step of the library writes it."""
-    from tokenizers.pre_tokenizers import ByteLevel
-    return ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(char)[0][0]
 
+class _Pieces:
+    """Cuts plain words into the pieces that the tokenizer's model sees, and
+    has the model encode them. Plain words consist of characters whose classes
+    and lower case are the same in every version of Unicode, composed already,
+    and have no special token's mark."""
 
-def _among(values: np.ndarray, ranked: np.ndarray) -> np.ndarray:
-    if not len(ranked):
-        return np.zeros(len(values), dtype=bool)
-    return ranked[np.minimum(np.searchsorted(ranked, values), len(ranked) - 1)] == values
+    def __init__(self, tokenizer):
+        import regex
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
+        self.model = tokenizer.model
+        self.tokenizer = Tokenizer(tokenizer.model)
+        self.tokenizer.pre_tokenizer = WhitespaceSplit()
+        # By character: lower case, and 1 for letters, 2 for numbers, 3 for
+        # signs, 0 for what is not plain.
+        self.lower, self.kind = np.arange(0x251, dtype=np.uint32), np.zeros(0x251, dtype=np.uint8)
+        for c in (*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x250)):
+            low = chr(c).lower()
+            if len(low) == 1:
+                self.lower[c] = ord(low)
+                self.kind[c] = 1 if regex.match(r"\p{L}", low) else 2 if regex.match(r"\p{N}", low) else 3
+        # The character that the byte-level step writes for a byte; a space
+        # for the line ends between pieces.
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_chars = np.zeros(256, dtype="<u4")
+        for c in (*range(1, 0x800), *range(0x800, 0xD800, 0x800)):
+            self.byte_chars[list(chr(c).encode())] = [ord(x) for x in level.pre_tokenize_str(chr(c))[0][0]]
+        self.byte_chars[0x0A] = 0x20
+        # Whether an id ends a piece.
+        suffix = self.model.end_of_word_suffix
+        self.ends = np.array([bool(suffix) and (tokenizer.id_to_token(i) or "").endswith(suffix)
+                              for i in range(tokenizer.get_vocab_size())], dtype=bool)
+
+    def cut(self, text: str, n: int) -> tuple[bytes, np.ndarray]:
+        """Of the ``n`` words between line ends: lower-cased UTF-8 with a
+        space before each piece, other than plain words left empty; and the
+        places of those others."""
+        c = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+        line = c == 0x0A
+        at = np.minimum(c, 0x250)
+        kind = self.kind[at]
+        bad = (kind == 0) & ~line
+        bad[:-1] |= (c[:-1] == 0x3C) & (c[1:] == 0x7C)
+        low = self.lower[at]
+        low[line] = 0x0A
+        rest = np.zeros(0, dtype=np.int64)
+        if bad.any():
+            word = np.cumsum(line)
+            rest = np.unique(word[bad])
+            other = np.zeros(n, dtype=bool)
+            other[rest] = True
+            keep = line | ~other[word]
+            low, kind = low[keep], kind[keep]
+        # Runs of letters, runs of signs, single numbers.
+        before = np.concatenate((np.zeros(1, dtype=np.uint8), kind[:-1]))
+        start = (kind != 0) & ((kind != before) | (kind == 2))
+        # 's and the like: an apostrophe that begins a piece, and what follows.
+        quote = np.flatnonzero(start & (low == 0x27))
+        if len(quote):
+            after = np.concatenate((low, np.zeros(3, dtype=low.dtype)))
+            a, b = after[quote + 1], after[quote + 2]
+            one = np.isin(a, _codes("stmd"))
+            two = (np.isin(a, _codes("rv")) & (b == ord("e"))) | ((a == ord("l")) & (b == ord("l")))
+            start[quote[one | two] + 1] = False
+            then = np.concatenate((quote[one] + 2, quote[two] + 3))
+            then = then[then < len(kind)]
+            start[then[kind[then] != 0]] = True
+        out = np.full(len(low) + int(start.sum()), 0x20, dtype="<u4")
+        out[np.arange(len(low)) + np.cumsum(start)] = low
+        return out.tobytes().decode("utf-32-le").encode("utf-8"), rest
+
+    def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces at these places in one run, and how many each
+        has. The model writes the end of a piece into its last id."""
+        found = []
+        for i in range(0, len(starts), _ENCODED_AT_ONCE):
+            n = len(starts[i:i + _ENCODED_AT_ONCE])
+            body = np.frombuffer(_joined(data, starts[i:i + n], ends[i:i + n]), dtype=np.uint8)
+            text = self.byte_chars[body].tobytes().decode("utf-32-le")
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == n and last[-1] == len(ids) - 1:
+                found.append((ids, np.diff(last, prepend=-1)))
+            else:
+                each = [[t.id for t in self.model.tokenize(p)] for p in text.split(" ")]
+                found.append((np.array([i for e in each for i in e], dtype=np.uint32), np.array([len(e) for e in each])))
+        return np.concatenate([f for f, _ in found]), np.concatenate([k for _, k in found])
+
+
+def _codes(chars: str) -> list[int]:
+    return [ord(c) for c in chars]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

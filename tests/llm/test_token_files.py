@@ -1,6 +1,7 @@
 """Token files: exact round trip against the tokenizer itself, the grammar on
 its own, random access, and the awkward rows."""
 
+import sys
 import zlib
 
 import numpy as np
@@ -16,6 +17,7 @@ from shelfwise.llm import repair
 from shelfwise.llm.token_files import Shard, WordEncoder, pack_shard, read_token_files, write_token_files
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+PLAIN, ENCODER = Tokenizer.from_file(PATH), WordEncoder(PATH)
 
 
 @settings(max_examples=60, deadline=None)
@@ -78,6 +80,62 @@ def test_every_plain_character_encodes_as_in_the_whole_tokenizer():
     assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from("'stmdrevlSTLL1.<|"), st.characters(
+    min_codepoint=0x21, max_codepoint=0x24F, exclude_categories=["Zs", "Cc", "Cf"])), min_size=1, max_size=12), max_size=20))
+def test_words_are_cut_as_in_the_whole_tokenizer(words):
+    ids, sizes = ENCODER._encode(words)
+    want = [PLAIN.encode(w, add_special_tokens=False).ids for w in words]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_words_cost_no_python_calls_of_their_own():
+    words = [f"{a}{b}é{c}'s" for a in "bcdfghklmnpr" for b in ("a", "ou", "i", "x") for c in range(100, 300)]
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    encoder = WordEncoder(PATH)
+    sys.setprofile(count)
+    try:
+        ids, _ = encoder(pa.array([" ".join(words)]), 1)
+    finally:
+        sys.setprofile(None)
+    assert ids.tolist() == PLAIN.encode(" ".join(words), add_special_tokens=False).ids + [1]
+    assert calls < len(words) / 4
+
+
+def test_pieces_stay_known_within_their_bound(monkeypatch):
+    monkeypatch.setattr("shelfwise.llm.token_files._KEPT_PIECES", 40)
+    encoder = WordEncoder(PATH)
+    for lo in range(0, 200, 20):
+        words = [f"{'abcdefghij'[i % 10] * (1 + i // 10)}-{'klmnop'[i % 6]}!" for i in range(lo, lo + 20)]
+        ids, _ = encoder(pa.array(words), 1)
+        assert ids.tolist() == [i for w in words for i in PLAIN.encode(w, add_special_tokens=False).ids + [1]]
+        assert sum(len(k.hashes) for k in encoder.parts.known) <= 40
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=2, max_size=60), st.permutations([(a, b) for a in range(4) for b in range(4)]),
+       st.integers(1, 16))
+def test_pairs_are_replaced_as_by_a_plain_loop(ids, order, n):
+    order, size = [p for p in order if p in zip(ids, ids[1:])][:n], len(ids)
+    n = len(order)
+    rank = [order.index(p) if p in order else n for p in zip(ids, ids[1:])]
+    begin = list(range(size - 1))  # where the run of equal ranks at i begins
+    for i in range(1, size - 1):
+        if rank[i] == rank[i - 1]:
+            begin[i] = begin[i - 1]
+    hits = [i for i in range(size - 1) if rank[i] < n and (i - begin[i]) % 2 == 0
+            and (i == 0 or rank[i] <= rank[i - 1]) and (i == size - 2 or rank[i] <= rank[i + 1])]
+    used = sorted({rank[i] for i in hits})
+    want = [4 + used.index(rank[i]) if i in hits else s for i, s in enumerate(ids) if i - 1 not in hits]
+    got, live = repair._replaced(np.array(ids, dtype=np.uint32), *np.array(order).T, 4)
+    assert got.tolist() == want and np.flatnonzero(live).tolist() == used
+
+
 def test_files_round_trip(spark, tmp_dir):
     rows = awkward()
     write_token_files(spark.createDataFrame(rows, SCHEMA).repartition(5), f"{tmp_dir}/t", PATH, part_bytes=20_000,
