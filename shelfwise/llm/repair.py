@@ -19,9 +19,15 @@ def _frequent_pairs(s: np.ndarray, min_count: int, slack: int) -> tuple[np.ndarr
     keys <<= kind(shift)
     keys |= s[1:].astype(kind, copy=False)
     keys.sort()
+    # Only keys that occur min_count times recur so many places later, each
+    # min_count - 1 times less than it occurs.
+    later = keys[min_count - 1:]
+    keys = keys[:len(later)][later == keys[:len(later)]]
+    if not len(keys):
+        return (np.zeros(0, dtype=np.int64),) * 3
     edge = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
-    counts = np.diff(edge)
-    some = np.flatnonzero(counts >= max(min_count, int(counts.max()) // slack))
+    counts = np.diff(edge) + min_count - 1
+    some = np.flatnonzero(counts >= int(counts.max()) // slack)
     keys = keys[edge[some]]
     return (keys >> kind(shift)).astype(np.int64), (keys & kind((1 << shift) - 1)).astype(np.int64), counts[some]
 
@@ -76,7 +82,7 @@ def compress(ids: np.ndarray, base: int, min_count: int = 16, slack: int = 64, r
         room = min(batch, limit - base - len(rules))
         if len(s) < 2 or room <= 0:
             break
-        left, right, counts = _frequent_pairs(s, min_count, slack)
+        left, right, counts = _frequent_pairs(s, max(1, min_count), slack)
         some = np.argsort(-counts, kind="stable")[:room]
         if not len(some):
             break

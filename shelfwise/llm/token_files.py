@@ -137,19 +137,22 @@ class _Memory:
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order))
         inverse = rank[inverse]
-        places = [k.places(distinct) for k in self.known]
-        new = np.flatnonzero(np.all([p < 0 for p in places], axis=0))
+        known = [(k, k.places(distinct)) for k in self.known]
+        new = np.flatnonzero(np.all([place < 0 for _, place in known], axis=0))
         if len(new) + sum(len(k.hashes) for k in self.known) > limit:
-            self.known = [_Words()]
+            self.known, known = [_Words()], []
             new = np.arange(len(distinct))
         if len(new):
             flat, sizes = encode(first[new])
-            self._learn(_Words(distinct[new], sizes, flat))
-            places = [k.places(distinct) for k in self.known]
+            found = _Words(distinct[new], sizes, flat)
+            place = np.full(len(distinct), -1)
+            place[new] = np.arange(len(new))  # in the order of hashes, as in there
+            known.append((found, place))
+            self._learn(found)
         # The ids of the distinct words, then those of all words.
         sizes, flat = np.zeros(len(distinct), dtype=np.int64), []
         begins, at = np.zeros(len(distinct), dtype=np.int64), 0
-        for k, place in zip(self.known, places):
+        for k, place in known:
             here = np.flatnonzero(place >= 0)
             place = place[here]
             sizes[here] = k.begins[place + 1] - k.begins[place]
@@ -157,7 +160,8 @@ class _Memory:
             flat.append(repair.gather(k.flat, k.begins[place], sizes[here]))
             at += len(flat[-1])
         sizes, begins = sizes[inverse], begins[inverse]
-        return repair.gather(np.concatenate(flat), begins, sizes), sizes
+        flat = np.concatenate(flat) if flat else np.zeros(0, dtype=np.uint32)
+        return repair.gather(flat, begins, sizes), sizes
 
 
 class WordEncoder:
